@@ -48,6 +48,15 @@ def type_source(staged: DataFrame, source: Source) -> DataFrame:
     return out.withColumn(REJECT, first_reason(rules)).drop(MALFORMED)
 
 
+def silver_reasons(frame: DataFrame) -> DataFrame:
+    """Refused rows per reason."""
+    return (
+        frame.where(F.col(REJECT).isNotNull())
+        .groupBy(F.col(REJECT).alias("reason"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
 def derive(frame: DataFrame, source: Source) -> DataFrame:
     """Add the computed columns of a silver table."""
     if source.name == "drivers":
