@@ -17,7 +17,7 @@ from roadledger.model import UNKNOWN_KEY, UNKNOWN_SK, Dimension
 # Rows without a usable key are spread over this many values that match no
 # parent, so they do not meet in one shuffle partition.
 SPREAD = 1024
-NO_MATCH = "\u0000none-"
+NO_MATCH = "\u001fnone-"
 
 # Three hex digits of a digest: at most 4,096 numbering buckets.
 BUCKET_DIGITS = 3

@@ -24,6 +24,7 @@ from roadledger.model import Source
 REJECT = "_reject"
 COPIES = "_copies"
 MALFORMED = "_malformed"
+RAW_LINE = "_raw_line"
 
 
 def first_reason(rules: Sequence[tuple[Column, str]]) -> Column:
@@ -42,7 +43,9 @@ def type_source(staged: DataFrame, source: Source) -> DataFrame:
     must = [*source.required]
     must += [k for k in source.key if k not in source.parents and k not in must]
     malformed = MALFORMED in staged.columns
-    out = staged.select(*columns, *([MALFORMED] if malformed else []))
+    declared = {*source.column_names, RAW_LINE}
+    extra = [c for c in staged.columns if c not in declared]
+    out = staged.select(*columns, *extra)
     rules = [(F.col(MALFORMED), "short line")] if malformed else []
     rules += [(F.col(c).isNull(), f"missing {c}") for c in must]
     return out.withColumn(REJECT, first_reason(rules)).drop(MALFORMED)
@@ -110,24 +113,21 @@ def refuse_duplicates(
 ) -> DataFrame:
     """Keep one row per natural key and refuse the surplus.
 
-    ``repeated`` is the stored result of ``duplicate_keys``: normally empty, so
-    the full rows are not shuffled. The row kept is the smallest by value, which
-    does not depend on task order. Surplus rows with equal content are stored
-    once with their number in ``_copies``.
+    ``repeated`` is the stored result of ``duplicate_keys``, so its size is known
+    to the planner. Only rows of repeated keys are grouped, and equal rows are
+    counted before they meet. The row kept is the smallest by value, which does
+    not depend on task order. Surplus rows with equal content are stored once
+    with their number in ``_copies``.
     """
     names = [c for c in frame.columns if c != REJECT]
-    accepted = frame.where(F.col(REJECT).isNull())
-    refused = frame.where(F.col(REJECT).isNotNull()).withColumn(
-        COPIES, F.lit(1).cast("bigint")
-    )
-    marks = repeated.select(*key)
-    single = accepted.join(marks, list(key), "left_anti").withColumn(
-        COPIES, F.lit(1).cast("bigint")
+    marks = repeated.select(*key, F.lit(True).alias("_repeats"))
+    marked = frame.join(marks, list(key), "left")
+    contested = F.col(REJECT).isNull() & F.col("_repeats").isNotNull()
+    settled = marked.where(~contested).select(
+        *names, REJECT, F.lit(1).cast("bigint").alias(COPIES)
     )
     contents = (
-        accepted.join(marks, list(key), "left_semi")
-        .groupBy(*names)
-        .agg(F.count(F.lit(1)).alias(COPIES))
+        marked.where(contested).groupBy(*names).agg(F.count(F.lit(1)).alias(COPIES))
     )
     content = F.struct(*[F.col(c) for c in names])
     kept = contents.groupBy(*key).agg(F.min(content).alias("_kept"))
@@ -143,9 +143,12 @@ def refuse_duplicates(
         .where(F.col(COPIES) > 0)
         .select(*names, F.lit("repeated key").alias(REJECT), COPIES)
     )
-    return (
-        single.unionByName(kept_rows).unionByName(surplus).unionByName(refused)
-    )
+    return settled.unionByName(kept_rows).unionByName(surplus)
+
+
+def single_copies(frame: DataFrame) -> DataFrame:
+    """Rows of a table without repeated keys, each standing for itself."""
+    return frame.withColumn(COPIES, F.lit(1).cast("bigint"))
 
 
 def refuse_outside(

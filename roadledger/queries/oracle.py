@@ -774,8 +774,31 @@ add(
 add(
     "calendar",
     "date_id:s year_nbr:i month_nbr:i day_nbr:i quarter_nbr:i weekday_nbr:i month_name:s"
-    " weekday_name:s is_weekend:s season:s",
-    "SELECT * FROM cal",
+    " weekday_name:s is_weekend:s season:s loads:i",
+    "SELECT d.*, (SELECT COUNT(*) FROM x_loads l WHERE l.load_date = d.date_id) AS loads"
+    " FROM cal d",
+)
+add(
+    "calendar_fiscal",
+    "fiscal_year:i fiscal_quarter:i loads:i gross_revenue:d",
+    "SELECT year(load_date + INTERVAL 3 MONTH) AS fiscal_year,"
+    " quarter(load_date + INTERVAL 3 MONTH) AS fiscal_quarter, COUNT(*) AS loads,"
+    " COALESCE(SUM(gross_revenue), 0) AS gross_revenue FROM x_loads GROUP BY 1, 2",
+)
+add(
+    "calendar_hours",
+    "hour_nbr:i day_part:s event_type:s events:i detention_minutes:i",
+    "SELECT hour(scheduled_datetime) AS hour_nbr, CASE hour(scheduled_datetime) // 6"
+    " WHEN 0 THEN 'Night' WHEN 1 THEN 'Morning' WHEN 2 THEN 'Afternoon' ELSE 'Evening' END"
+    " AS day_part, event_type, COUNT(*) AS events,"
+    " SUM(detention_minutes) AS detention_minutes FROM x_events GROUP BY 1, 2, 3",
+)
+add(
+    "monthly_layer",
+    "month:s customer_id:s route_id:s loads:i gross_revenue:d weight_lbs:d",
+    "SELECT CAST(date_trunc('month', load_date) AS DATE) AS month, customer_id, route_id,"
+    " COUNT(*) AS loads, COALESCE(SUM(gross_revenue), 0) AS gross_revenue,"
+    " SUM(weight_lbs) AS weight_lbs FROM s_loads GROUP BY 1, 2, 3",
 )
 add("sorted_distinct", "load_type:s", "SELECT DISTINCT load_type FROM x_loads ORDER BY 1")
 add(
@@ -1635,8 +1658,9 @@ add(
 )
 add(
     "dq_conservation",
-    "object_name:s bronze:i silver:i gold:i conserved:s",
-    "SELECT object_name, rows AS bronze, rows AS silver, rows AS gold, true AS conserved"
+    "object_name:s bronze:i silver:i silver_accepted:i gold:i conserved:s",
+    "SELECT object_name, rows AS bronze, rows AS silver, rows AS silver_accepted,"
+    " rows AS gold, true AS conserved"
     f" FROM ({counts({**DIM_CTES, **FACT_CTES})})",
 )
 add(
@@ -1678,3 +1702,40 @@ add(
     )
     + ")",
 )
+
+# --- Incremental merge and history ----------------------------------------
+
+add(
+    "inc_upsert",
+    "load_id:s load_date:s revenue:d",
+    "SELECT l.load_id, COALESCE(c.load_date, l.load_date) AS load_date,"
+    " CASE WHEN c.load_id IS NULL THEN l.revenue ELSE c.revenue END AS revenue"
+    " FROM x_loads l LEFT JOIN (SELECT load_id, load_date, MAX(revenue) AS revenue FROM"
+    " (SELECT CAST(l_orderkey AS VARCHAR) AS load_id, CAST(l_shipdate AS DATE) AS load_date,"
+    " CAST(l_extendedprice AS DECIMAL(12,2)) AS revenue, MAX(CAST(l_shipdate AS DATE))"
+    " OVER (PARTITION BY l_orderkey) AS newest FROM lineitem) WHERE load_date = newest"
+    " GROUP BY 1, 2) c ON c.load_id = l.load_id",
+)
+CTE["x_versions"] = """
+SELECT driver_id, status, seen_on AS valid_from,
+       CAST(lead(seen_on) OVER w AS DATE) - 1 AS valid_to,
+       lead(seen_on) OVER w IS NULL AS is_current
+FROM (SELECT *, lag(status) OVER (PARTITION BY driver_id ORDER BY seen_on) AS before
+      FROM (SELECT CAST(o_custkey // 15 AS VARCHAR) AS driver_id,
+                   CAST(o_orderdate AS DATE) AS seen_on,
+                   arg_max(o_orderstatus, o_orderkey) AS status
+            FROM orders GROUP BY 1, 2))
+WHERE before IS NULL OR before <> status
+WINDOW w AS (PARTITION BY driver_id ORDER BY seen_on)"""
+add(
+    "scd2_versions",
+    "driver_id:s status:s valid_from:s valid_to:s is_current:s",
+    "SELECT * FROM x_versions",
+)
+add(
+    "scd2_as_of",
+    "driver_id:s month:s trips_completed:i status:s",
+    "SELECT m.driver_id, m.month, m.trips_completed, v.status FROM x_driver_months m"
+    " LEFT JOIN x_versions v ON v.driver_id = m.driver_id AND m.month >= v.valid_from"
+    " AND (v.valid_to IS NULL OR m.month <= v.valid_to)",
+)

@@ -14,10 +14,10 @@ from pyspark.sql import types as T
 
 from roadledger import functions as R
 from roadledger.model import DIMENSIONS, FACTS, SOURCES
-from roadledger.operators import quality, statistics
+from roadledger.operators import history, quality, statistics
 from roadledger.operators.conform import surrogate_key
 from roadledger.operators.staging import duplicate_keys, silver_reasons, type_source
-from roadledger.plans import findings, kpis, rollups, views
+from roadledger.plans import findings, kpis, monthly, rollups, views
 from roadledger.plans.silver import silver_rows
 from roadledger.queries.dirty import LOAD_LINE, TEXTS
 from roadledger.sources.delimited import split_line, stage_lines
@@ -512,7 +512,29 @@ def _whole():
 
 @query("calendar")
 def _(w):
-    return w.calendar()
+    return monthly.daily_loads(w.calendar(), w.star("fact_load"))
+
+
+@query("calendar_fiscal")
+def _(w):
+    return monthly.fiscal_revenue(w.star("fact_load"), w.calendar())
+
+
+@query("calendar_hours")
+def _(w):
+    return monthly.events_by_hour(w.star("fact_delivery"))
+
+
+@query("monthly_layer")
+def _(w):
+    layer = monthly.monthly_loads(w.star("fact_load", ["dim_customer", "dim_route"]))
+    customers = w.dimension("dim_customer").select("customer_sk", "customer_id")
+    routes = w.dimension("dim_route").select("route_sk", "route_id")
+    return (
+        layer.join(customers, "customer_sk")
+        .join(routes, "route_sk")
+        .drop("customer_sk", "route_sk")
+    )
 
 
 @query("sorted_distinct")
@@ -897,9 +919,7 @@ def _(w):
         if s.target in FACTS:
             layers["gold"] = w.star(s.target, FACTS[s.target].dims.values())
         else:
-            layers["gold"] = w.dimension(s.target).where(
-                f"{DIMENSIONS[s.target].sk} > 0"
-            )
+            layers["gold"] = w.dimension(s.target)
         frames += [
             f.agg(F.count(F.lit(1)).alias("rows_loaded")).select(
                 F.lit(s.target).alias("object_name"),
@@ -948,3 +968,46 @@ def _(w):
             quality.unassigned_keys(trips, w.rows("trailers"), "trailer_id"),
         ]
     )
+
+
+# --- Incremental merge and history ----------------------------------------
+
+
+def _price_history(w: SampleWarehouse) -> DataFrame:
+    """Shipments as later corrections of a load's date and amount."""
+    return w.table("lineitem").select(
+        F.col("l_orderkey").cast("string").alias("load_id"),
+        F.col("l_shipdate").cast("date").alias("load_date"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("revenue"),
+    )
+
+
+@query("inc_upsert")
+def _(w):
+    base = w.rows("loads").select("load_id", "load_date", "revenue")
+    return history.merge_latest(
+        base, _price_history(w), ["load_id"], F.struct("load_date", "revenue")
+    )
+
+
+def _driver_versions(w: SampleWarehouse) -> DataFrame:
+    seen = w.table("orders").select(
+        F.expr("CAST(o_custkey div 15 AS STRING)").alias("driver_id"),
+        F.col("o_orderdate").cast("date").alias("seen_on"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderkey").alias("_order"),
+    )
+    return history.versions(seen, "driver_id", "seen_on", ["status"], F.col("_order"))
+
+
+@query("scd2_versions")
+def _(w):
+    return _driver_versions(w)
+
+
+@query("scd2_as_of")
+def _(w):
+    months = w.rows("driver_monthly_metrics").select(
+        "driver_id", "month", "trips_completed"
+    )
+    return history.as_of(months, _driver_versions(w), "driver_id", "month", ["status"])

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadledger.functions import typed
 from roadledger.model import SOURCES, Source
-from roadledger.operators.staging import MALFORMED
-
-RAW_LINE = "_raw_line"
+from roadledger.operators.staging import MALFORMED, RAW_LINE
 
 # A separator no export contains, so the reader hands over whole lines.
 WHOLE_LINE = "\u0001\u0002\u0003"
@@ -37,16 +37,27 @@ def split_line(line: Column, width: int, separator: str = ",") -> Column:
     return F.split(line, separator, width)
 
 
-def stage_lines(lines: DataFrame, source: Source, separator: str = ",") -> DataFrame:
-    """Every line as text columns; a short line is kept whole and marked."""
+def stage_lines(
+    lines: DataFrame,
+    source: Source,
+    separator: str = ",",
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Every line as text columns; a short line is kept whole and marked.
+
+    ``keep`` names columns next to ``value`` that come along.
+    """
     width = len(source.columns)
-    parts = lines.select("value", split_line(F.col("value"), width, separator).alias("_p"))
+    parts = lines.select(
+        "value", *keep, split_line(F.col("value"), width, separator).alias("_p")
+    )
     short = F.size("_p") < width
     return parts.select(
         *[
             F.when(~short, F.get("_p", F.lit(i))).alias(name)
             for i, name in enumerate(source.column_names)
         ],
+        *keep,
         short.alias(MALFORMED),
         F.when(short, F.col("value")).alias(RAW_LINE),
     )

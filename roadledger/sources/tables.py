@@ -79,11 +79,31 @@ class Warehouse:
         for layer in LAYERS:
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
 
-    def create_table_as(self, frame: DataFrame, layer: str, table: str) -> None:
-        """Catalog table holding the frame, replaced if it exists."""
-        frame.write.mode("overwrite").saveAsTable(f"{layer}.{table}")
+    def create_table_as(
+        self,
+        frame: DataFrame,
+        layer: str,
+        table: str,
+        bucket_by: Sequence[str] = (),
+        buckets: int = 0,
+    ) -> None:
+        """Catalog table holding the frame, replaced if it exists.
+
+        Facts bucketed alike on ``load_id`` or ``trip_id`` join each other without
+        a shuffle.
+        """
+        writer = frame.write.mode("overwrite")
+        if bucket_by:
+            writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+        writer.saveAsTable(f"{layer}.{table}")
 
 
-def copies(frame: DataFrame):
-    """Number of source rows a stored row stands for."""
-    return F.col(COPIES) if COPIES in frame.columns else F.lit(1)
+def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
+    """Folder all executors reach, as the cluster names it.
+
+    ``fallback`` serves sessions without the setting, such as tests.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a shared folder")
+    return folder.rstrip("/")
