@@ -37,9 +37,13 @@ def upsert(
     order: Column,
     partition_by: Sequence[str],
     staging: str,
+    ranking_only: Sequence[str] = (),
 ) -> None:
     """Merge ``changes`` into a stored table, rewriting touched partitions only.
 
+    The table must have been written before, be it without rows. ``ranking_only``
+    names columns of ``changes`` that serve ``order`` and are not stored.
+
     A replaced row leaves its partition; if the new row belongs to another one,
     the old row stays behind, refused as superseded, so that no partition is
     left to be emptied. Running the same changes again gives the same table.
@@ -50,8 +54,11 @@ def upsert(
     """
     keys, parts = list(key), list(partition_by)
     spark = warehouse.spark
-    stored = warehouse.read_all(layer, table)
-    rest = [c for c in stored.columns if c not in (*keys, REJECT, COPIES)]
+    names = [c for c in changes.columns if c not in ranking_only]
+    columns = changes.select(*names).schema
+    columns = columns.add(REJECT, "string").add(COPIES, "bigint")
+    stored = spark.read.schema(columns).parquet(warehouse.path(layer, table))
+    rest = [c for c in names if c not in keys]
     latest = first_by(changes, keys, order, rest)
     moved_to = latest.select(*keys, *[F.col(p).alias(f"_new_{p}") for p in parts])
 

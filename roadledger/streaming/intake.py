@@ -81,6 +81,7 @@ def merge_batches(
             F.struct(F.col(FILE_TIME), tie),
             list(partition_by),
             f"{checkpoint.rstrip('/')}/merged/{batch_id}",
+            ranking_only=[FILE_TIME],
         )
 
     return (
