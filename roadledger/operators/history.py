@@ -56,7 +56,7 @@ def upsert(
     spark = warehouse.spark
     names = [c for c in changes.columns if c not in ranking_only]
     columns = changes.select(*names).schema
-    columns = columns.add(REJECT, "string").add(COPIES, "bigint")
+    columns = columns.add(REJECT, "string").add(COPIES, "long")
     stored = spark.read.schema(columns).parquet(warehouse.path(layer, table))
     rest = [c for c in names if c not in keys]
     latest = first_by(changes, keys, order, rest)
