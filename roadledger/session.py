@@ -18,6 +18,9 @@ DEFAULTS = {
     # Split a hot key even if that costs the next operator one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Columnar files unpack to several times their size; the broadcast threshold
+    # is compared with the unpacked estimate.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.shuffle.partitions": "4000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
