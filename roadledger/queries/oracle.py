@@ -1436,7 +1436,7 @@ add(
     " t.customer_id AS top_id, t.customer_name AS top_name, ROUND(t.g, 0) AS top_gross,"
     f" {pct('t.g', 'a.total', 2)} AS top_share,"
     " (SELECT COUNT(*) FROM x_customers WHERE customer_name = 'BUILDING 1')"
-    " AS shared_name_accounts, (SELECT ROUND(SUM(g), 0) FROM"
+    " AS shared_name_accounts, (SELECT ROUND(COALESCE(SUM(g), 0), 0) FROM"
     f" ({GROSS_BY_ACCOUNT}) WHERE customer_name = 'BUILDING 1') AS shared_name_gross"
     f" FROM (SELECT * FROM ({GROSS_BY_ACCOUNT}) ORDER BY g DESC, customer_id LIMIT 1) t,"
     " (SELECT SUM(gross_revenue) AS total FROM s_loads) a",
@@ -1445,7 +1445,7 @@ add(
     "fd_unassigned",
     "unassigned_share:d unassigned_trips:i unassigned_revenue:d",
     f"SELECT {pct('n', 'trips')} AS unassigned_share, n AS unassigned_trips,"
-    " ROUND(g, 0) AS unassigned_revenue FROM (SELECT COUNT(*) AS trips,"
+    " ROUND(COALESCE(g, 0), 0) AS unassigned_revenue FROM (SELECT COUNT(*) AS trips,"
     " SUM(CASE WHEN t.truck_id = '-1' THEN 1 ELSE 0 END) AS n,"
     " SUM(CASE WHEN t.truck_id = '-1' THEN l.gross_revenue END) AS g FROM s_trips t"
     " LEFT JOIN s_loads l ON l.load_id = t.load_id)",
@@ -1464,7 +1464,7 @@ add(
     "fd_out_of_window",
     "fuel_rows:i fuel_cost:d events:i",
     "SELECT (SELECT COUNT(*) FROM s_fuel WHERE year(purchase_date) = 2001) AS fuel_rows,"
-    " (SELECT ROUND(SUM(total_cost), 0) FROM s_fuel WHERE year(purchase_date) = 2001)"
+    " (SELECT ROUND(COALESCE(SUM(total_cost), 0), 0) FROM s_fuel WHERE year(purchase_date) = 2001)"
     " AS fuel_cost,"
     " (SELECT COUNT(*) FROM s_events WHERE year(scheduled_datetime) = 2001) AS events",
 )
