@@ -7,7 +7,8 @@ compares their size with its broadcast threshold and shuffles beyond it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,6 +67,58 @@ def resolve_fk(
     ).drop("_probe", "_parent_key")
 
 
+def missing_keys(
+    fact: DataFrame, parents: Mapping[str, tuple[DataFrame, str]]
+) -> DataFrame:
+    """Keys of the fact that their parent does not hold: (key, member, rows).
+
+    ``parents`` maps a fact column to (parent, its key). The fact is read once
+    and only in its key columns; equal keys are counted before they meet the
+    parents, so neither wide rows nor hot keys are shuffled.
+    """
+    cells = ", ".join(f"'{k}', `{k}`" for k in parents)
+    used = (
+        fact.select(F.expr(f"stack({len(parents)}, {cells}) AS (key, member)"))
+        .where(F.col("member").isNotNull() & (F.col("member") != UNKNOWN_KEY))
+        .groupBy("key", "member")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    members = reduce(
+        DataFrame.unionByName,
+        [
+            parent.select(F.lit(k).alias("key"), F.col(parent_key).alias("member"))
+            for k, (parent, parent_key) in parents.items()
+        ],
+    )
+    return used.join(members, ["key", "member"], "left_anti")
+
+
+def apply_missing(
+    fact: DataFrame,
+    missing: DataFrame,
+    keys: Sequence[str],
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """Turn blank keys and the keys listed in ``missing`` into '-1'.
+
+    Gives what ``resolve_fk`` gives per key. With ``missing`` stored, its size is
+    known and the fact usually stays in place, whatever the size of its parents.
+    """
+    identity = _row_identity(fact, spread_by)
+    for key in keys:
+        listed = missing.where(F.col("key") == key).select(
+            F.col("member").alias("_member")
+        )
+        lost = F.col(key).isNull() | F.col("_member").isNotNull()
+        fact = (
+            fact.withColumn("_probe", _probe(key, identity))
+            .join(listed, F.col("_probe") == F.col("_member"), "left")
+            .withColumn(key, F.when(lost, F.lit(UNKNOWN_KEY)).otherwise(F.col(key)))
+            .drop("_probe", "_member")
+        )
+    return fact
+
+
 def resolve_sk(
     fact: DataFrame,
     dim: DataFrame,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from roadledger.operators.ranking import first_by
 from roadledger.operators.staging import COPIES, REJECT
-from roadledger.sources.tables import Warehouse
+from roadledger.sources.tables import Warehouse, shared_folder
 
 SUPERSEDED = "superseded"
 
@@ -36,7 +37,7 @@ def upsert(
     key: Sequence[str],
     order: Column,
     partition_by: Sequence[str],
-    staging: str,
+    staging: str | None = None,
     ranking_only: Sequence[str] = (),
 ) -> None:
     """Merge ``changes`` into a stored table, rewriting touched partitions only.
@@ -48,12 +49,13 @@ def upsert(
     the old row stays behind, refused as superseded, so that no partition is
     left to be emptied. Running the same changes again gives the same table.
 
-    The new partitions are first written to ``staging`` (a folder on shared
-    storage, not used by another run) because they are computed from the very
-    files they replace.
+    The new partitions are first written to ``staging`` because they are computed
+    from the very files they replace: a folder on shared storage no other run
+    uses, by default a new one under the session's checkpoint folder.
     """
     keys, parts = list(key), list(partition_by)
     spark = warehouse.spark
+    staging = staging or f"{shared_folder(spark)}/upsert/{uuid.uuid4().hex}"
     names = [c for c in changes.columns if c not in ranking_only]
     columns = changes.select(*names).schema
     columns = columns.add(REJECT, "string").add(COPIES, "long")

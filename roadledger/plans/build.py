@@ -13,9 +13,11 @@ from roadledger.model import (
     FACT_SOURCES,
     FACTS,
     SOURCES,
+    Source,
 )
 from roadledger.operators import quality
 from roadledger.operators.audit import RunAudit
+from roadledger.operators.conform import apply_missing, missing_keys
 from roadledger.operators.staging import (
     REJECT,
     duplicate_keys,
@@ -24,7 +26,7 @@ from roadledger.operators.staging import (
     single_copies,
 )
 from roadledger.plans.rollups import ROLLUPS
-from roadledger.plans.silver import check_references, silver_rows
+from roadledger.plans.silver import silver_rows
 from roadledger.plans.star import build_dimension, build_fact
 from roadledger.plans.views import register_views
 from roadledger.sources.calendar import calendar
@@ -76,13 +78,29 @@ class WarehouseBuild:
                 rows = single_copies(rows)
             else:
                 rows = refuse_duplicates(rows, repeated, source.key)
-            parents = {
-                p: self.warehouse.read("silver", SOURCES[p].target)
-                for p in set(source.parents.values())
-            }
-            self.audit.write(
-                check_references(rows, source, parents), "silver", source.target
-            )
+            if source.parents:
+                rows = self._check_references(rows, source)
+            self.audit.write(rows, "silver", source.target)
+
+    def _check_references(self, rows: DataFrame, source: Source) -> DataFrame:
+        """Store the keys without a parent, then blank them out by that list.
+
+        The list is normally short whatever the parents' size, so the wide fact
+        rows are not shuffled to meet their parents.
+        """
+        parents = {
+            key: (self.warehouse.read("silver", SOURCES[p].target), SOURCES[p].key[0])
+            for key, p in source.parents.items()
+        }
+        name = f"missing_{source.target}"
+        self.warehouse.write(missing_keys(rows, parents), "audit", name)
+        missing = self.warehouse.read_all("audit", name)
+        spread_by = list(dict.fromkeys([*source.key, *rows.columns[:2]]))
+        return apply_missing(rows, missing, list(parents), spread_by)
+
+    def missing(self, target: str) -> DataFrame:
+        """Keys of a silver fact that had no parent, with their rows."""
+        return self.warehouse.read_all("audit", f"missing_{target}")
 
     def gold(self) -> None:
         w = self.warehouse

@@ -18,7 +18,7 @@ from roadledger.operators.history import upsert
 from roadledger.operators.staging import REJECT
 from roadledger.plans.silver import silver_rows
 from roadledger.sources.delimited import WHOLE_LINE, stage_lines
-from roadledger.sources.tables import Warehouse
+from roadledger.sources.tables import Warehouse, shared_folder
 
 FILE_TIME = "_file_time"
 
@@ -47,17 +47,20 @@ def merge_batches(
     warehouse: Warehouse,
     source_name: str,
     partition_by: dict[str, str],
-    checkpoint: str,
+    checkpoint: str | None = None,
     check: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> StreamingQuery:
     """Merge every batch into the silver table of the source and end when no
     file is left.
 
     ``partition_by`` maps a partition column to its SQL expression. ``check``
-    resolves references of a batch. Refused rows are appended to the audit layer.
-    The newest file wins per key.
+    resolves references of a batch. Refused rows are kept in the audit layer. The
+    newest file wins per key. ``checkpoint`` is the stream's own folder, by default
+    one per source under the session's checkpoint folder.
     """
     source = SOURCES[source_name]
+    folder = checkpoint or f"{shared_folder(warehouse.spark)}/intake/{source_name}"
+    folder = folder.rstrip("/")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         refused = batch.where(F.col(REJECT).isNotNull())
@@ -80,13 +83,13 @@ def merge_batches(
             source.key,
             F.struct(F.col(FILE_TIME), tie),
             list(partition_by),
-            f"{checkpoint.rstrip('/')}/merged/{batch_id}",
+            f"{folder}/merged/{batch_id}",
             ranking_only=[FILE_TIME],
         )
 
     return (
         rows.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", f"{checkpoint.rstrip('/')}/progress")
+        .option("checkpointLocation", f"{folder}/progress")
         .trigger(availableNow=True)
         .start()
     )

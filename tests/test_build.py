@@ -87,6 +87,9 @@ def test_orphans_and_integrity(built, source_rows):
     assert orphans["fact_trip", "driver"] == sum(t[2] == "" for t in trips)
     assert orphans["fact_trip", "trailer"] == sum(t[4] == "TRL99999" for t in trips)
     assert orphans["fact_driver_monthly", "driver"] == 2
+    missing = {(r["key"], r["member"]) for r in built.missing("fact_trip").collect()}
+    # A load without a usable date is refused, so its trip has no load.
+    assert missing == {("trailer_id", "TRL99999"), ("load_id", "LOAD00050")}
     dangling = built.integrity().collect()
     assert len(dangling) == 21 and {r["dangling"] for r in dangling} == {0}
     keys = quality.duplicate_summary(

@@ -1,7 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
 from roadledger.model import DIMENSIONS
 from roadledger.operators.conform import (
+    apply_missing,
+    missing_keys,
     resolve_fk,
     resolve_sk,
     surrogate_key,
@@ -29,6 +32,33 @@ def test_resolve_fk_same_result_with_shuffle_join(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
+def test_missing_list_gives_what_the_direct_check_gives(spark, broadcast):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        loads = spark.createDataFrame([("a",), ("b",), ("b",)], "load_id string")
+        drivers = spark.createDataFrame([("x",), (None,)], "driver_id string")
+        rows = [(i, k, d) for i, (k, d) in enumerate(
+            [("a", "x")] * 200 + [("gone", "x")] * 200 + [(None, None)] * 200
+            + [("b", "y"), ("a", "-1"), ("x", "a")]
+        )]
+        fact = spark.createDataFrame(rows, "id int, load_id string, driver_id string")
+        parents = {"load_id": (loads, "load_id"), "driver_id": (drivers, "driver_id")}
+        missing = missing_keys(fact, parents)
+        assert {(r["key"], r["member"], r["rows"]) for r in missing.collect()} == {
+            ("load_id", "gone", 200),
+            ("load_id", "x", 1),
+            ("driver_id", "y", 1),
+            ("driver_id", "a", 1),
+        }
+        got = apply_missing(fact, missing, list(parents))
+        want = resolve_fk(resolve_fk(fact, loads, "load_id"), drivers, "driver_id")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_missing_keys_are_spread_over_partitions(spark):
     fact = spark.range(5000).select("id", F.lit(None).cast("string").alias("p"))
     from roadledger.operators.conform import _probe
