@@ -529,6 +529,26 @@ add(
     "trip_id:s load_id:s driver_id:s truck_id:s trailer_id:s actual_distance_miles:d",
     "SELECT * FROM s_trips",
 )
+add(
+    "fk_missing_keys",
+    "key:s member:s rows:i",
+    " UNION ALL ".join(
+        f"SELECT '{key}' AS key, t.{key} AS member, COUNT(*) AS rows FROM x_trips t"
+        f" LEFT JOIN {parent} p ON p.{key} = t.{key}"
+        f" WHERE t.{key} IS NOT NULL AND p.{key} IS NULL GROUP BY 2"
+        for key, parent in (
+            ("load_id", "x_loads"),
+            ("driver_id", "x_drivers"),
+            ("truck_id", "x_trucks"),
+            ("trailer_id", "x_trailers"),
+        )
+    ),
+)
+add(
+    "fk_apply_missing",
+    "trip_id:s load_id:s driver_id:s truck_id:s trailer_id:s actual_distance_miles:d",
+    "SELECT * FROM s_trips",
+)
 add(
     "fk_resolve_delivery",
     "load_id:s trip_id:s facility_id:s rows:i",

@@ -8,14 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadledger import functions as R
 from roadledger.model import DIMENSIONS, FACTS, SOURCES
 from roadledger.operators import history, quality, statistics
-from roadledger.operators.conform import surrogate_key
+from roadledger.operators.conform import apply_missing, missing_keys, surrogate_key
+from roadledger.operators.ranking import distinct_values, top_k
 from roadledger.operators.staging import duplicate_keys, silver_reasons, type_source
 from roadledger.plans import findings, kpis, monthly, rollups, views
 from roadledger.plans.silver import silver_rows
@@ -304,6 +305,27 @@ def _(w):
     return drivers.unionByName(trucks)
 
 
+def _trip_parents(w: SampleWarehouse):
+    return {
+        key: (w.rows(parent), SOURCES[parent].key[0])
+        for key, parent in SOURCES["trips"].parents.items()
+    }
+
+
+@query("fk_missing_keys")
+def _(w):
+    return missing_keys(w.rows("trips"), _trip_parents(w))
+
+
+@query("fk_apply_missing")
+def _(w):
+    parents = _trip_parents(w)
+    missing = missing_keys(w.rows("trips"), parents)
+    return apply_missing(w.rows("trips"), missing, list(parents)).select(
+        "trip_id", *parents, "actual_distance_miles"
+    )
+
+
 @query("sk_dim_customer")
 def _(w):
     return surrogate_key(
@@ -500,16 +522,10 @@ def _(w):
 def _(w):
     gross = w.rows("loads").groupBy("booking_type").agg(F.sum("gross_revenue").alias("g"))
     # Three rows are left: a window over them all is a fixed, tiny task.
-    total = F.sum("g").over(_whole())
+    total = F.sum("g").over(Window.partitionBy(F.lit(1)))
     return gross.select("booking_type", "g", R.pct(F.col("g"), total, 2).alias("share"))
 
 
-def _whole():
-    from pyspark.sql import Window
-
-    return Window.partitionBy(F.lit(1))
-
-
 @query("calendar")
 def _(w):
     return monthly.daily_loads(w.calendar(), w.star("fact_load"))
@@ -539,15 +555,11 @@ def _(w):
 
 @query("sorted_distinct")
 def _(w):
-    from roadledger.operators.ranking import distinct_values
-
     return distinct_values(w.rows("loads"), "load_type")
 
 
 @query("topk_corridor")
 def _(w):
-    from roadledger.operators.ranking import top_k
-
     lanes = w.star("fact_load", ["dim_route"]).groupBy("route_sk").agg(
         F.sum("gross_revenue").alias("gross")
     )

@@ -21,7 +21,9 @@ DEFAULTS = {
     # Columnar files unpack to several times their size; the broadcast threshold
     # is compared with the unpacked estimate.
     "spark.sql.sources.fileCompressionFactor": "4.0",
-    "spark.sql.shuffle.partitions": "4000",
+    # Many thin shuffle partitions to start from; small ones are coalesced.
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
