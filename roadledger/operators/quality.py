@@ -72,19 +72,15 @@ def dangling_keys(
             for column, (dim, dim_key) in dims.items()
         ]
     )
-    expected = union_all(
-        [
-            fact.sparkSession.range(1).select(F.lit(column).alias("key"))
-            for column in dims
-        ]
-    )
-    missing = (
-        used.join(members, ["key", "member"], "left_anti")
+    missing = used.join(members, ["key", "member"], "left_anti").select("key", "_n")
+    # A zero per key, so that a clean key shows up too.
+    listed = F.explode(F.array(*[F.lit(column) for column in dims])).alias("key")
+    zeros = fact.sparkSession.range(1).select(listed, F.lit(0).cast("bigint").alias("_n"))
+    return (
+        missing.unionByName(zeros)
         .groupBy("key")
         .agg(F.sum("_n").alias("dangling"))
-    )
-    return expected.join(missing, "key", "left").select(
-        F.lit(name).alias("fact"), "key", F.coalesce("dangling", F.lit(0)).alias("dangling")
+        .select(F.lit(name).alias("fact"), "key", "dangling")
     )
 
 

@@ -196,11 +196,21 @@ def fuel_price_effect(
         F.round((price[last] / price[first] - 1) * 100, 1).alias("ppg_change_pct"),
         F.round(of(last, "_gallons") * (price[first] - price[last]), 0).alias("saving"),
     )
-    # At most one row per reporting year on each side.
+    price_rows = fuel.select(
+        "year",
+        safe_ratio(F.col("_cost"), F.col("_gallons"), 3).alias("ppg"),
+        F.lit(True).alias("_bought"),
+    )
+    # The three frames hold at most one row per year each: stacked, not joined.
+    stacked = price_rows.unionByName(mpg, allowMissingColumns=True).unionByName(
+        effect, allowMissingColumns=True
+    )
+    columns = ["ppg", "mpg", "ppg_change_pct", "saving"]
     return (
-        fuel.select("year", safe_ratio(F.col("_cost"), F.col("_gallons"), 3).alias("ppg"))
-        .join(mpg, "year", "left")
-        .join(effect, "year", "left")
+        stacked.groupBy("year")
+        .agg(F.max("_bought").alias("_bought"), *[F.max(c).alias(c) for c in columns])
+        .where(F.col("_bought"))
+        .select("year", *columns)
     )
 
 

@@ -134,3 +134,48 @@ def test_exact_median(spark):
     two = spark.createDataFrame([(1,), (4,)], "v int")
     assert exact_median(two, two["v"], "m").first()["m"] == 2.5
     assert exact_median(two.where("false"), two["v"], "m").first()["m"] is None
+
+
+def test_hot_load_gives_the_same_result_when_its_partition_is_split(spark, star):
+    fact_load = spark.range(300).selectExpr(
+        "concat('L', id) AS load_id",
+        "IF(id % 3 = 0, 1, 2) AS customer_sk",
+        "CAST(id AS DECIMAL(14,2)) AS gross_revenue",
+    )
+    # A third of all events belongs to one load, a third to none.
+    fact_delivery = spark.range(30000).selectExpr(
+        "concat('e', id) AS event_id",
+        "CASE id % 3 WHEN 0 THEN 'L0' WHEN 1 THEN '-1' ELSE concat('L', id % 300) END"
+        " AS load_sk",
+        "concat('T', id % 700) AS trip_sk",
+        "IF(id % 2 = 0, 'Delivery', 'Pickup') AS event_type",
+        "id % 5 < 2 AS on_time_flag",
+    )
+    builders = (views.customer_service, views.customer_service_as_written)
+
+    def rows():
+        return [
+            sorted(map(tuple, b(fact_load, fact_delivery, star["dim_customer"]).collect()))
+            for b in builders
+        ]
+
+    want = rows()
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1kb",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8kb",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        assert rows() == want
+        split = views.customer_service(fact_load, fact_delivery, star["dim_customer"])
+        split.collect()
+        assert "skew=true" in split._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert want[0][0][3] == 100 and sum(r[3] for r in want[0]) == 300
