@@ -71,26 +71,30 @@ def kpi_overview(
     fact_incident: DataFrame,
     fact_truck_monthly: DataFrame,
 ) -> DataFrame:
-    """VW-1: twelve headline numbers (and all events) in one row, one pass per fact."""
-    trips = fact_trip.agg(
-        _rows().alias("total_trips"),
-        F.sum("actual_distance_miles").alias("total_miles"),
-        exact_mean(F.col("average_mpg")).alias("avg_mpg"),
-    )
-    # Two distinct counts in one aggregate would expand every row; stacked keys
-    # are reduced to one row per asset in the first pass.
-    assets = (
-        fact_trip.select(
-            F.expr("stack(2, 'driver', driver_sk, 'truck', truck_sk) AS (kind, sk)")
+    """VW-1: twelve headline numbers (and all events) in one row."""
+    # Distinct drivers fall out of the totals when those are summed per driver
+    # first; two distinct counts in one aggregate would expand every row.
+    trips = (
+        fact_trip.groupBy("driver_sk")
+        .agg(
+            _rows().alias("_trips"),
+            F.sum("actual_distance_miles").alias("_miles"),
+            F.sum("average_mpg").alias("_mpg"),
+            F.count("average_mpg").alias("_measured"),
         )
-        .where("sk > 0")
-        .groupBy("kind", "sk")
-        .agg(_rows().alias("_n"))
         .agg(
-            F.count_if(F.col("kind") == "driver").alias("active_drivers"),
-            F.count_if(F.col("kind") == "truck").alias("active_trucks"),
+            F.coalesce(F.sum("_trips"), F.lit(0)).alias("total_trips"),
+            F.sum("_miles").alias("total_miles"),
+            safe_ratio(F.sum("_mpg"), F.sum("_measured")).alias("avg_mpg"),
+            F.count_if(F.col("driver_sk") > 0).alias("active_drivers"),
         )
     )
+    trucks = (
+        fact_trip.where("truck_sk > 0")
+        .groupBy("truck_sk")
+        .agg(_rows().alias("_trips"))
+        .agg(_rows().alias("active_trucks"))
+    )
     events = fact_delivery.agg(
         F.count_if(_is_delivery()).alias("delivery_events"),
         _rows().alias("all_events"),
@@ -109,7 +113,7 @@ def kpi_overview(
         )
     )
     return one_row(
-        [trips, assets, events, loads, fuel, maintenance, claims, utilization]
+        [trips, trucks, events, loads, fuel, maintenance, claims, utilization]
     ).select(
         "total_trips",
         "delivery_events",
