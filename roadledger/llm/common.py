@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors, once per application, as --py-files would."""
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parent.parent
+    if getattr(context, "_roadledger_shipped", False) or not package.is_dir():
+        return
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="package-"))
+    with zipfile.ZipFile(f"{folder}/{package.name}.zip", "w") as archive:
+        for source in package.rglob("*.py"):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(archive.filename)
+    context._roadledger_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, whole."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

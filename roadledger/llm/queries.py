@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadledger.llm import chat, columnar_topk, token_counts, vp_search
+from roadledger.llm import bpe, chat, columnar_topk, mixing, token_counts, vp_search
 from roadledger.llm.common import sha256_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,33 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vp_search.nearest(table(spark, sf_dir, "embeddings"), asked(), k=20)
 
 
+@query("op4_byte_bpe")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = bpe.encode_and_decode(docs, RANKS, PATTERN)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        sha256_hex(F.array_join(F.col("ids").cast("array<string>"), " ")).alias(
+            "ids_sha256"
+        ),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op9_entropy_mix")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mix.select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("copies") * F.col("size")).alias("taken"),
+        "copies",
+    )
+
+
 @query("op10_columnar_topk")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columnar_topk.top_k(table(spark, sf_dir, "embeddings"), asked(), k=20)

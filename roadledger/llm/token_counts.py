@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadledger.llm.common import ship
+
 RULES = ("midpoint", "start", "end")
 SCHEMA = (
     "doc_id bigint, section int, start bigint, end bigint, n_tokens bigint,"
@@ -113,6 +115,7 @@ def count_tokens(
     """
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")
+    ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, lengths = encoder(ranks_path, pattern)

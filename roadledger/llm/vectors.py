@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadledger.llm.common import ship
+
 #: (row ids, rows, query ids, queries) -> (position of query, row id, score)
 Search = Callable[
     [np.ndarray, np.ndarray, np.ndarray, np.ndarray],
@@ -61,6 +63,7 @@ def sharded_search(
     block_rows: int,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best rows of ``vectors`` (id, vec)."""
+    ship(vectors.sparkSession)
     rows, queries = vectors.agg(F.count("*"), F.count_if(is_query)).first()
     shards, blocks = ceil(rows / shard_rows) or 1, ceil(queries / block_rows) or 1
     left = vectors.select(

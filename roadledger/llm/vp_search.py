@@ -143,7 +143,7 @@ def nearest(
     vectors: DataFrame,
     is_query: Column,
     k: int = 20,
-    factor: float = 0.5,
+    factor: float = 0.15,
     leaf: int = 128,
     shard_rows: int = 4096,
     block_rows: int = 1024,
