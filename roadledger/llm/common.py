@@ -60,3 +60,39 @@ def sha256_hex(column: Column) -> Column:
 
 #: A word of the token-size measure: a run of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
+
+
+#: Slots of the filter below: 2 MB as bitmaps, whatever the tables hold.
+SLOTS = 2**24
+
+
+def parted(
+    rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column
+) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be among the wanted ones, rows whose key surely is not).
+
+    Keys are 64-bit hashes. The wanted ones set bits in at most ``SLOTS`` slots, so the
+    broadcast side is bounded at 2 MB; only the first part then needs a shuffle join.
+    With very many wanted keys that part becomes all rows, which costs a shuffle and
+    nothing else.
+    """
+    slot = F.pmod(wanted_key, F.lit(SLOTS)).cast("bigint") + 1
+    maps = (
+        wanted.select(slot.alias("slot"))
+        .groupBy(F.bitmap_bucket_number("slot").alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("_bits"))
+    )
+    maps = stored(maps, "slots")
+    marked = (
+        rows.withColumn("_slot", F.pmod(key, F.lit(SLOTS)).cast("bigint") + 1)
+        .withColumn("_bucket", F.bitmap_bucket_number("_slot"))
+        .withColumn("_bit", F.bitmap_bit_position("_slot"))
+        .join(F.broadcast(maps), "_bucket", "left")
+    )
+    held = F.expr(
+        "_bits IS NOT NULL AND shiftright(cast(conv(hex(substring(_bits,"
+        " cast(_bit div 8 as int) + 1, 1)), 16, 10) as int), cast(_bit % 8 as int)) & 1 = 1"
+    )
+    some = marked.where(held).select(*rows.columns)
+    none = marked.where(~held).select(*rows.columns)
+    return some, none

@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadledger.llm import bpe, chat, columnar_topk, mixing, token_counts, vp_search
+from roadledger.llm import (
+    bayes_join,
+    bpe,
+    chat,
+    columnar_topk,
+    mixing,
+    token_counts,
+    vp_search,
+)
 from roadledger.llm.common import sha256_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +98,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_bayes_jaccard_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bayes_join.join_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op9_entropy_mix")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
