@@ -14,10 +14,11 @@ from roadledger.llm import (
     chat,
     columnar_topk,
     mixing,
+    paragraph_dedup,
     token_counts,
     vp_search,
 )
-from roadledger.llm.common import sha256_hex, table
+from roadledger.llm.common import sha256_hex, table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -103,6 +104,19 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bayes_join.join_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op7_paragraph_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = paragraph_dedup.cleaned(docs)
+    return out.select(
+        "doc_id",
+        F.size("removed").cast("bigint").alias("n_removed"),
+        "removed",
+        F.length(text_or_empty()).cast("bigint").alias("kept_chars"),
+        sha256_hex(text_or_empty()).alias("text_sha256"),
+    )
+
+
 @query("op9_entropy_mix")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
