@@ -45,6 +45,24 @@ SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars,
 FROM summed
 """
 
+#: Equal payloads of 100 bytes or more: the smallest page_id answers, the others revisit it.
+OP8 = """
+WITH filled AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), hashed AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest
+  FROM filled
+), first_of AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM hashed
+  WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT h.page_id, h.payload_bytes, h.payload_digest,
+       CASE WHEN f.first_id IS NULL OR f.first_id = h.page_id THEN 'response'
+            ELSE 'revisit' END AS record_type,
+       CASE WHEN f.first_id <> h.page_id THEN f.first_id END AS refers_to
+FROM hashed h LEFT JOIN first_of f USING (payload_digest)
+"""
+
 #: Integer inner products of every query with every other row, then the best twenty.
 OP10 = """
 WITH usable AS (
@@ -68,5 +86,6 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 
 ORACLE: dict[str, str] = {
     "op1_chat_format": OP1,
+    "op8_warc_normalise": OP8,
     "op10_columnar_topk": OP10,
 }

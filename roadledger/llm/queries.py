@@ -13,10 +13,12 @@ from roadledger.llm import (
     bpe,
     chat,
     columnar_topk,
+    language,
     mixing,
     paragraph_dedup,
     token_counts,
     vp_search,
+    warc,
 )
 from roadledger.llm.common import sha256_hex, table, text_or_empty
 
@@ -104,6 +106,25 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bayes_join.join_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = language.identify_documents(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id",
+        "declared",
+        "language",
+        "posterior",
+        "text_language",
+        (F.col("posterior") >= language.LEAST).alias("accepted"),
+    )
+
+
+@query("pages_language")
+def pages_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = language.page_evidence(table(spark, sf_dir, "pages"))
+    return language.identify(rows, ["page_id"])
+
+
 @query("op7_paragraph_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -117,6 +138,25 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_warc_normalise")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archived(table(spark, sf_dir, "pages"))
+    # A revisit has no body; its digest and size are those of its header.
+    body = F.col("record_type") == "response"
+    return out.select(
+        "page_id",
+        F.when(body, F.length("payload"))
+        .otherwise(F.col("declared_bytes"))
+        .cast("bigint")
+        .alias("payload_bytes"),
+        F.when(body, F.sha2("payload", 256))
+        .otherwise(F.col("declared_digest"))
+        .alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 @query("op9_entropy_mix")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
