@@ -94,6 +94,11 @@ ON_D = (
 N_D = "SUM(CASE WHEN e.event_type = 'Delivery' THEN 1 ELSE 0 END)"
 
 
+def child(key: str, every: int, rest: int, prefix: str = "") -> str:
+    """A child's spelling of a key; one in ``every`` keys has no parent."""
+    return f"(if(({key}) % {every} = {rest}, 'X', '{prefix}') || ({key}))"
+
+
 def known(alias: str, key: str, parent: str, parent_key: str | None = None) -> str:
     parent_key = parent_key or key
     return (
@@ -116,7 +121,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
             ELSE 'Active' END AS account_status,
        c_custkey * 1000 AS annual_revenue_potential,
        (c_custkey % 10 <> 0 AND c_custkey % 5 <> 1) AS is_active
-FROM customer WHERE c_custkey % 40 <> 39""",
+FROM customer""",
     "x_drivers": """
 SELECT CAST(s_suppkey AS VARCHAR) AS driver_id,
        'First' || s_suppkey AS first_name, 'Last' || s_nationkey AS last_name,
@@ -126,7 +131,7 @@ SELECT CAST(s_suppkey AS VARCHAR) AS driver_id,
          AS employment_status,
        'A' AS cdl_class, s_suppkey % 30 AS years_experience,
        s_suppkey % 7 <> 3 AS is_active
-FROM supplier WHERE s_suppkey % 25 <> 9""",
+FROM supplier""",
     "x_trucks": """
 SELECT CAST(s_suppkey AS VARCHAR) AS truck_id, 'U' || s_suppkey AS unit_number,
        CASE s_suppkey % 4 WHEN 0 THEN 'Volvo' WHEN 1 THEN 'Mack' WHEN 2 THEN 'Peterbilt'
@@ -135,7 +140,7 @@ SELECT CAST(s_suppkey AS VARCHAR) AS truck_id, 'U' || s_suppkey AS unit_number,
        CASE s_suppkey % 6 WHEN 0 THEN 'Maintenance' WHEN 1 THEN 'Inactive'
             WHEN 2 THEN 'Unknown' ELSE 'Active' END AS status,
        'NATION_' || s_nationkey AS home_terminal, s_suppkey % 6 >= 3 AS is_active
-FROM supplier WHERE s_suppkey % 30 <> 29""",
+FROM supplier""",
     "x_trailers": """
 SELECT CAST(s_suppkey AS VARCHAR) AS trailer_id, 'N' || s_suppkey AS trailer_number,
        CASE s_suppkey % 3 WHEN 0 THEN 'Dry Van' WHEN 1 THEN 'Reefer' ELSE 'Flatbed' END
@@ -143,13 +148,13 @@ SELECT CAST(s_suppkey AS VARCHAR) AS trailer_id, 'N' || s_suppkey AS trailer_num
        53 AS length_feet,
        CASE WHEN s_suppkey % 9 = 0 THEN 'Unknown' ELSE 'Active' END AS status,
        'NATION_' || s_nationkey AS current_location, s_suppkey % 9 <> 0 AS is_active
-FROM supplier WHERE s_suppkey % 20 <> 4""",
+FROM supplier""",
     "x_facilities": """
 SELECT CAST(s_suppkey AS VARCHAR) AS facility_id, s_name AS facility_name,
        CASE s_suppkey % 2 WHEN 0 THEN 'Warehouse' ELSE 'Terminal' END AS facility_type,
        'NATION_' || s_nationkey AS city, 'S' || (s_nationkey % 5) AS state,
        s_suppkey % 60 AS dock_doors, '24/7' AS operating_hours
-FROM supplier WHERE s_suppkey % 20 <> 19""",
+FROM supplier""",
     "x_routes": """
 SELECT 'R' || (o.n_nationkey * 25 + d.n_nationkey) AS route_id,
        o.n_name AS origin_city, 'S' || o.n_regionkey AS origin_state,
@@ -161,14 +166,16 @@ SELECT 'R' || (o.n_nationkey * 25 + d.n_nationkey) AS route_id,
        CAST(1 + (o.n_nationkey + d.n_nationkey) % 3 AS DECIMAL(6,2)) AS base_rate_per_mile,
        CAST(0.25 AS DECIMAL(6,3)) AS fuel_surcharge_rate,
        1 + abs(o.n_nationkey - d.n_nationkey) % 5 AS typical_transit_days
-FROM nation o CROSS JOIN nation d
-WHERE (o.n_nationkey * 25 + d.n_nationkey) % 50 <> 49""",
-    "x_loads": """
+FROM (SELECT DISTINCT o_orderkey % 25 AS a, o_custkey % 25 AS z FROM orders) lane
+JOIN nation o ON o.n_nationkey = lane.a
+JOIN nation d ON d.n_nationkey = lane.z""",
+    "x_loads": f"""
 SELECT *, revenue + fuel_surcharge + accessorial_charges AS gross_revenue
 FROM (SELECT CAST(o_orderkey AS VARCHAR) AS load_id,
-       CASE WHEN o_orderkey % 97 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
+       CASE WHEN o_orderkey % 97 <> 0 THEN {child('o_custkey', 40, 39)} END AS customer_id,
        CASE WHEN o_orderkey % 101 <> 0
-            THEN 'R' || ((o_orderkey % 25) * 25 + o_custkey % 25) END AS route_id,
+            THEN {child('(o_orderkey % 25) * 25 + o_custkey % 25', 50, 49, 'R')} END
+         AS route_id,
        CAST(o_orderdate AS DATE) AS load_date, o_orderpriority AS load_type,
        CAST(((o_orderkey * 37) % 450) * 100 AS DECIMAL(10,0)) AS weight_lbs,
        o_orderkey % 40 + 1 AS pieces,
@@ -178,13 +185,13 @@ FROM (SELECT CAST(o_orderkey AS VARCHAR) AS load_id,
        CAST(o_orderkey % 70 AS DECIMAL(12,2)) AS accessorial_charges,
        o_orderstatus AS booking_type
 FROM orders)""",
-    "x_trips": """
+    "x_trips": f"""
 SELECT 'T' || o_orderkey AS trip_id,
        CASE WHEN o_orderkey % 103 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS load_id,
-       CASE WHEN o_orderkey % 49 <> 0 THEN CAST(o_custkey // 15 AS VARCHAR) END AS driver_id,
-       CASE WHEN o_orderkey % 50 <> 0 THEN CAST(o_orderkey // 150 AS VARCHAR) END
+       CASE WHEN o_orderkey % 49 <> 0 THEN {child('o_custkey // 15', 25, 9)} END AS driver_id,
+       CASE WHEN o_orderkey % 50 <> 0 THEN {child('o_orderkey // 150', 30, 29)} END
          AS truck_id,
-       CASE WHEN o_orderkey % 48 <> 0 THEN CAST(o_orderkey // 150 AS VARCHAR) END
+       CASE WHEN o_orderkey % 48 <> 0 THEN {child('o_orderkey // 150', 20, 4)} END
          AS trailer_id,
        CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INTEGER) AS dispatch_date,
        CAST(abs(o_orderkey % 25 - o_custkey % 25) * 100 + o_orderkey % 90
@@ -199,14 +206,14 @@ SELECT 'T' || o_orderkey AS trip_id,
          AS idle_time_hours,
        'Completed' AS trip_status
 FROM orders""",
-    "x_events": """
+    "x_events": f"""
 SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey
          AS event_id,
        CASE WHEN (l_orderkey + l_linenumber) % 83 <> 0 THEN CAST(l_orderkey AS VARCHAR)
        END AS load_id,
        CASE WHEN l_partkey % 79 <> 0 THEN 'T' || l_orderkey END AS trip_id,
        CASE l_linestatus WHEN 'O' THEN 'Delivery' ELSE 'Pickup' END AS event_type,
-       CASE WHEN l_partkey % 61 <> 0 THEN CAST(l_suppkey AS VARCHAR) END AS facility_id,
+       CASE WHEN l_partkey % 61 <> 0 THEN {child('l_suppkey', 20, 19)} END AS facility_id,
        l_shipdate + to_hours(CAST(l_partkey % 24 AS BIGINT)) AS scheduled_datetime,
        l_shipdate + to_hours(CAST(l_partkey % 24 AS BIGINT))
          + to_minutes(CAST((l_orderkey * 13 + l_linenumber * 7) % 400 - 150 AS BIGINT))
@@ -215,21 +222,21 @@ SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey
        CASE l_returnflag WHEN 'N' THEN true WHEN 'R' THEN false END AS on_time_flag,
        'S' || (l_suppkey % 5) AS location_state
 FROM lineitem""",
-    "x_fuel": """
+    "x_fuel": f"""
 SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey
          AS fuel_purchase_id,
        'T' || l_orderkey AS trip_id,
-       CASE WHEN (l_orderkey * 7 + l_linenumber) % 50 <> 0 THEN CAST(l_suppkey AS VARCHAR)
+       CASE WHEN (l_orderkey * 7 + l_linenumber) % 50 <> 0 THEN {child('l_suppkey', 30, 29)}
        END AS truck_id,
        CASE WHEN (l_orderkey * 3 + l_linenumber) % 51 <> 0
-            THEN CAST(l_partkey // 20 AS VARCHAR) END AS driver_id,
+            THEN {child('l_partkey // 20', 25, 9)} END AS driver_id,
        CAST(l_shipdate AS DATE) AS purchase_date,
        CAST(l_quantity AS DECIMAL(10,2)) AS gallons,
        CAST(l_extendedprice / l_quantity AS DECIMAL(12,3)) AS price_per_gallon,
        CAST(l_extendedprice AS DECIMAL(12,2)) AS total_cost
 FROM lineitem""",
-    "x_maintenance": """
-SELECT CAST(event_id AS VARCHAR) AS maintenance_id, CAST(user_id AS VARCHAR) AS truck_id,
+    "x_maintenance": f"""
+SELECT CAST(event_id AS VARCHAR) AS maintenance_id, {child('user_id', 30, 29)} AS truck_id,
        CAST(ts AS DATE) AS maintenance_date, event_type AS maintenance_type,
        event_id * 10 AS odometer_reading, event_id % 9 AS labor_hours,
        event_id % 300 AS labor_cost, event_id % 200 AS parts_cost,
@@ -237,23 +244,21 @@ SELECT CAST(event_id AS VARCHAR) AS maintenance_id, CAST(user_id AS VARCHAR) AS
        'C' || (user_id % 25) AS facility_location,
        CAST(CAST(event_id % 240 AS DECIMAL(10,2)) * 0.1 AS DECIMAL(7,2)) AS downtime_hours
 FROM events""",
-    "x_incidents": """
+    "x_incidents": f"""
 SELECT CAST(event_id AS VARCHAR) AS incident_id,
        CASE WHEN event_id % 90 <> 0 THEN 'T' || event_id END AS trip_id,
-       CAST(user_id AS VARCHAR) AS truck_id,
-       CASE WHEN event_id % 45 <> 0 THEN CAST(user_id AS VARCHAR) END AS driver_id,
+       {child('user_id', 30, 29)} AS truck_id,
+       CASE WHEN event_id % 45 <> 0 THEN {child('user_id', 25, 9)} END AS driver_id,
        CAST(ts AS DATE) AS incident_date,
-       CASE event_id % 3 WHEN 0 THEN 'Collision' WHEN 1 THEN 'Backing' ELSE 'Weather' END
-         AS incident_type,
+       event_type AS incident_type,
        CASE WHEN k % 11 <> 0 THEN k % 2 = 0 END AS at_fault_flag,
        k % 5 = 0 AS injury_flag,
        CAST(value AS DECIMAL(12,2)) * 10 AS vehicle_damage_cost,
        CAST(value AS DECIMAL(12,2)) * 3 AS cargo_damage_cost,
        CAST(value AS DECIMAL(12,2)) * 13 AS claim_amount,
        CASE WHEN k % 13 <> 0 THEN k % 3 = 0 END AS preventable_flag
-FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
-      WHERE event_type = 'error')""",
-    "x_truck_months": """
+FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)""",
+    "x_truck_months": f"""
 SELECT truck_id, month, n AS trips_completed, CAST(q * 10 AS DECIMAL(12,1)) AS total_miles,
        CAST(r AS DECIMAL(12,2)) AS total_revenue,
        CAST(CAST(500 + q % 300 AS DECIMAL(10,2)) * 0.01 AS DECIMAL(6,2)) AS average_mpg,
@@ -261,17 +266,17 @@ SELECT truck_id, month, n AS trips_completed, CAST(q * 10 AS DECIMAL(12,1)) AS t
        CAST(q % 48 AS DECIMAL(7,2)) AS downtime_hours,
        CAST(CAST(600 + q % 500 AS DECIMAL(10,3)) * 0.001 AS DECIMAL(6,3))
          AS utilization_rate
-FROM (SELECT CAST(l_suppkey AS VARCHAR) AS truck_id,
+FROM (SELECT {child('l_suppkey', 30, 29)} AS truck_id,
              CAST(date_trunc('month', l_shipdate) AS DATE) AS month, COUNT(*) AS n,
              CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS q,
              SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS r
       FROM lineitem GROUP BY 1, 2)""",
-    "x_driver_months": """
+    "x_driver_months": f"""
 SELECT driver_id, month, n AS trips_completed, CAST(q AS DECIMAL(12,1)) AS total_miles,
        CAST(r AS DECIMAL(12,2)) AS total_revenue,
        CAST(CAST(500 + q % 300 AS DECIMAL(10,2)) * 0.01 AS DECIMAL(6,2)) AS average_mpg,
        q AS total_fuel_gallons, q % 100 AS on_time_delivery_rate, q % 12 AS average_idle_hours
-FROM (SELECT CAST(o_custkey // 15 AS VARCHAR) AS driver_id,
+FROM (SELECT {child('o_custkey // 15', 25, 9)} AS driver_id,
              CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) AS n,
              CAST(SUM(o_orderkey % 1000) AS BIGINT) AS q,
              SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS r

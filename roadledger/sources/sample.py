@@ -3,8 +3,10 @@
 Maps ``orders``, ``lineitem``, ``events``, ``customer``, ``supplier`` and
 ``nation`` to the 14 typed source tables. The samples hold no missing values, so
 blank keys, keys without a parent, missing measures and zero denominators are
-put in by arithmetic on the row's own key; every source row yields one row.
-Key ranges grow with the samples, so no group is fixed in number.
+put in by arithmetic on the row's own key. Every row of a sample table yields one
+row: parents are whole, and a key without a parent is one that a child row spells
+differently (``reference``). Key ranges grow with the samples, so no group is fixed
+in number.
 """
 
 from __future__ import annotations
@@ -26,11 +28,21 @@ SAMPLE_END = "2024-12-31"
 SAMPLE_YEARS = (1996, 1997, 1998, 1999, 2000)
 SAMPLE_PARTIAL_YEAR = 2001
 
-# Source name -> (sample table, row filter, column expressions).
+
+
+def reference(key: str, every: int, rest: int, prefix: str = "") -> str:
+    """Text of a foreign key; one in ``every`` keys is spelled as no parent is."""
+    return (
+        f"concat(CASE WHEN ({key}) % {every} = {rest} THEN 'X' ELSE '{prefix}' END,"
+        f" {key})"
+    )
+
+
+LANE = "(o_orderkey % 25) * 25 + o_custkey % 25"
+# Source name -> (sample table, column expressions).
 MAPPING = {
     "customers": (
         "customer",
-        "c_custkey % 40 <> 39",
         [
             "CAST(c_custkey AS STRING) AS customer_id",
             "concat(c_mktsegment, ' ', c_nationkey) AS customer_name",
@@ -46,7 +58,6 @@ MAPPING = {
     ),
     "drivers": (
         "supplier",
-        "s_suppkey % 25 <> 9",
         [
             "CAST(s_suppkey AS STRING) AS driver_id",
             "concat('First', s_suppkey) AS first_name",
@@ -65,7 +76,6 @@ MAPPING = {
     ),
     "trucks": (
         "supplier",
-        "s_suppkey % 30 <> 29",
         [
             "CAST(s_suppkey AS STRING) AS truck_id",
             "concat('U', s_suppkey) AS unit_number",
@@ -84,7 +94,6 @@ MAPPING = {
     ),
     "trailers": (
         "supplier",
-        "s_suppkey % 20 <> 4",
         [
             "CAST(s_suppkey AS STRING) AS trailer_id",
             "concat('N', s_suppkey) AS trailer_number",
@@ -100,7 +109,6 @@ MAPPING = {
     ),
     "facilities": (
         "supplier",
-        "s_suppkey % 20 <> 19",
         [
             "CAST(s_suppkey AS STRING) AS facility_id",
             "s_name AS facility_name",
@@ -116,13 +124,12 @@ MAPPING = {
     ),
     "loads": (
         "orders",
-        None,
         [
             "CAST(o_orderkey AS STRING) AS load_id",
-            "CASE WHEN o_orderkey % 97 <> 0 THEN CAST(o_custkey AS STRING) END"
+            f"CASE WHEN o_orderkey % 97 <> 0 THEN {reference('o_custkey', 40, 39)} END"
             " AS customer_id",
-            "CASE WHEN o_orderkey % 101 <> 0 THEN"
-            " concat('R', (o_orderkey % 25) * 25 + o_custkey % 25) END AS route_id",
+            f"CASE WHEN o_orderkey % 101 <> 0 THEN {reference(LANE, 50, 49, 'R')} END"
+            " AS route_id",
             "CAST(o_orderdate AS DATE) AS load_date",
             "o_orderpriority AS load_type",
             "CAST(((o_orderkey * 37) % 450) * 100 AS DECIMAL(10,0)) AS weight_lbs",
@@ -137,17 +144,16 @@ MAPPING = {
     ),
     "trips": (
         "orders",
-        None,
         [
             "concat('T', o_orderkey) AS trip_id",
             "CASE WHEN o_orderkey % 103 <> 0 THEN CAST(o_orderkey AS STRING) END"
             " AS load_id",
-            "CASE WHEN o_orderkey % 49 <> 0 THEN CAST(o_custkey div 15 AS STRING) END"
-            " AS driver_id",
-            "CASE WHEN o_orderkey % 50 <> 0 THEN CAST(o_orderkey div 150 AS STRING)"
-            " END AS truck_id",
-            "CASE WHEN o_orderkey % 48 <> 0 THEN CAST(o_orderkey div 150 AS STRING)"
-            " END AS trailer_id",
+            "CASE WHEN o_orderkey % 49 <> 0 THEN"
+            f" {reference('o_custkey div 15', 25, 9)} END AS driver_id",
+            "CASE WHEN o_orderkey % 50 <> 0 THEN"
+            f" {reference('o_orderkey div 150', 30, 29)} END AS truck_id",
+            "CASE WHEN o_orderkey % 48 <> 0 THEN"
+            f" {reference('o_orderkey div 150', 20, 4)} END AS trailer_id",
             "date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 3 AS INT))"
             " AS dispatch_date",
             "CAST(abs(o_orderkey % 25 - o_custkey % 25) * 100 + o_orderkey % 90"
@@ -165,14 +171,13 @@ MAPPING = {
     ),
     "delivery_events": (
         "lineitem",
-        None,
         [
             "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS event_id",
             "CASE WHEN (l_orderkey + l_linenumber) % 83 <> 0 THEN"
             " CAST(l_orderkey AS STRING) END AS load_id",
             "CASE WHEN l_partkey % 79 <> 0 THEN concat('T', l_orderkey) END AS trip_id",
             "CASE l_linestatus WHEN 'O' THEN 'Delivery' ELSE 'Pickup' END AS event_type",
-            "CASE WHEN l_partkey % 61 <> 0 THEN CAST(l_suppkey AS STRING) END"
+            f"CASE WHEN l_partkey % 61 <> 0 THEN {reference('l_suppkey', 20, 19)} END"
             " AS facility_id",
             "l_shipdate + make_dt_interval(0, CAST(l_partkey % 24 AS INT))"
             " AS scheduled_datetime",
@@ -188,15 +193,14 @@ MAPPING = {
     ),
     "fuel_purchases": (
         "lineitem",
-        None,
         [
             "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
             " AS fuel_purchase_id",
             "concat('T', l_orderkey) AS trip_id",
             "CASE WHEN (l_orderkey * 7 + l_linenumber) % 50 <> 0 THEN"
-            " CAST(l_suppkey AS STRING) END AS truck_id",
+            f" {reference('l_suppkey', 30, 29)} END AS truck_id",
             "CASE WHEN (l_orderkey * 3 + l_linenumber) % 51 <> 0 THEN"
-            " CAST(l_partkey div 20 AS STRING) END AS driver_id",
+            f" {reference('l_partkey div 20', 25, 9)} END AS driver_id",
             "CAST(l_shipdate AS DATE) AS purchase_date",
             "concat('C', l_suppkey % 25) AS location_city",
             "concat('S', l_suppkey % 5) AS location_state",
@@ -208,10 +212,9 @@ MAPPING = {
     ),
     "maintenance_records": (
         "events",
-        None,
         [
             "CAST(event_id AS STRING) AS maintenance_id",
-            "CAST(user_id AS STRING) AS truck_id",
+            f"{reference('user_id', 30, 29)} AS truck_id",
             "CAST(ts AS DATE) AS maintenance_date",
             "event_type AS maintenance_type",
             "CAST(event_id * 10 AS DECIMAL(12,0)) AS odometer_reading",
@@ -227,15 +230,14 @@ MAPPING = {
     ),
     "safety_incidents": (
         "events",
-        "event_type = 'error'",
         [
             "CAST(event_id AS STRING) AS incident_id",
             "CASE WHEN event_id % 90 <> 0 THEN concat('T', event_id) END AS trip_id",
-            "CAST(user_id AS STRING) AS truck_id",
-            "CASE WHEN event_id % 45 <> 0 THEN CAST(user_id AS STRING) END AS driver_id",
+            f"{reference('user_id', 30, 29)} AS truck_id",
+            "CASE WHEN event_id % 45 <> 0 THEN"
+            f" {reference('user_id', 25, 9)} END AS driver_id",
             "CAST(ts AS DATE) AS incident_date",
-            "CASE event_id % 3 WHEN 0 THEN 'Collision' WHEN 1 THEN 'Backing'"
-            " ELSE 'Weather' END AS incident_type",
+            "event_type AS incident_type",
             "concat('C', user_id % 25) AS location_city",
             "concat('S', user_id % 5) AS location_state",
             "CASE WHEN {k} % 11 <> 0 THEN {k} % 2 = 0 END AS at_fault_flag",
@@ -307,21 +309,20 @@ class SampleWarehouse:
         elif source == "driver_monthly_metrics":
             frame = self._driver_months()
         else:
-            table, keep, columns = MAPPING[source]
-            frame = self.table(table)
-            if keep:
-                frame = frame.where(keep)
-            frame = frame.selectExpr(*[c.replace("{k}", INCIDENT_K) for c in columns])
+            table, columns = MAPPING[source]
+            frame = self.table(table).selectExpr(*[c.replace("{k}", INCIDENT_K) for c in columns])
         return derive(frame, SOURCES[source])
 
     def _routes(self) -> DataFrame:
-        """Ordered pairs of nations, from a list of 25 numbers per nation."""
+        """Lanes that orders use, as ordered pairs of nations."""
+        lanes = self.table("orders").selectExpr(
+            "CAST(o_orderkey % 25 AS INT) AS _o", "CAST(o_custkey % 25 AS INT) AS _d"
+        )
         nation = self.table("nation")
         origin = nation.select(
             F.col("n_nationkey").alias("_o"),
             F.col("n_name").alias("origin_city"),
             F.concat(F.lit("S"), F.col("n_regionkey")).alias("origin_state"),
-            F.explode(F.sequence(F.lit(0), F.lit(24))).alias("_d"),
         )
         destination = nation.select(
             F.col("n_nationkey").alias("_d"),
@@ -329,8 +330,9 @@ class SampleWarehouse:
             F.concat(F.lit("S"), F.col("n_regionkey")).alias("destination_state"),
         )
         return (
-            origin.join(destination, "_d")
-            .where("(_o * 25 + _d) % 50 <> 49")
+            lanes.distinct()
+            .join(origin, "_o")
+            .join(destination, "_d")
             .selectExpr(
                 "concat('R', _o * 25 + _d) AS route_id",
                 "origin_city",
@@ -348,7 +350,7 @@ class SampleWarehouse:
         return (
             self.table("lineitem")
             .groupBy(
-                F.col("l_suppkey").cast("string").alias("truck_id"),
+                F.expr(reference("l_suppkey", 30, 29)).alias("truck_id"),
                 F.trunc(F.col("l_shipdate").cast("date"), "month").alias("month"),
             )
             .agg(
@@ -376,7 +378,7 @@ class SampleWarehouse:
         return (
             self.table("orders")
             .groupBy(
-                F.expr("CAST(o_custkey div 15 AS STRING)").alias("driver_id"),
+                F.expr(reference("o_custkey div 15", 25, 9)).alias("driver_id"),
                 F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month"),
             )
             .agg(
