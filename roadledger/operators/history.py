@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from roadledger.operators.ranking import first_by
 from roadledger.operators.staging import COPIES, REJECT
@@ -18,15 +19,17 @@ SUPERSEDED = "superseded"
 def merge_latest(
     base: DataFrame, changes: DataFrame, key: Sequence[str], order: Column
 ) -> DataFrame:
-    """``base`` with every changed key replaced by its latest change.
+    """Per key the row with the largest ``order`` of ``base`` and ``changes``.
 
-    ``order`` ranks the changes of one key; include a tie-break. Keys new to
-    ``base`` are added. Late rows count like any other.
+    The stored row competes like any change, so a change that is older than it has
+    no effect, whenever it arrives and however changes are split into batches. Both
+    frames have the columns that ``order`` names; include a tie-break. A missing
+    order is the smallest. Keys new to ``base`` are added. Rows are reduced per key
+    before the one shuffle.
     """
     rest = [c for c in base.columns if c not in key]
-    latest = first_by(changes, key, order, rest)
-    kept = base.join(latest.select(*key), list(key), "left_anti")
-    return kept.unionByName(latest.select(*base.columns))
+    every = base.unionByName(changes.select(*base.columns))
+    return first_by(every, key, F.struct(order), rest).select(*base.columns)
 
 
 def upsert(
@@ -38,16 +41,17 @@ def upsert(
     order: Column,
     partition_by: Sequence[str],
     staging: str | None = None,
-    ranking_only: Sequence[str] = (),
 ) -> None:
     """Merge ``changes`` into a stored table, rewriting touched partitions only.
 
-    The table must have been written before, be it without rows. ``ranking_only``
-    names columns of ``changes`` that serve ``order`` and are not stored.
+    The table must have been written before, be it without rows. A stored row
+    competes with the changes: only a change of larger ``order`` replaces it, so the
+    columns that ``order`` names are stored with the row, and rows stored without
+    them come before every change.
 
     A replaced row leaves its partition; if the new row belongs to another one,
     the old row stays behind, refused as superseded, so that no partition is
-    left to be emptied. Running the same changes again gives the same table.
+    left to be emptied. Running the same changes again changes nothing.
 
     The new partitions are first written to ``staging`` because they are computed
     from the very files they replace: a folder on shared storage no other run
@@ -56,15 +60,20 @@ def upsert(
     keys, parts = list(key), list(partition_by)
     spark = warehouse.spark
     staging = staging or f"{shared_folder(spark)}/upsert/{uuid.uuid4().hex}"
-    names = [c for c in changes.columns if c not in ranking_only]
-    columns = changes.select(*names).schema
+    names = changes.columns
+    columns = StructType(list(changes.schema.fields))
     columns = columns.add(REJECT, "string").add(COPIES, "long")
     stored = spark.read.schema(columns).parquet(warehouse.path(layer, table))
     rest = [c for c in names if c not in keys]
-    latest = first_by(changes, keys, order, rest)
+    accepted = stored.where(F.col(REJECT).isNull())
+    newest = first_by(changes, keys, order, rest).withColumn("_order", F.struct(order))
+    held = accepted.select(*keys, F.struct(order).alias("_held"))
+    latest = newest.join(held, keys, "left").where(
+        F.col("_held").isNull() | (F.col("_order") > F.col("_held"))
+    )
+    latest = latest.select(*names)
     moved_to = latest.select(*keys, *[F.col(p).alias(f"_new_{p}") for p in parts])
 
-    accepted = stored.where(F.col(REJECT).isNull())
     hit = accepted.select(*keys, *parts).join(latest.select(*keys), keys, "left_semi")
     touched = hit.select(*parts).unionByName(latest.select(*parts)).distinct()
     same_place = F.lit(True)
@@ -118,15 +127,25 @@ def as_of(
 ) -> DataFrame:
     """Each fact row with the attributes valid on its day; NULL if none were.
 
-    An equi-join on the key; the period is a residual condition. Periods of one
-    key do not overlap, so a fact row finds at most one.
+    Periods are first laid out over the months in which the key has facts, so a fact
+    row meets the periods of its own key and month only: at most one per day,
+    however long the key's history is and however many facts it has.
     """
+    month = F.trunc(F.col(day), "month")
+    months = fact.select(F.col(key).alias("_key"), month.alias("_month")).distinct()
     periods = history.select(
         F.col(key).alias("_key"), "valid_from", "valid_to", *attributes
     )
+    open_in = (F.col("valid_from") <= F.last_day("_month")) & (
+        F.col("valid_to").isNull() | (F.col("valid_to") >= F.col("_month"))
+    )
+    monthly = months.join(periods, "_key").where(open_in)
     valid = (
         (F.col(key) == F.col("_key"))
+        & (month == F.col("_month"))
         & (F.col(day) >= F.col("valid_from"))
         & (F.col("valid_to").isNull() | (F.col(day) <= F.col("valid_to")))
     )
-    return fact.join(periods, valid, "left").drop("_key", "valid_from", "valid_to")
+    return fact.join(monthly, valid, "left").drop(
+        "_key", "_month", "valid_from", "valid_to"
+    )

@@ -986,10 +986,12 @@ def _(w):
 
 
 def _price_history(w: SampleWarehouse) -> DataFrame:
-    """Shipments as later corrections of a load's date and amount."""
+    """Shipments as corrections of a load's date and amount, some older than it."""
     return w.table("lineitem").select(
         F.col("l_orderkey").cast("string").alias("load_id"),
-        F.col("l_shipdate").cast("date").alias("load_date"),
+        F.expr(
+            "date_sub(CAST(l_shipdate AS DATE), CAST(l_orderkey % 3 * 400 AS INT))"
+        ).alias("load_date"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("revenue"),
     )
 

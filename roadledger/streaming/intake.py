@@ -1,8 +1,9 @@
 """New export files as a stream, merged batch by batch (RM-1).
 
 The stream keeps no state: which files were taken is in its checkpoint, and a
-batch merges by natural key. A replayed batch changes nothing, and a row that
-comes late is merged like any other instead of falling behind a watermark.
+batch merges by natural key. A replayed batch changes nothing. A row that comes
+late is merged by its file's time: it replaces nothing that is newer, so the table does
+not depend on how files fall into batches.
 """
 
 from __future__ import annotations
@@ -54,8 +55,9 @@ def merge_batches(
     file is left.
 
     ``partition_by`` maps a partition column to its SQL expression. ``check``
-    resolves references of a batch. Refused rows are kept in the audit layer. The
-    newest file wins per key. ``checkpoint`` is the stream's own folder, by default
+    resolves references of a batch. Refused rows are kept in the audit layer. Per key
+    the newest file wins, be it stored already; its time is stored as ``FILE_TIME``.
+    ``checkpoint`` is the stream's own folder, by default
     one per source under the session's checkpoint folder.
     """
     source = SOURCES[source_name]
@@ -84,7 +86,6 @@ def merge_batches(
             F.struct(F.col(FILE_TIME), tie),
             list(partition_by),
             f"{folder}/merged/{batch_id}",
-            ranking_only=[FILE_TIME],
         )
 
     return (

@@ -11,9 +11,10 @@ from tests import exports
 
 
 def test_merge_latest_with_a_hot_key(spark):
-    base = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    columns = "k string, v int, t int"
+    base = spark.createDataFrame([("a", 1, -1), ("b", 2, 5)], columns)
     changes = spark.createDataFrame(
-        [("a", i, i) for i in range(500)] + [("c", 7, 1)], "k string, v int, t int"
+        [("a", i, i) for i in range(500)] + [("b", 9, 4), ("c", 7, 1)], columns
     )
     got = merge_latest(base, changes, ["k"], F.col("t")).collect()
     assert {(r.k, r.v) for r in got} == {("a", 499), ("b", 2), ("c", 7)}
@@ -63,6 +64,22 @@ def test_upsert_rewrites_touched_partitions_only_and_is_repeatable(spark, tmp_pa
     assert files_after == files_before
 
 
+def test_an_older_change_never_replaces_a_newer_row(spark, tmp_path):
+    w = Warehouse(spark, f"{tmp_path}/wh")
+    changes = [("k", date(2020, 1, d), d) for d in (3, 9, 5)] + [("old", date(2019, 1, 1), 0)]
+    tables = []
+    for size in (1, 2, 4):
+        name = f"t{size}"
+        w.write(stored(spark, [("old", date(2020, 2, 2), 7)]), "silver", name, ["year"])
+        for begin in range(0, len(changes), size):
+            part = stored(spark, changes[begin : begin + size]).drop(REJECT, COPIES)
+            upsert(w, "silver", name, part, ["k"], F.struct("d", "v"), ["year"],
+                   f"{tmp_path}/stage-{size}-{begin}")
+        tables.append({(r.k, r.d, r.v) for r in w.read("silver", name).collect()})
+    assert tables[0] == {("k", date(2020, 1, 9), 9), ("old", date(2020, 2, 2), 7)}
+    assert tables[1] == tables[0] and tables[2] == tables[0]
+
+
 def test_versions_and_as_of(spark):
     seen = spark.createDataFrame(
         [
@@ -142,5 +159,13 @@ def test_file_stream_merges_late_and_repeated_rows(spark, tmp_path):
     got = w.read("silver", "fact_fuel")
     assert got.count() == len({r[0] for r in rows})
     assert str(got.where(F.col("fuel_purchase_id") == rows[10][0]).first()["total_cost"]) == "1.00"
+    # A file with an older time that comes later replaces nothing.
+    corrected[9] = "2.00"
+    arrive("d", [corrected])
+    import os
+    os.utime(f"{landing}/d.csv", (1_000_000_000, 1_000_000_000))
+    take()
+    got = w.read("silver", "fact_fuel")
+    assert str(got.where(F.col("fuel_purchase_id") == rows[10][0]).first()["total_cost"]) == "1.00"
     refused = w.read_all("audit", "refused_fact_fuel").collect()
     assert [r["fuel_purchase_id"] for r in refused] == ["FUELBAD"]
