@@ -74,24 +74,25 @@ def parted(
     Keys are 64-bit hashes. The wanted ones set bits in at most ``SLOTS`` slots, so the
     broadcast side is bounded at 2 MB; only the first part then needs a shuffle join.
     With very many wanted keys that part becomes all rows, which costs a shuffle and
-    nothing else.
+    nothing else. Columns of ``rows`` may have any name that does not start with _llm_.
     """
     slot = F.pmod(wanted_key, F.lit(SLOTS)).cast("bigint") + 1
     maps = (
         wanted.select(slot.alias("slot"))
-        .groupBy(F.bitmap_bucket_number("slot").alias("_bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("_bits"))
+        .groupBy(F.bitmap_bucket_number("slot").alias("_llm_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("_llm_bits"))
     )
     maps = stored(maps, "slots")
     marked = (
-        rows.withColumn("_slot", F.pmod(key, F.lit(SLOTS)).cast("bigint") + 1)
-        .withColumn("_bucket", F.bitmap_bucket_number("_slot"))
-        .withColumn("_bit", F.bitmap_bit_position("_slot"))
-        .join(F.broadcast(maps), "_bucket", "left")
+        rows.withColumn("_llm_slot", F.pmod(key, F.lit(SLOTS)).cast("bigint") + 1)
+        .withColumn("_llm_bucket", F.bitmap_bucket_number("_llm_slot"))
+        .withColumn("_llm_bit", F.bitmap_bit_position("_llm_slot"))
+        .join(F.broadcast(maps), "_llm_bucket", "left")
     )
     held = F.expr(
-        "_bits IS NOT NULL AND shiftright(cast(conv(hex(substring(_bits,"
-        " cast(_bit div 8 as int) + 1, 1)), 16, 10) as int), cast(_bit % 8 as int)) & 1 = 1"
+        "_llm_bits IS NOT NULL AND shiftright(cast(conv(hex(substring(_llm_bits,"
+        " cast(_llm_bit div 8 as int) + 1, 1)), 16, 10) as int),"
+        " cast(_llm_bit % 8 as int)) & 1 = 1"
     )
     some = marked.where(held).select(*rows.columns)
     none = marked.where(~held).select(*rows.columns)

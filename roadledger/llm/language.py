@@ -170,7 +170,7 @@ def text_scores(rows: DataFrame, model: np.ndarray | None, keep: list[str]) -> D
 
     ship(rows.sparkSession)
     given = rows.select(*names, "_text")
-    schema = StructType(given.drop("_text").schema.fields)
+    schema = StructType(list(given.drop("_text").schema.fields))
     schema = schema.add("_lettered", BooleanType()).add("_scores", ArrayType(DoubleType()))
     return given.mapInArrow(score, schema)
 
@@ -292,27 +292,26 @@ def accepted(docs: DataFrame, least: float = LEAST) -> DataFrame:
             (F.col("posterior") < least) | ~F.col("language").eqNullSafe(F.col("lang"))
         )
         .select(
-            F.col("doc_id").alias("_id"),
-            F.col("text_key").alias("_key"),
-            F.col("lang").alias("_lang"),
-            F.col("source").alias("_source"),
-            "language",
-            (F.col("posterior") >= least).alias("good"),
+            F.col("doc_id").alias("_llm_id"),
+            F.col("text_key").alias("_llm_key"),
+            F.col("lang").alias("_llm_lang"),
+            F.col("source").alias("_llm_source"),
+            F.col("language").alias("_llm_language"),
+            (F.col("posterior") >= least).alias("_llm_good"),
         )
         .distinct(),
         "changes",
     )
-    keyed = docs.withColumn("_own", text_key())
-    some, rest = parted(keyed, F.col("_own"), other, F.col("_key"))
-    match = F.col("l._own") == F.col("r._key")
-    for own, theirs in (("doc_id", "_id"), ("lang", "_lang"), ("source", "_source")):
-        match &= F.col(f"l.{own}").eqNullSafe(F.col(f"r.{theirs}"))
-    joined = some.alias("l").join(other.alias("r"), match, "left")
-    joined = joined.where(F.coalesce("good", F.lit(True))).select(
+    keyed = docs.withColumn("_llm_own", text_key())
+    some, rest = parted(keyed, F.col("_llm_own"), other, F.col("_llm_key"))
+    match = F.col("_llm_own") == F.col("_llm_key")
+    for name in ("id", "lang", "source"):
+        own = "doc_id" if name == "id" else name
+        match &= F.col(own).eqNullSafe(F.col(f"_llm_{name}"))
+    joined = some.join(other, match, "left")
+    joined = joined.where(F.coalesce("_llm_good", F.lit(True))).select(
         *[
-            F.coalesce("language", F.col("l.lang")).alias("lang")
-            if c == "lang"
-            else F.col(f"l.`{c}`")
+            F.coalesce("_llm_language", "lang").alias("lang") if c == "lang" else c
             for c in docs.columns
         ]
     )

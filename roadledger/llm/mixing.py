@@ -262,12 +262,19 @@ def mixed(
         .select(
             *group,
             "_mix_part",
-            "n_part",
+            F.col("n_part").alias("_mix_n"),
             (
                 F.expr("(seen * k) div n") - F.expr("((seen - n_part) * k) div n")
-            ).alias("k_part"),
+            ).alias("_mix_k"),
+        )
+        .join(
+            wanted.select(
+                "_mix_source",
+                F.col("source_size").alias("_mix_words"),
+                F.col("target").alias("_mix_target"),
+            ),
+            "_mix_source",
         )
-        .join(wanted.select("_mix_source", "source_size", "target"), "_mix_source")
     )
     within = Window.partitionBy(*group, "_mix_part").orderBy("_mix_hash", "doc_id")
     kept = [
@@ -281,10 +288,10 @@ def mixed(
         .select(
             *kept,
             F.col("_mix_size").alias("size"),
-            "source_size",
-            "target",
+            F.col("_mix_words").alias("source_size"),
+            F.col("_mix_target").alias("target"),
             F.expr(
-                "(_mix_rank * k_part) div n_part - ((_mix_rank - 1) * k_part) div n_part"
+                "(_mix_rank * _mix_k) div _mix_n - ((_mix_rank - 1) * _mix_k) div _mix_n"
             ).alias("copies"),
         )
     )

@@ -190,23 +190,26 @@ def cleaned(
 ) -> DataFrame:
     """``docs`` with the repeated paragraphs cut out, and ``removed``, their positions."""
     cut = removals(docs, threshold, least_words)
-    keyed = docs.withColumn("_key", text_key())
-    some, rest = parted(keyed, F.col("_key"), cut, F.col("text_key"))
+    keyed = docs.withColumn("_llm_own", text_key())
+    some, rest = parted(keyed, F.col("_llm_own"), cut, F.col("text_key"))
     cut = cut.select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "lines"
+        F.col("doc_id").alias("_llm_id"),
+        F.col("text_key").alias("_llm_key"),
+        F.col("lines").alias("_llm_lines"),
     )
-    match = (F.col("l._key") == F.col("r._key")) & F.col("l.doc_id").cast(
+    match = (F.col("_llm_own") == F.col("_llm_key")) & F.col("doc_id").cast(
         "bigint"
-    ).eqNullSafe(F.col("r._id"))
-    joined = some.alias("l").join(cut.alias("r"), match, "left")
+    ).eqNullSafe(F.col("_llm_id"))
+    joined = some.join(cut, match, "left")
     none = F.array().cast("array<int>")
-    columns = [c for c in docs.columns if c != "text"]
+    columns = [c for c in docs.columns if c not in ("text", "removed")]
     changed = joined.select(
-        *[F.col(f"l.`{c}`") for c in columns],
-        F.when(F.col("lines").isNull(), F.col("l.text"))
-        .otherwise(without_lines(F.col("l.text"), F.col("lines")))
+        *columns,
+        F.when(F.col("_llm_lines").isNull(), F.col("text"))
+        .otherwise(without_lines(F.col("text"), F.col("_llm_lines")))
         .alias("text"),
-        F.coalesce("lines", none).alias("removed"),
+        F.coalesce("_llm_lines", none).alias("removed"),
     )
     same = rest.select(*columns, "text", none.alias("removed"))
-    return changed.unionByName(same).select(*docs.columns, "removed")
+    ordered = [c for c in docs.columns if c != "removed"]
+    return changed.unionByName(same).select(*ordered, "removed")
