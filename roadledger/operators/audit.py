@@ -71,7 +71,7 @@ class RunAudit:
         try:
             self.warehouse.write(observed, layer, table, partition_by)
         except Exception as error:
-            self.note(layer, table, 0, None, started, "FAILED", str(error)[:500])
+            self.note(layer, table, 0, None, started, "FAILED", str(error))
             self.flush()
             raise
         counts = seen.get

@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 from roadledger.model import UNKNOWN_KEY, UNKNOWN_SK, Dimension
 
-# Rows without a usable key are spread over this many values that match no
-# parent, so they do not meet in one shuffle partition.
-SPREAD = 1024
+# Rows without a usable key get values that match no parent and follow from the row,
+# so they do not meet in one shuffle partition.
 NO_MATCH = "\u001fnone-"
 
 # Three hex digits of a digest: at most 4,096 numbering buckets.
@@ -31,8 +30,8 @@ def _probe(key: str, spread_by: Sequence[str]) -> Column:
     all such rows to one task. They get a key that depends on the row instead.
     """
     c = F.col(key)
-    slot = F.pmod(F.xxhash64(*[F.col(x) for x in spread_by]), F.lit(SPREAD))
-    nowhere = F.concat(F.lit(NO_MATCH), slot.cast("string"))
+    own = F.xxhash64(*[F.col(x) for x in spread_by])
+    nowhere = F.concat(F.lit(NO_MATCH), own.cast("string"))
     return F.when(c.isNull() | (c == UNKNOWN_KEY), nowhere).otherwise(c)
 
 

@@ -137,9 +137,10 @@ def driver_spread(fact_delivery: DataFrame, fact_trip: DataFrame) -> DataFrame:
 
 
 def facility_spread(fact_delivery: DataFrame) -> DataFrame:
-    """FD-4: range of facility on-time shares and mean waits."""
+    """FD-4: range of on-time shares and mean waits over known facilities."""
     per_facility = (
         _deliveries(fact_delivery)
+        .where(F.col("facility_id") != UNKNOWN_KEY)
         .groupBy("facility_id")
         .agg(
             _on_time_pct().alias("_ot"),
@@ -194,7 +195,7 @@ def fuel_price_effect(
     effect = fuel.agg(
         F.lit(last).alias("year"),
         F.round((price[last] / price[first] - 1) * 100, 1).alias("ppg_change_pct"),
-        F.round(of(last, "_gallons") * (price[first] - price[last]), 0).alias("saving"),
+        F.bround(of(last, "_gallons") * (price[first] - price[last]), 0).alias("saving"),
     )
     price_rows = fuel.select(
         "year",
@@ -233,9 +234,10 @@ def account_concentration(
         )
     )
     gross = fact_load.groupBy("customer_id").agg(F.sum("gross_revenue").alias("_gross"))
-    total = gross.agg(F.sum("_gross").alias("_total"))
-    # An account no customer record backs cannot be named, so it is not ranked.
-    known = gross.where(F.col("customer_id") != UNKNOWN_KEY).join(accounts, "customer_id")
+    # Revenue without an account is neither ranked nor part of the total.
+    keyed = gross.where(F.col("customer_id") != UNKNOWN_KEY)
+    total = keyed.agg(F.sum("_gross").alias("_total"))
+    known = keyed.join(accounts, "customer_id")
     top = top_k(known, "_gross", 1, ["customer_id"]).select(
         F.col("customer_id").alias("top_id"),
         F.col("customer_name").alias("top_name"),
@@ -249,10 +251,10 @@ def account_concentration(
         "names",
         "top_id",
         "top_name",
-        F.round("_top_gross", 0).alias("top_gross"),
+        F.bround("_top_gross", 0).alias("top_gross"),
         pct(F.col("_top_gross"), F.col("_total"), 2).alias("top_share"),
         "shared_name_accounts",
-        F.round(F.coalesce("_shared_gross", F.lit(0)), 0).alias("shared_name_gross"),
+        F.bround(F.coalesce("_shared_gross", F.lit(0)), 0).alias("shared_name_gross"),
     )
 
 
@@ -276,7 +278,7 @@ def unassigned_trips(fact_trip: DataFrame, fact_load: DataFrame) -> DataFrame:
     return one_row([counts, revenue]).select(
         pct(F.col("unassigned_trips"), F.col("_trips")).alias("unassigned_share"),
         "unassigned_trips",
-        F.round(F.coalesce("_revenue", F.lit(0)), 0).alias("unassigned_revenue"),
+        F.bround(F.coalesce("_revenue", F.lit(0)), 0).alias("unassigned_revenue"),
     )
 
 
@@ -304,7 +306,7 @@ def out_of_window(
     """FD-10: fuel rows, fuel cost and events of the partial year."""
     fuel = fact_fuel.where(F.year("purchase_date") == year).agg(
         F.count(F.lit(1)).alias("fuel_rows"),
-        F.round(sum0(F.col("total_cost")), 0).alias("fuel_cost"),
+        F.bround(sum0(F.col("total_cost")), 0).alias("fuel_cost"),
     )
     events = fact_delivery.where(F.year("scheduled_datetime") == year).agg(
         F.count(F.lit(1)).alias("events")

@@ -315,14 +315,26 @@ def costly_trucks(maintenance: DataFrame, cap: float = 0.10) -> DataFrame:
 def low_mpg_truck_months(fact_truck_monthly: DataFrame, dim_truck: DataFrame) -> DataFrame:
     """KPI-11: per month the fifth of known trucks with the lowest mpg.
 
-    A month holds at most one row per truck, so a partition of the window is
-    bounded by the fleet.
+    Trucks are counted per month and mpg value, so the running total covers the
+    values of a month, not its fleet. Values wholly under the fifth need no
+    ranking; only the trucks of the one value that crosses it are ranked, by id.
     """
-    month = Window.partitionBy("date_sk").orderBy("average_mpg", "truck_id")
-    return (
-        fact_truck_monthly.where((F.col("truck_sk") > 0) & F.col("average_mpg").isNotNull())
-        .join(dim_truck.select("truck_sk", "truck_id"), "truck_sk")
-        .withColumn("quintile", F.ntile(5).over(month))
-        .where(F.col("quintile") == 1)
-        .select("truck_id", "date_sk", "average_mpg")
+    known = fact_truck_monthly.where(
+        (F.col("truck_sk") > 0) & F.col("average_mpg").isNotNull()
+    ).join(dim_truck.select("truck_sk", "truck_id"), "truck_sk")
+    value = ["date_sk", "average_mpg"]
+    month = Window.partitionBy("date_sk")
+    counted = known.groupBy(*value).agg(F.count(F.lit(1)).alias("_n"))
+    fifth = F.ceil(F.sum("_n").over(month) / 5)
+    upto = F.sum("_n").over(month.orderBy("average_mpg"))
+    room = counted.select(*value, "_n", (fifth - upto + F.col("_n")).alias("_room"))
+    low = known.join(room.where("_room > 0"), value)
+    whole = low.where("_n <= _room")
+    ranked = Window.partitionBy(*value).orderBy("truck_id")
+    crossing = (
+        low.where("_n > _room")
+        .withColumn("_rank", F.row_number().over(ranked))
+        .where("_rank <= _room")
     )
+    columns = ["truck_id", "date_sk", "average_mpg"]
+    return whole.select(*columns).unionByName(crossing.select(*columns))

@@ -1427,7 +1427,7 @@ add(
     "SELECT MIN(ot) AS fac_ot_min, MAX(ot) AS fac_ot_max, MIN(det) AS fac_det_min,"
     f" MAX(det) AS fac_det_max FROM (SELECT e.facility_id, {pct(HIT, KNOWN)} AS ot,"
     f" {ratio('SUM(e.detention_minutes)', 'COUNT(e.detention_minutes)', 1)} AS det"
-    f" FROM s_events e WHERE {DLV} GROUP BY 1)",
+    f" FROM s_events e WHERE {DLV} AND e.facility_id <> '-1' GROUP BY 1)",
 )
 
 
@@ -1455,7 +1455,7 @@ add(
     "year:i ppg:d mpg:d ppg_change_pct:d saving:d",
     f"SELECT f.year, f.ppg, t.mpg,"
     " CASE WHEN f.year = 2000 THEN ROUND((b.p / a.p - 1) * 100, 1) END AS ppg_change_pct,"
-    " CASE WHEN f.year = 2000 THEN ROUND(b.g * (a.p - b.p), 0) END AS saving FROM"
+    " CASE WHEN f.year = 2000 THEN round_even(b.g * (a.p - b.p), 0) END AS saving FROM"
     f" (SELECT year(purchase_date) AS year, {ratio('SUM(total_cost)', 'SUM(gallons)', 3)}"
     " AS ppg FROM s_fuel WHERE year(purchase_date) BETWEEN 1996 AND 2000 GROUP BY 1) f"
     " LEFT JOIN (SELECT year(dispatch_date) AS year,"
@@ -1472,19 +1472,19 @@ add(
     " shared_name_accounts:i shared_name_gross:d",
     "SELECT (SELECT COUNT(DISTINCT customer_id) FROM x_customers) AS accounts,"
     " (SELECT COUNT(DISTINCT customer_name) FROM x_customers) AS names,"
-    " t.customer_id AS top_id, t.customer_name AS top_name, ROUND(t.g, 0) AS top_gross,"
+    " t.customer_id AS top_id, t.customer_name AS top_name, round_even(CAST(t.g AS DOUBLE), 0) AS top_gross,"
     f" {pct('t.g', 'a.total', 2)} AS top_share,"
     " (SELECT COUNT(*) FROM x_customers WHERE customer_name = 'BUILDING 1')"
-    " AS shared_name_accounts, (SELECT ROUND(COALESCE(SUM(g), 0), 0) FROM"
+    " AS shared_name_accounts, (SELECT round_even(CAST(COALESCE(SUM(g), 0) AS DOUBLE), 0) FROM"
     f" ({GROSS_BY_ACCOUNT}) WHERE customer_name = 'BUILDING 1') AS shared_name_gross"
     f" FROM (SELECT * FROM ({GROSS_BY_ACCOUNT}) ORDER BY g DESC, customer_id LIMIT 1) t,"
-    " (SELECT SUM(gross_revenue) AS total FROM s_loads) a",
+    " (SELECT SUM(gross_revenue) AS total FROM s_loads WHERE customer_id <> '-1') a",
 )
 add(
     "fd_unassigned",
     "unassigned_share:d unassigned_trips:i unassigned_revenue:d",
     f"SELECT {pct('n', 'trips')} AS unassigned_share, n AS unassigned_trips,"
-    " ROUND(COALESCE(g, 0), 0) AS unassigned_revenue FROM (SELECT COUNT(*) AS trips,"
+    " round_even(CAST(COALESCE(g, 0) AS DOUBLE), 0) AS unassigned_revenue FROM (SELECT COUNT(*) AS trips,"
     " SUM(CASE WHEN t.truck_id = '-1' THEN 1 ELSE 0 END) AS n,"
     " SUM(CASE WHEN t.truck_id = '-1' THEN l.gross_revenue END) AS g FROM s_trips t"
     " LEFT JOIN s_loads l ON l.load_id = t.load_id)",
@@ -1503,7 +1503,8 @@ add(
     "fd_out_of_window",
     "fuel_rows:i fuel_cost:d events:i",
     "SELECT (SELECT COUNT(*) FROM s_fuel WHERE year(purchase_date) = 2001) AS fuel_rows,"
-    " (SELECT ROUND(COALESCE(SUM(total_cost), 0), 0) FROM s_fuel WHERE year(purchase_date) = 2001)"
+    " (SELECT round_even(CAST(COALESCE(SUM(total_cost), 0) AS DOUBLE), 0) FROM s_fuel"
+    " WHERE year(purchase_date) = 2001)"
     " AS fuel_cost,"
     " (SELECT COUNT(*) FROM s_events WHERE year(scheduled_datetime) = 2001) AS events",
 )
