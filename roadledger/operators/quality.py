@@ -226,6 +226,27 @@ def kpi_check(actual: DataFrame, expected: Sequence[tuple[str, float, float]]) -
     return rows.withColumn("ok", ok)
 
 
+def compare_figures(
+    actual: DataFrame, expected: DataFrame, tolerances: Mapping[str, float]
+) -> DataFrame:
+    """DQ-13: figures against the same figures computed another way.
+
+    Both frames have one row and a column per label of ``tolerances``. A missing
+    figure fails.
+    """
+
+    def rows(frame: DataFrame, name: str) -> DataFrame:
+        cells = ", ".join(f"'{x}', CAST(`{x}` AS DOUBLE)" for x in tolerances)
+        return frame.select(F.expr(f"stack({len(tolerances)}, {cells}) AS (label, {name})"))
+
+    allowed = F.create_map(*[F.lit(x) for pair in tolerances.items() for x in pair])
+    both = rows(actual, "actual").join(rows(expected, "expected"), "label")
+    ok = F.abs(F.col("actual") - F.col("expected")) <= F.col("tolerance")
+    return both.withColumn("tolerance", allowed[F.col("label")].cast("double")).withColumn(
+        "ok", F.coalesce(ok, F.lit(False))
+    )
+
+
 def completeness(
     frame: DataFrame, name: str, column: str, weight: str | None = None
 ) -> DataFrame:

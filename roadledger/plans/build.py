@@ -30,7 +30,7 @@ from roadledger.plans.silver import silver_rows
 from roadledger.plans.star import build_dimension, build_fact
 from roadledger.plans.views import register_views
 from roadledger.sources.calendar import calendar
-from roadledger.sources.delimited import read_delimited
+from roadledger.sources.delimited import read_delimited, source_row_counts
 from roadledger.sources.export import write_columnar
 from roadledger.sources.tables import Warehouse
 
@@ -164,11 +164,42 @@ class WarehouseBuild:
         for name, (build, inputs) in ROLLUPS.items():
             write_columnar(build(*[silver[t] for t in inputs]), f"{path}/{name}")
 
+    def source_rows(self) -> DataFrame:
+        """Data lines of every source's files against what bronze took."""
+        frames = []
+        for name in SOURCES:
+            counts = source_row_counts(self.spark, f"{self.source_dir}/{name}*")
+            frames.append(
+                counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("source_rows")).select(
+                    F.lit(name).alias("object_name"), "source_rows"
+                )
+            )
+        taken = self.audit.frame().where("layer = 'bronze'")
+        loaded = F.col("rows_loaded") + F.coalesce("rows_rejected", F.lit(0))
+        return (
+            quality.union_all(frames)
+            .join(taken.select("object_name", loaded.alias("bronze_rows")), "object_name")
+            .withColumn("same", F.col("source_rows") == F.col("bronze_rows"))
+        )
+
+    def checks(self) -> None:
+        """Orphans, integrity, conservation and source counts, kept in the audit layer."""
+        for name, frame in (
+            ("check_orphans", self.orphans()),
+            ("check_integrity", self.integrity()),
+            ("check_conservation", self.conservation()),
+            ("check_source_rows", self.source_rows()),
+        ):
+            self.warehouse.write(
+                frame.withColumn("run_id", F.lit(self.audit.run_id)), "audit", name
+            )
+
     def run(self) -> str:
-        """All layers, then the audit lines and the views; returns the run id."""
+        """All layers, their checks, the audit lines and the views; returns the run id."""
         self.bronze()
         self.silver()
         self.gold()
+        self.checks()
         self.audit.flush()
         register_views(self.tables())
         return self.audit.run_id

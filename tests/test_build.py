@@ -36,6 +36,18 @@ def test_no_row_is_lost(built, source_rows):
     assert [r["object_name"] for r in got.values() if not r["conserved"]] == []
 
 
+def test_checks_are_stored_by_the_run(built):
+    stored = {
+        name: built.warehouse.read_all("audit", f"check_{name}").collect()
+        for name in ("orphans", "integrity", "conservation", "source_rows")
+    }
+    assert all({r["run_id"] for r in rows} == {built.audit.run_id} for rows in stored.values())
+    assert all(r["conserved"] for r in stored["conservation"]) and len(stored["conservation"]) == 14
+    assert sum(r["orphans"] for r in stored["orphans"]) > 0
+    assert sum(r["dangling"] for r in stored["integrity"]) == 0
+    assert len(stored["source_rows"]) == 14 and all(r["same"] for r in stored["source_rows"])
+
+
 def test_audit_has_one_line_per_object(built):
     lines = built.warehouse.read_all("audit", "pipeline_audit").collect()
     assert len(lines) == 14 + 15 + 15
