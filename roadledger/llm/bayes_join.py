@@ -6,11 +6,13 @@
    0.85 with 1e-6. Only classes in buckets of two or more go on, with their values.
 3. Inside a bucket, pairs compare their values step by step. With a uniform prior on the
    similarity, the posterior probability of reaching the threshold follows from the
-   matches so far; below ``TOLERANCE`` the pair is dropped. A pair counts in the first
-   band it shares only, so it leaves the step once. Buckets of more than ``BLOCK`` classes
-   are cut into blocks, and pairs of blocks go to different tasks; no pair that was
-   dropped is ever a row.
-4. What is left is verified on the exact shingle sets, fetched for those classes alone.
+   matches so far; below ``TOLERANCE`` the pair is dropped. Pairs never become rows: a
+   bucket gives the edges that connect what stayed, fewer than it has classes. Buckets of
+   more than ``BLOCK`` classes are cut into blocks, pairs of blocks go to different tasks.
+4. Components of those edges hold every candidate pair. The exact shingle sets are fetched
+   for their classes alone; the classes of a component meet block by block once more, what
+   the comparison leaves is verified exactly, and a task returns link counts per class
+   and the links that connect them.
 
 The result has a row per document; copies stay one class and are never paired up.
 
@@ -40,6 +42,7 @@ ROWS, BANDS = 5, 24
 STEP, VALUES = 24, 240
 TOLERANCE = 1e-4
 BLOCK = 512
+BLOCK_SHINGLES = 400_000
 
 
 def least_matches(
@@ -122,95 +125,209 @@ def shared_buckets(classes: DataFrame) -> DataFrame:
     return rows.join(several, "key")
 
 
-def surviving_pairs(buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    """a, b: pairs of classes that the comparison of values did not drop."""
-    blocks = F.ceil(F.col("n") / BLOCK)
-    own = F.pmod(F.xxhash64("rid"), blocks)
-    placed = (
-        buckets.join(classes.select("rid", "sig"), "rid")
-        .withColumn("own", own)
+def close_pairs(group, own, split, sig, least, skip=None):
+    """Pairs of rows (i < j) of one group that the comparison does not drop.
+
+    Rows lie in order of ``group``. Where ``split``, a group holds two blocks and only
+    rows of different ``own`` meet. ``skip`` refuses pairs that another group has.
+    """
+    count = len(group)
+    new = np.r_[True, group[1:] != group[:-1]]
+    ends = np.r_[np.flatnonzero(new)[1:], count]
+    room = ends[np.cumsum(new) - 1] - np.arange(count)  # rows from here to the end
+    left, right = [], []
+    at = np.arange(count)
+    for gap in range(1, int(room.max(initial=1))):
+        at = at[room[at] > gap]
+        i, j = at, at + gap
+        meet = ~split[i] | (own[i] != own[j])
+        if skip is not None:
+            meet &= ~skip(i, j)
+        i, j = i[meet], j[meet]
+        matches = np.zeros(len(i), dtype=np.int64)
+        for n in range(STEP, VALUES + 1, STEP):
+            matches += (sig[i, n - STEP : n] == sig[j, n - STEP : n]).sum(axis=1)
+            stay = matches >= least[n]
+            i, j, matches = i[stay], j[stay], matches[stay]
+        left.append(i)
+        right.append(j)
+    none = np.zeros(0, dtype=np.int64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
+
+
+def forest(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that connect as much as all of them do: fewer than there are rows."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    kept = []
+    for k, (a, b) in enumerate(zip(i.tolist(), j.tolist())):
+        a, b = find(a), find(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            kept.append(k)
+    return i[kept], j[kept]
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], names: list[str]):
+    """Batches cut between groups; rows come in order of the columns ``names``."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if rest is not None:
+            table = pa.concat_tables([rest, table])
+        rows = table.combine_chunks().to_batches()
+        if not rows:
+            continue
+        last = np.ones(rows[0].num_rows, dtype=bool)
+        for name in names:
+            values = rows[0].column(name).to_numpy()
+            last &= values == values[-1]
+        cut = rows[0].num_rows - int(last.sum())
+        rest = table.slice(cut)
+        if cut:
+            yield rows[0].slice(0, cut)
+    if rest is not None and rest.num_rows:
+        yield rest.combine_chunks().to_batches()[0]
+
+
+def group_numbers(rows: pa.RecordBatch, names: list[str]) -> np.ndarray:
+    new = np.zeros(rows.num_rows, dtype=bool)
+    for name in names:
+        values = rows.column(name).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.cumsum(new)
+
+
+def signatures(column: pa.Array) -> np.ndarray:
+    begin = _offset(column)
+    raw = np.frombuffer(column.buffers()[2], np.uint8)
+    return raw[begin : begin + len(column) * VALUES].reshape(len(column), VALUES)
+
+
+GROUP = ["key", "low", "high"]
+
+
+def in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
+    """The rows of a group in pairs of blocks (low, high), sorted by group and pair."""
+    return (
+        rows.withColumn("own", F.pmod(F.xxhash64("rid"), blocks))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-        .select(
-            "key",
-            F.least("own", "other").alias("low"),
-            F.greatest("own", "other").alias("high"),
-            "own",
-            "band",
-            "rid",
-            "sig",
-        )
+        .withColumn("low", F.least("own", "other"))
+        .withColumn("high", F.greatest("own", "other"))
+        .repartition(*GROUP)
+        .sortWithinPartitions(*GROUP)
     )
-    least = least_matches()
-    names = ["key", "low", "high"]
-
-    def compare(table: pa.RecordBatch) -> pa.RecordBatch:
-        columns = [table.column(i).to_numpy() for i in range(5)]
-        key, low, high, own, band = columns
-        count = len(key)
-        sig = np.frombuffer(table.column(6).buffers()[2], np.uint8)
-        begin = _offset(table.column(6))
-        sig = sig[begin : begin + count * VALUES].reshape(count, VALUES)
-        keys = sig[:, : ROWS * BANDS].reshape(count, BANDS, ROWS)
-        weights = np.uint64(256) ** np.arange(ROWS, dtype=np.uint64)
-        keys = (keys.astype(np.uint64) * weights).sum(axis=2)
-        new = np.r_[
-            True,
-            (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1]),
-        ]
-        group = np.cumsum(new)
-        ends = np.r_[np.flatnonzero(new)[1:], count]
-        room = ends[group - 1] - np.arange(count)  # rows from here to the group's end
-        earlier = np.arange(BANDS)[None, :] < band[:, None]
-        left, right = [], []
-        at = np.arange(count)
-        for gap in range(1, int(room.max(initial=1))):
-            at = at[room[at] > gap]
-            i = at
-            j = i + gap
-            apart = (low[i] == high[i]) | (own[i] != own[j])
-            i, j = i[apart], j[apart]
-            again = ((keys[i] == keys[j]) & earlier[i]).any(axis=1)
-            i, j = i[~again], j[~again]
-            matches = np.zeros(len(i), dtype=np.int64)
-            for n in range(STEP, VALUES + 1, STEP):
-                matches += (sig[i, n - STEP : n] == sig[j, n - STEP : n]).sum(axis=1)
-                stay = matches >= least[n]
-                i, j, matches = i[stay], j[stay], matches[stay]
-            left.append(i)
-            right.append(j)
-        i = np.concatenate(left) if left else np.zeros(0, dtype=np.int64)
-        j = np.concatenate(right) if right else np.zeros(0, dtype=np.int64)
-        rid = table.column(5)
-        return pa.RecordBatch.from_arrays(
-            [rid.take(pa.array(i)), rid.take(pa.array(j))], names=["a", "b"]
-        )
+
+
+def candidate_edges(
+    buckets: DataFrame, classes: DataFrame, threshold: float
+) -> DataFrame:
+    """a, b: pairs that connect the classes whose comparison in some bucket went well."""
+    least = least_matches(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if rest is not None:
-                table = pa.concat_tables([rest, table])
-            table = table.combine_chunks()
-            rows = table.to_batches()[0] if table.num_rows else None
-            if rows is None:
-                continue
-            last = np.ones(rows.num_rows, dtype=bool)
-            for name in names:
-                values = rows.column(name).to_numpy()
-                last &= values == values[-1]
-            cut = rows.num_rows - int(last.sum())
-            rest = table.slice(cut)
-            if cut:
-                yield compare(rows.slice(0, cut))
-        if rest is not None and rest.num_rows:
-            yield compare(rest.combine_chunks().to_batches()[0])
+        for rows in whole_groups(batches, GROUP):
+            low, high, own, band = (
+                rows.column(n).to_numpy() for n in ("low", "high", "own", "band")
+            )
+            sig = signatures(rows.column("sig"))
+            keys = sig[:, : ROWS * BANDS].reshape(len(sig), BANDS, ROWS)
+            weights = np.uint64(256) ** np.arange(ROWS, dtype=np.uint64)
+            keys = (keys.astype(np.uint64) * weights).sum(axis=2)
+            earlier = np.arange(BANDS)[None, :] < band[:, None]
+            i, j = close_pairs(
+                group_numbers(rows, GROUP),
+                own,
+                low != high,
+                sig,
+                least,
+                # A pair belongs to the first band that it shares.
+                lambda i, j: ((keys[i] == keys[j]) & earlier[i]).any(axis=1),
+            )
+            i, j = forest(i, j)
+            rid = rows.column("rid")
+            yield pa.RecordBatch.from_arrays(
+                [rid.take(pa.array(i)), rid.take(pa.array(j))], names=["a", "b"]
+            )
 
-    return (
-        placed.repartition(*names)
-        .sortWithinPartitions(*names)
-        .mapInArrow(run, "a binary, b binary")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rows = buckets.join(classes.select("rid", "sig"), "rid")
+    return in_blocks(rows, F.ceil(F.col("n") / BLOCK)).mapInArrow(
+        run, "a binary, b binary"
+    )
+
+
+def shared_shingles(
+    values: np.ndarray, offsets: np.ndarray, i: np.ndarray, j: np.ndarray
+) -> np.ndarray:
+    """Size of the intersection of sets i and j, pair by pair."""
+    both = np.zeros(len(i), dtype=np.int64)
+    order = np.argsort(i, kind="stable")
+    firsts = np.flatnonzero(np.r_[True, i[order][1:] != i[order][:-1]]) if len(i) else ()
+    for begin, end in zip(firsts, [*firsts[1:], len(order)]):
+        at = order[begin:end]
+        one = values[offsets[i[at[0]]] : offsets[i[at[0]] + 1]]
+        others = [values[offsets[k] : offsets[k + 1]] for k in j[at].tolist()]
+        every = np.concatenate(others)
+        place = np.minimum(np.searchsorted(one, every), len(one) - 1)
+        starts = np.cumsum([0, *[len(x) for x in others[:-1]]])
+        both[at] = np.add.reduceat((one[place] == every).astype(np.int64), starts)
+    return both
+
+
+def verified_links(
+    members: DataFrame, threshold: float
+) -> DataFrame:
+    """rid, partners, to: linked documents per class and block, and connecting links.
+
+    ``members`` has rid, sig, copies, shingles, and key, n, total: its component of
+    candidates with the number of classes and of shingles there. All classes of a
+    component meet block by block. What leaves a task is a row per class and a
+    connecting forest, never a row per pair.
+    """
+    least = least_matches(threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, GROUP):
+            low, high, own, copies = (
+                rows.column(n).to_numpy() for n in ("low", "high", "own", "copies")
+            )
+            sig, sets = signatures(rows.column("sig")), rows.column("shingles")
+            offsets = sets.offsets.to_numpy().astype(np.int64)
+            i, j = close_pairs(
+                group_numbers(rows, GROUP), own, low != high, sig, least
+            )
+            both = shared_shingles(sets.values.to_numpy(), offsets, i, j)
+            sizes = np.diff(offsets)
+            linked = both / (sizes[i] + sizes[j] - both) >= threshold
+            i, j = i[linked], j[linked]
+            partners = np.zeros(rows.num_rows, dtype=np.int64)
+            np.add.at(partners, i, copies[j])
+            np.add.at(partners, j, copies[i])
+            some = np.flatnonzero(partners)
+            a, b = forest(i, j)
+            rid = rows.column("rid")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rid.take(pa.array(np.concatenate([some, a]))),
+                    pa.array(np.concatenate([partners[some], np.zeros_like(a)])),
+                    pa.concat_arrays(
+                        [pa.nulls(len(some), pa.binary()), rid.take(pa.array(b))]
+                    ),
+                ],
+                names=["rid", "partners", "to"],
+            )
+
+    blocks = F.greatest(
+        F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)
+    )
+    return in_blocks(members, blocks).mapInArrow(
+        run, "rid binary, partners bigint, to binary"
     )
 
 
@@ -276,16 +393,16 @@ class Joined:
             ),
             "classes",
         )
-        pairs = stored(
-            surviving_pairs(
-                stored(shared_buckets(self.classes), "buckets"), self.classes
-            ),
-            "pairs",
+        edges = candidate_edges(
+            stored(shared_buckets(self.classes), "buckets"), self.classes, threshold
         )
-        needed = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
+        candidates = stored(components(edges), "candidates")
         where = stored(
-            self.classes.join(needed, "rid").select(
+            self.classes.join(candidates.withColumnRenamed("node", "rid"), "rid").select(
                 "rid",
+                "copies",
+                "sig",
+                F.xxhash64("root").alias("key"),
                 F.col("first.doc_id").alias("first_id"),
                 F.col("first.text_key").alias("text_key"),
             ),
@@ -298,27 +415,33 @@ class Joined:
         )
         texts, _ = parted(texts, F.col("text_key"), where, F.col("text_key"))
         found = (
-            texts.join(where, "text_key")
+            texts.join(where.select("rid", "first_id", "text_key"), "text_key")
             .where(F.col("doc_id").eqNullSafe(F.col("first_id")))
             .select("rid", "words")
             .dropDuplicates(["rid"])
         )
+        members = stored(
+            where.join(shingle_sets(found), "rid").select(
+                "rid", "copies", "sig", "key", "shingles"
+            ),
+            "members",
+        )
+        sizes = members.groupBy("key").agg(
+            F.count("*").alias("n"), F.sum(F.size("shingles")).alias("total")
+        )
         self.links = stored(
-            verified(pairs, stored(shingle_sets(found), "sets"), threshold), "links"
+            verified_links(members.join(sizes, "key"), threshold), "links"
         )
 
     def groups(self) -> DataFrame:
         """rid, class_first, n_links for every class of documents."""
         links, classes = self.links, self.classes.select("rid", "first", "copies")
-        roots = components(links.select("a", "b"))
-        ends = links.select(F.col("a").alias("rid"), F.col("b").alias("to")).union(
-            links.select(F.col("b"), F.col("a"))
-        )
-        partners = (
-            ends.join(classes.select(F.col("rid").alias("to"), "copies"), "to")
-            .groupBy("rid")
-            .agg(F.sum("copies").alias("partners"))
+        roots = components(
+            links.where("to IS NOT NULL").select(
+                F.col("rid").alias("a"), F.col("to").alias("b")
+            )
         )
+        partners = links.groupBy("rid").agg(F.sum("partners").alias("partners"))
         linked = classes.join(roots.withColumnRenamed("node", "rid"), "rid")
         least = linked.groupBy("root").agg(F.min("first").alias("class_first"))
         found = linked.join(least, "root").select("rid", "class_first")
@@ -365,17 +488,20 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = Joined(docs, threshold).documents()
     grouped = found.where("n_links > 0")
     decided = stored(grouped.select("doc_id", "text_key", "kept").distinct(), "decided")
-    keyed = docs.withColumn("_key", text_key())
-    some, rest = parted(keyed, F.col("_key"), decided, F.col("text_key"))
+    keyed = docs.withColumn("_llm_own", text_key())
+    some, rest = parted(keyed, F.col("_llm_own"), decided, F.col("text_key"))
     decided = decided.select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "kept"
+        F.col("doc_id").alias("_llm_id"),
+        F.col("text_key").alias("_llm_key"),
+        F.col("kept").alias("_llm_kept"),
     )
-    match = (F.col("l._key") == F.col("r._key")) & F.col("l.doc_id").cast(
+    match = (F.col("_llm_own") == F.col("_llm_key")) & F.col("doc_id").cast(
         "bigint"
-    ).eqNullSafe(F.col("r._id"))
-    judged = some.alias("l").join(decided.alias("r"), match, "left")
-    untouched = judged.where("kept IS NULL").select("l.*")
+    ).eqNullSafe(F.col("_llm_id"))
+    judged = some.join(decided, match, "left")
+    untouched = judged.where("_llm_kept IS NULL").select(*keyed.columns)
     # Rows that are equal in id and text are copies of each other: one of them stays.
-    firsts = judged.where("kept").select("l.*").dropDuplicates(["doc_id", "_key"])
+    firsts = judged.where("_llm_kept").select(*keyed.columns)
+    firsts = firsts.dropDuplicates(["doc_id", "_llm_own"])
     out = rest.unionByName(untouched).unionByName(firsts)
     return out.select(*docs.columns)

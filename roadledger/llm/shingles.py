@@ -14,7 +14,7 @@ import pyarrow as pa
 
 WIDTH = 5
 #: Bytes of text whose work arrays are held at once.
-SLAB = 1_000_000
+SLAB = 400_000
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 
@@ -98,7 +98,7 @@ class Segments:
     def set_of(self, i: int) -> np.ndarray:
         """Distinct shingle hashes of a segment, in order, as signed 64-bit."""
         own = self.hashes[self.starts[i] : self.starts[i + 1]]
-        return np.unique(own).view(np.int64)
+        return np.unique(own.view(np.int64))
 
     def minhash(self, count: int, seed: int = 7) -> np.ndarray:
         """(segments, count) 32-bit MinHash values; rows without shingles are zero."""
