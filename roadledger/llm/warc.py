@@ -198,7 +198,13 @@ def inflated_records(source) -> Iterator[tuple[bytes, bytes]]:
         del held[:whole]
 
 
-def normalise(spark_manifest: DataFrame, folder: str) -> DataFrame:
+def _one_each(manifest: DataFrame) -> DataFrame:
+    """Paths of a manifest, an archive to a task; a few short rows would share one."""
+    ship(manifest.sparkSession)
+    return manifest.select("path").repartition(max(manifest.count(), 1))
+
+
+def normalise(manifest: DataFrame, folder: str) -> DataFrame:
     """Manifest of archives with a member per record, each with a sidecar index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,9 +234,7 @@ def normalise(spark_manifest: DataFrame, folder: str) -> DataFrame:
                 done.append((name, count, offset))
         yield _manifest(done)
 
-    ship(spark_manifest.sparkSession)
-    paths = spark_manifest.select("path").repartition(F.col("path"))
-    return stored(paths.mapInArrow(run, MANIFEST), "archives")
+    return stored(_one_each(manifest).mapInArrow(run, MANIFEST), "archives")
 
 
 RECORD = (
@@ -244,7 +248,7 @@ def _row_number(urn: str | None) -> int | None:
     return int(number) if number else None
 
 
-def read_records(spark_manifest: DataFrame, folder: str) -> DataFrame:
+def read_records(manifest: DataFrame, folder: str) -> DataFrame:
     """Rows of ``RECORD`` read back by the sidecar offsets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,9 +286,7 @@ def read_records(spark_manifest: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield _records(rows)
 
-    ship(spark_manifest.sparkSession)
-    paths = spark_manifest.select("path").repartition(F.col("path"))
-    return paths.mapInArrow(run, RECORD)
+    return _one_each(manifest).mapInArrow(run, RECORD)
 
 
 def _records(rows: list[dict]) -> pa.RecordBatch:
