@@ -33,10 +33,10 @@ from roadledger.llm.common import ship
 
 LONG = 128
 #: Characters of text and tokens handled at once, and pieces remembered by a worker.
-SLAB_CHARS = 2_000_000
-SLAB_TOKENS = 400_000
-REMEMBERED = 300_000
-MEMORY = "300MB"
+SLAB_CHARS = 1_000_000
+SLAB_TOKENS = 200_000
+REMEMBERED = 250_000
+MEMORY = "200MB"
 
 CONTRACT = """
 WITH RECURSIVE step(word, toks, live) AS (
@@ -67,10 +67,13 @@ FROM tokens JOIN vocabulary USING (id) GROUP BY doc
 
 
 class Codec:
-    """Vocabulary, merge table and database of one worker."""
+    """Vocabulary, merge table and database of one worker.
+
+    The database and the remembered pieces last for one task; a worker that goes on
+    with other work holds only the small tables they are made from.
+    """
 
     def __init__(self, path: str, pattern: str):
-        import duckdb
         import regex
 
         with open(path, "rb") as lines:
@@ -87,22 +90,35 @@ class Codec:
             for i in range(1, len(whole))
             if whole[:i] in ranks and whole[i:] in ranks
         ]
-        self.merges = {(left, right): rank for left, right, rank in merges}
+        columns = np.array(merges, dtype=np.int32).reshape(-1, 3)
+        self.merge_table = {"l": columns[:, 0], "r": columns[:, 1], "id": columns[:, 2]}
+        self.pairs: dict[tuple[int, int], int] = {}
+        self.db = None
+        self.open()
+
+    def open(self) -> None:
+        import duckdb
+
+        if self.db is not None:
+            return
         self.known: dict[str, bytes] = {}
         self.db = duckdb.connect(
             config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""}
         )
-        columns = np.array(merges, dtype=np.int32).reshape(-1, 3)
-        self.table("merges", l=columns[:, 0], r=columns[:, 1], id=columns[:, 2])
+        self.table("merges", **self.merge_table)
         self.table(
             "vocabulary",
-            id=np.fromiter(ranks.values(), np.int32),
+            id=np.fromiter(self.ranks.values(), np.int32),
             # One character per byte; NUL, which SQL strings dislike, as U+0100.
-            piece=[
-                b.decode("latin-1").replace("\0", "Ā") for b in self.ranks
-            ],
+            piece=[b.decode("latin-1").replace("\0", "Ā") for b in self.ranks],
         )
 
+    def close(self) -> None:
+        if self.db is not None:
+            self.db.close()
+        self.db, self.known, self.pairs = None, {}, {}
+        pa.default_memory_pool().release_unused()
+
     def table(self, name: str, **columns) -> None:
         given = pa.table(columns)
         self.db.register("given", given)
@@ -150,6 +166,9 @@ class Codec:
             begin = end
 
     def by_heap(self, data: bytes) -> np.ndarray:
+        if not self.pairs:
+            left, right, rank = (x.tolist() for x in self.merge_table.values())
+            self.pairs = dict(zip(zip(left, right), rank))
         token = self.byte_ids[np.frombuffer(data, np.uint8)].tolist()
         after = list(range(1, len(token))) + [-1]
         before = list(range(-1, len(token) - 1))
@@ -158,8 +177,8 @@ class Codec:
         def offer(i: int) -> None:
             if i >= 0 and after[i] >= 0:
                 pair = token[i], token[after[i]]
-                if pair in self.merges:
-                    heapq.heappush(heap, (self.merges[pair], i, *pair))
+                if pair in self.pairs:
+                    heapq.heappush(heap, (self.pairs[pair], i, *pair))
 
         for i in range(len(token)):
             offer(i)
@@ -209,9 +228,18 @@ _CODECS: dict[tuple[str, str], Codec] = {}
 def codec(path: str, pattern: str) -> Codec:
     if (path, pattern) not in _CODECS:
         _CODECS[path, pattern] = Codec(path, pattern)
+    _CODECS[path, pattern].open()
     return _CODECS[path, pattern]
 
 
+def closing(batches, path: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    """The batches of a task, after which the worker lets go of its database."""
+    try:
+        yield from batches
+    finally:
+        codec(path, pattern).close()
+
+
 def slabs(weights: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows, each of at most about ``most`` in weight."""
     begin, load = 0, 0
@@ -277,7 +305,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, ids of ``docs`` (doc_id, text)."""
     return _texts(docs).mapInArrow(
-        lambda batches: encode_batches(batches, path, pattern),
+        lambda batches: closing(encode_batches(batches, path, pattern), path, pattern),
         "doc_id bigint, ids array<int>",
     )
 
@@ -286,7 +314,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, ids, decoded of ``encoded`` (doc_id, ids)."""
     ship(encoded.sparkSession)
     return encoded.select("doc_id", F.col("ids").cast("array<int>")).mapInArrow(
-        lambda batches: decode_batches(batches, path, pattern),
+        lambda batches: closing(decode_batches(batches, path, pattern), path, pattern),
         "doc_id bigint, ids array<int>, decoded binary",
     )
 
@@ -294,8 +322,10 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 def encode_and_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, ids, decoded: the ids are decoded in the worker that made them."""
     return _texts(docs).mapInArrow(
-        lambda batches: decode_batches(
-            encode_batches(batches, path, pattern), path, pattern
+        lambda batches: closing(
+            decode_batches(encode_batches(batches, path, pattern), path, pattern),
+            path,
+            pattern,
         ),
         "doc_id bigint, ids array<int>, decoded binary",
     )

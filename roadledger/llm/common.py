@@ -12,9 +12,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of an Arrow batch; texts are long, and Spark's default of 10,000 is for numbers.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = "2000"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give this package to the executors, once per application, as --py-files would."""
+    """Give this package to the executors, once per application, as --py-files would.
+
+    Also keeps Arrow batches small, unless the session has a number of its own.
+    """
     context = spark.sparkContext
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, BATCH_ROWS)
     package = Path(__file__).resolve().parent.parent
     if getattr(context, "_roadledger_shipped", False) or not package.is_dir():
         return
