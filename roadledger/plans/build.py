@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from roadledger.model import (
 from roadledger.operators import quality
 from roadledger.operators.audit import RunAudit
 from roadledger.operators.conform import apply_missing, missing_keys
+from roadledger.operators.history import versions
 from roadledger.operators.staging import (
     REJECT,
     duplicate_keys,
@@ -25,6 +28,7 @@ from roadledger.operators.staging import (
     refuse_outside,
     single_copies,
 )
+from roadledger.plans.monthly import monthly_loads
 from roadledger.plans.rollups import ROLLUPS
 from roadledger.plans.silver import silver_rows
 from roadledger.plans.star import build_dimension, build_fact
@@ -35,6 +39,14 @@ from roadledger.sources.export import write_columnar
 from roadledger.sources.tables import Warehouse
 
 
+YEAR = "date_year"
+# Dimensions whose changes are kept, with the attributes that make a version.
+VERSIONED = {
+    "dim_driver": ["employment_status", "home_terminal"],
+    "dim_truck": ["status", "home_terminal"],
+}
+
+
 class WarehouseBuild:
     """One run over one source folder.
 
@@ -113,7 +125,30 @@ class WarehouseBuild:
                 REJECT, F.lit(None).cast("string")
             )
             rows = refuse_outside(rows, fact.date, self.start, self.end)
-            self.audit.write(build_fact(rows, name, dims), "gold", name)
+            # By year, so that a query over some years reads those alone.
+            rows = build_fact(rows, name, dims).withColumn(YEAR, F.year("date_sk"))
+            self.audit.write(rows, "gold", name, [YEAR])
+        self.warehouse.write(
+            monthly_loads(w.read("gold", "fact_load")), "gold", "monthly_layer"
+        )
+
+    def history(self, day: date | None = None) -> None:
+        """Note today's members and store the versions of drivers and trucks (RM-4).
+
+        A day seen twice is replaced, so a repeated run changes nothing.
+        """
+        w, seen_on = self.warehouse, F.lit(day or date.today())
+        for dim, attributes in VERSIONED.items():
+            key = DIMENSIONS[dim].key
+            seen = w.read("silver", dim).select(key, *attributes)
+            w.replace_partitions(
+                seen.withColumn("seen_on", seen_on), "silver", f"{dim}_seen", ["seen_on"]
+            )
+            order = F.struct(*[F.col(c) for c in attributes])
+            known = w.read_all("silver", f"{dim}_seen")
+            w.write(
+                versions(known, key, "seen_on", attributes, order), "gold", f"{dim}_versions"
+            )
 
     def tables(self) -> dict[str, DataFrame]:
         names = ("dim_date", *DIMENSIONS, *FACTS)
@@ -199,6 +234,7 @@ class WarehouseBuild:
         self.bronze()
         self.silver()
         self.gold()
+        self.history()
         self.checks()
         self.audit.flush()
         register_views(self.tables())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadledger.functions import sum0
-from roadledger.sources.calendar import fiscal_columns
+from roadledger.sources.calendar import fiscal_columns, holiday_columns
 
 
 def monthly_loads(fact_load: DataFrame) -> DataFrame:
@@ -37,6 +37,21 @@ def fiscal_revenue(
     )
 
 
+def holiday_loads(fact_load: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Loads and revenue per year and holiday, other days under NULL."""
+    days = holiday_columns(calendar).select(
+        F.col("date_id").alias("date_sk"), "year_nbr", "holiday"
+    )
+    per_day = fact_load.groupBy("date_sk").agg(
+        F.count("load_id").alias("_loads"), F.sum("gross_revenue").alias("_gross")
+    )
+    return (
+        per_day.join(days, "date_sk")
+        .groupBy("year_nbr", "holiday")
+        .agg(F.sum("_loads").alias("loads"), sum0(F.col("_gross")).alias("gross_revenue"))
+    )
+
+
 def events_by_hour(fact_delivery: DataFrame) -> DataFrame:
     """Delivery events per hour of the scheduled day."""
     hour = F.hour("scheduled_datetime")

@@ -810,6 +810,27 @@ add(
     " quarter(load_date + INTERVAL 3 MONTH) AS fiscal_quarter, COUNT(*) AS loads,"
     " COALESCE(SUM(gross_revenue), 0) AS gross_revenue FROM x_loads GROUP BY 1, 2",
 )
+add(
+    "calendar_holidays",
+    "year_nbr:i holiday:s loads:i gross_revenue:d",
+    "SELECT year(load_date) AS year_nbr, holiday, COUNT(*) AS loads,"
+    " COALESCE(SUM(gross_revenue), 0) AS gross_revenue FROM (SELECT *, CASE"
+    " WHEN strftime(load_date, '%m-%d') = '01-01' THEN 'New Year''s Day'"
+    " WHEN strftime(load_date, '%m-%d') = '06-19' THEN 'Juneteenth'"
+    " WHEN strftime(load_date, '%m-%d') = '07-04' THEN 'Independence Day'"
+    " WHEN strftime(load_date, '%m-%d') = '11-11' THEN 'Veterans Day'"
+    " WHEN strftime(load_date, '%m-%d') = '12-25' THEN 'Christmas Day'"
+    " WHEN dayname(load_date) = 'Monday' THEN CASE"
+    " WHEN month(load_date) = 1 AND day(load_date) BETWEEN 15 AND 21"
+    " THEN 'Martin Luther King Day'"
+    " WHEN month(load_date) = 2 AND day(load_date) BETWEEN 15 AND 21 THEN 'Presidents'' Day'"
+    " WHEN month(load_date) = 5 AND day(load_date) >= 25 THEN 'Memorial Day'"
+    " WHEN month(load_date) = 9 AND day(load_date) <= 7 THEN 'Labor Day'"
+    " WHEN month(load_date) = 10 AND day(load_date) BETWEEN 8 AND 14 THEN 'Columbus Day' END"
+    " WHEN dayname(load_date) = 'Thursday' AND month(load_date) = 11"
+    " AND day(load_date) BETWEEN 22 AND 28 THEN 'Thanksgiving' END AS holiday FROM x_loads)"
+    " GROUP BY 1, 2",
+)
 add(
     "calendar_hours",
     "hour_nbr:i day_part:s event_type:s events:i detention_minutes:i",

@@ -543,6 +543,11 @@ def _(w):
     return monthly.fiscal_revenue(w.star("fact_load"), w.calendar())
 
 
+@query("calendar_holidays")
+def _(w):
+    return monthly.holiday_loads(w.star("fact_load"), w.calendar())
+
+
 @query("calendar_hours")
 def _(w):
     return monthly.events_by_hour(w.star("fact_delivery"))

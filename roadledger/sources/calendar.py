@@ -68,3 +68,37 @@ def fiscal_columns(frame: DataFrame, first_month: int = 10) -> DataFrame:
             ).cast("int"),
         }
     )
+
+
+# Holidays by month, and either a day or a weekday (1 = Sunday) with its
+# place in the month, -1 for the last.
+HOLIDAYS = (
+    ("New Year's Day", 1, 1, None),
+    ("Martin Luther King Day", 1, 2, 3),
+    ("Presidents' Day", 2, 2, 3),
+    ("Memorial Day", 5, 2, -1),
+    ("Juneteenth", 6, 19, None),
+    ("Independence Day", 7, 4, None),
+    ("Labor Day", 9, 2, 1),
+    ("Columbus Day", 10, 2, 2),
+    ("Veterans Day", 11, 11, None),
+    ("Thanksgiving", 11, 5, 4),
+    ("Christmas Day", 12, 25, None),
+)
+
+
+def holiday_columns(frame: DataFrame, holidays=HOLIDAYS) -> DataFrame:
+    """Add the holiday's name (NULL on other days) and a flag."""
+    d = F.col("date_id")
+    place = F.floor((F.dayofmonth(d) - 1) / 7) + 1
+    last = F.dayofmonth(d) + 7 > F.dayofmonth(F.last_day(d))
+    names = []
+    for name, month, day, nth in holidays:
+        if nth is None:
+            on = F.dayofmonth(d) == day
+        else:
+            on = (F.dayofweek(d) == day) & (last if nth == -1 else place == nth)
+        names.append(F.when((F.month(d) == month) & on, F.lit(name)))
+    return frame.withColumn("holiday", F.coalesce(*names)).withColumn(
+        "is_holiday", F.col("holiday").isNotNull()
+    )

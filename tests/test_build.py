@@ -48,6 +48,21 @@ def test_checks_are_stored_by_the_run(built):
     assert len(stored["source_rows"]) == 14 and all(r["same"] for r in stored["source_rows"])
 
 
+def test_facts_lie_by_year_and_layers_are_stored(built):
+    w = built.warehouse
+    loads = w.read("gold", "fact_load")
+    assert [f for f in os.listdir(w.path("gold", "fact_load")) if f.startswith("date_year=")]
+    year = loads.select(F.max(F.year("date_sk"))).first()[0]
+    plan = loads.where(F.col("date_year") == year)._jdf.queryExecution().toString()
+    assert "(date_year#" in plan and "PartitionFilters: [isnotnull" in plan
+    assert w.read_all("gold", "monthly_layer").agg(F.sum("loads")).first()[0] == loads.count()
+    versions = w.read_all("gold", "dim_driver_versions")
+    known = versions.count()
+    assert versions.where("is_current").count() == w.read("silver", "dim_driver").count()
+    built.history()
+    assert w.read_all("gold", "dim_driver_versions").count() == known
+
+
 def test_audit_has_one_line_per_object(built):
     lines = built.warehouse.read_all("audit", "pipeline_audit").collect()
     assert len(lines) == 14 + 15 + 15
