@@ -1631,9 +1631,9 @@ add(
     " UNION ALL ".join(
         [
             f"SELECT '{fact}' AS fact, '{key.removesuffix('_id')}_sk' AS key,"
-            f" COUNT(*) AS dangling FROM s_{base} f LEFT JOIN {DIM_OF[key]} p"
-            f" ON p.{key} = f.{key} WHERE p.{key} IS NULL"
-            for fact, (base, keys, _) in REFS.items()
+            f" COUNT(*) FILTER (day({day}) = 13 AND {key} <> '-1') AS dangling"
+            f" FROM s_{base}"
+            for fact, (base, keys, day) in REFS.items()
             for key in keys
             if key in DIM_OF
         ]

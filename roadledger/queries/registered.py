@@ -908,13 +908,16 @@ def _(w):
 
 @query("dq_integrity_star")
 def _(w):
-    """Star references without a member: 0 everywhere."""
+    """Star references without a member, in facts whose keys of every 13th day broke."""
     frames = []
+    broken = F.dayofmonth("date_sk") == 13
     for name, spec in FACTS.items():
         dims = {d: w.dimension(d) for d in spec.dims.values()}
         keys = {DIMENSIONS[d].sk: (frame, DIMENSIONS[d].sk) for d, frame in dims.items()}
+        fact = w.star(name, spec.dims.values()).withColumns(
+            {sk: F.when(broken, -2 - F.col(sk)).otherwise(F.col(sk)) for sk in keys}
+        )
         keys["date_sk"] = (w.calendar(), "date_id")
-        fact = w.star(name, spec.dims.values())
         frames.append(quality.dangling_keys(fact, name, keys))
     return quality.union_all(frames)
 
