@@ -1,19 +1,24 @@
 """Removal of paragraphs that repeat across a corpus.
 
-1. Paragraphs are the lines of a text; those of at least ``LEAST_WORDS`` words take part.
-   Paragraphs of the same words are one class, found by grouping.
-2. MinHash values in ``BANDS`` bands of ``ROWS`` give buckets; a pair of similarity 0.8
-   shares no bucket with probability 3e-5. In each bucket one class, drawn by hash anew in
-   every bucket, is the centre, and every other is joined to it, so candidates grow with
-   the rows, never with the square of a bucket.
+1. Paragraphs are the lines of a text that hold a word. Those of the same words are one
+   class, found by grouping.
+2. Classes of at least ``LEAST_WORDS`` words have MinHash values in ``BANDS`` bands of
+   ``ROWS``, which give buckets; a pair of similarity 0.8 shares no bucket with probability
+   3e-5. In each bucket one class, drawn by hash anew in every bucket, is the centre, and
+   every other is joined to it, so candidates grow with the rows, never with the square of
+   a bucket.
 3. Candidates are verified on exact shingle sets, fetched for those paragraphs alone.
-4. Verified links form components; the first paragraph of a component in order of doc_id,
-   text hash and line stays, all others are cut from their texts.
+4. Verified links form components; every paragraph but the first of its component, in
+   order of doc_id, text hash and line, repeats.
+5. A passage may be one long line or several short ones: repeating paragraphs that follow
+   each other are one run, and runs of at least ``LEAST_WORDS`` words are cut from the text.
+   A short line that is common by itself stays.
 
 Defined cases
-    Null texts stay null, empty ones empty. Shorter paragraphs and all others stay as they
-    are, with their line feeds; a removed line goes with the line feed that ends it (the
-    last line with the one before it), so a text may become empty. Rows equal in doc_id and
+    Null texts stay null, empty ones empty. All other paragraphs stay as they are, with
+    their line feeds; lines without words neither break a run nor go with it. A removed line
+    goes with the line feed that ends it (the last line with the one before it), so a text
+    may become empty. Rows equal in doc_id and
     text are one document: they lose and keep the same lines. Null ids come last in the
     order. An empty table gives no rows; further columns pass through ``cleaned``.
 """
@@ -24,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadledger.llm.bayes_join import shingle_sets, text_key, verified
@@ -45,8 +50,12 @@ def _identified(docs: DataFrame) -> DataFrame:
     )
 
 
-def long_paragraphs(docs: DataFrame, least_words: int) -> DataFrame:
-    """doc_id, text_key, line, pid, bands: every paragraph of enough words."""
+def paragraphs(docs: DataFrame, least_words: int) -> DataFrame:
+    """doc_id, text_key, line, place, words, pid, bands: every line that holds a word.
+
+    ``line`` counts all lines, ``place`` those with words; ``bands`` is null under
+    ``least_words``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,25 +65,29 @@ def long_paragraphs(docs: DataFrame, least_words: int) -> DataFrame:
                 own = Segments(data, cuts)
                 row = np.searchsorted(bounds, cuts[:-1], "right") - 1
                 line = np.arange(len(row)) - np.searchsorted(row, row)
-                some = np.flatnonzero(own.words >= least_words)
-                minima = own.minhash(ROWS * BANDS)[some]
+                some = np.flatnonzero(own.words)
+                place = np.arange(len(some)) - np.searchsorted(row[some], row[some])
+                long = own.words[some] >= least_words
+                minima = own.minhash(ROWS * BANDS)[some[long]]
                 keys = np.column_stack([k[some] for k in own.keys]).astype(">u8")
                 keys = keys.tobytes()
+                offsets = np.concatenate([[0], np.cumsum(np.where(long, BANDS, 0))])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(row[some] + begin)),
                         batch.column(1).take(pa.array(row[some] + begin)),
                         pa.array(line[some].astype(np.int32)),
+                        pa.array(place.astype(np.int32)),
+                        pa.array(own.words[some].astype(np.int32)),
                         pa.array(
                             [keys[16 * i : 16 * i + 16] for i in range(len(some))],
                             pa.binary(),
                         ),
                         pa.ListArray.from_arrays(
-                            np.arange(len(some) + 1, dtype=np.int32) * BANDS,
-                            band_keys(minima).reshape(-1),
+                            offsets.astype(np.int32), band_keys(minima).reshape(-1)
                         ),
                     ],
-                    names=["doc_id", "text_key", "line", "pid", "bands"],
+                    names=["doc_id", "text_key", "line", "place", "words", "pid", "bands"],
                 )
 
     ship(docs.sparkSession)
@@ -83,7 +96,8 @@ def long_paragraphs(docs: DataFrame, least_words: int) -> DataFrame:
         .withColumn("text", F.lower("text"))
         .mapInArrow(
             run,
-            "doc_id bigint, text_key bigint, line int, pid binary, bands array<bigint>",
+            "doc_id bigint, text_key bigint, line int, place int, words int, pid binary,"
+            " bands array<bigint>",
         )
     )
 
@@ -120,12 +134,19 @@ def removals(
     docs: DataFrame, threshold: float = THRESHOLD, least_words: int = LEAST_WORDS
 ) -> DataFrame:
     """doc_id, text_key, lines: the lines to cut from each document that loses some."""
-    lines = stored(long_paragraphs(docs, least_words), "lines")
+    lines = stored(paragraphs(docs, least_words), "lines")
     place = F.struct(
         F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "line"
     )
+    # Most classes are one short line; what can matter repeats, or is long.
     classes = stored(
-        lines.groupBy("pid").agg(F.min(place).alias("first"), F.first("bands").alias("bands")),
+        lines.groupBy("pid")
+        .agg(
+            F.min(place).alias("first"),
+            F.count("*").alias("n"),
+            F.first("bands").alias("bands"),
+        )
+        .where("n > 1 OR size(bands) > 0"),
         "classes",
     )
     pairs = stored(candidates(classes), "pairs")
@@ -160,20 +181,31 @@ def removals(
     sets = stored(shingle_sets(found), "sets")
     links = stored(verified(pairs, sets, threshold), "links")
     roots = components(links.select("a", "b")).withColumnRenamed("node", "pid")
-    grouped = classes.join(roots, "pid", "left").select(
-        "pid", "first", F.coalesce("root", "pid").alias("root")
-    )
-    # The first paragraph of every component; most components are one class.
-    keepers = grouped.groupBy("root").agg(F.min("first").alias("keep"))
-    decided = grouped.join(keepers, "root").select("pid", "keep")
-    cut = lines.select("doc_id", "text_key", "line", "pid").join(decided, "pid")
+    linked = classes.select("pid", "first").join(roots, "pid")
+    keepers = linked.groupBy("root").agg(F.min("first").alias("keep"))
+    kept = linked.join(keepers, "root").select("pid", "keep")
+    # Classes of one paragraph that is linked to none have nothing to lose.
+    decided = classes.join(kept, "pid", "left").where("n > 1 OR keep IS NOT NULL")
+    decided = decided.select("pid", F.coalesce("keep", "first").alias("keep"))
     own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "line")
-    return stored(
-        cut.where(~own.eqNullSafe(F.col("keep")))
+    repeating = (
+        lines.drop("bands")
+        .join(decided, "pid")
+        .where(~own.eqNullSafe(F.col("keep")))
+        .select("doc_id", "text_key", "line", "place", "words")
+        .distinct()
+    )
+    # Paragraphs that follow each other have one difference of place and rank.
+    text = Window.partitionBy("doc_id", "text_key").orderBy("place")
+    runs = repeating.withColumn("run", F.col("place") - F.row_number().over(text))
+    cut = (
+        runs.groupBy("doc_id", "text_key", "run")
+        .agg(F.sum("words").alias("words"), F.collect_list("line").alias("lines"))
+        .where(F.col("words") >= least_words)
         .groupBy("doc_id", "text_key")
-        .agg(F.sort_array(F.collect_set("line")).alias("lines")),
-        "removals",
+        .agg(F.sort_array(F.flatten(F.collect_list("lines"))).alias("lines"))
     )
+    return stored(cut, "removals")
 
 
 def without_lines(text: Column, lines: Column) -> Column:

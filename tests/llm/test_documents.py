@@ -136,17 +136,24 @@ def test_posterior_limits_grow_and_spare_the_threshold():
 
 def by_hand(texts):
     places = [
-        (i, k, shingles(line))
+        (i, k, " ".join(line.lower().split()))
         for i in sorted(texts)
         for k, line in enumerate((texts[i] or "").split("\n"))
-        if len(line.split()) >= 50
+        if line.split()
     ]
-    sets = {n: p[2] for n, p in enumerate(places)}
-    root = roots(sets, similar_pairs(sets))
+    sets = {n: shingles(p[2]) for n, p in enumerate(places) if len(p[2].split()) >= 50}
+    first = {}
+    same = {(first.setdefault(p[2], n), n) for n, p in enumerate(places)}
+    root = roots(range(len(places)), similar_pairs(sets) | same)
     removed = {i: [] for i in texts}
-    for n, (i, k, _) in enumerate(places):
-        if root[n] != n:
-            removed[i].append(k)
+    run = []
+    for n, (i, k, words) in enumerate([*places, (None, 0, "")]):
+        if run and (i != run[-1][0] or root.get(n, n) == n):
+            if sum(len(w.split()) for _, _, w in run) >= 50:
+                removed[run[0][0]] += [x for _, x, _ in run]
+            run = []
+        if root.get(n, n) != n:
+            run.append((i, k, words))
     return removed
 
 
@@ -187,6 +194,17 @@ def test_paragraph_edge_cases(spark):
     assert paragraph_dedup.cleaned(frame.limit(0)).count() == 0
 
 
+def test_a_passage_of_short_lines_is_cut_and_common_lines_stay(spark):
+    passage = "\n".join(words(13, 100 * i) for i in range(4))
+    texts = [
+        f"own a\n{passage}\nThe end.", f"own b\nThe end.\n\n{passage}", "own c\nThe end.",
+        passage.replace("\n", "\n\n"), "\n".join(passage.split("\n")[:3]),
+    ]
+    got = {r.doc_id: list(r.removed) for r in paragraph_dedup.cleaned(docs(spark, texts)).collect()}
+    assert got == {0: [], 1: [1, 3, 4, 5, 6], 2: [], 3: [0, 2, 4, 6], 4: []}
+    assert got == by_hand(dict(enumerate(texts)))
+
+
 def test_a_common_paragraph_is_cut_everywhere_but_once(spark):
     p = words(55)
     frame = docs(spark, [f"own text {i}\n{p}" for i in range(300)])
