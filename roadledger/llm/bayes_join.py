@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadledger.llm.common import parted, ship, stored
+from roadledger.llm.common import discard, parted, ship, stored, written
 from roadledger.llm.components import components
 from roadledger.llm.shingles import Segments, hashed_bytes, text_slabs
 
@@ -485,9 +485,11 @@ def join_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents without near copies: of each component the first document stays."""
+    mark = written()
     found = Joined(docs, threshold).documents()
     grouped = found.where("n_links > 0")
     decided = stored(grouped.select("doc_id", "text_key", "kept").distinct(), "decided")
+    discard(docs.sparkSession, mark)
     keyed = docs.withColumn("_llm_own", text_key())
     some, rest = parted(keyed, F.col("_llm_own"), decided, F.col("text_key"))
     decided = decided.select(

@@ -53,13 +53,35 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+#: Tables stored and not yet discarded, oldest first.
+_WRITTEN: list[str] = []
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame written once to the shared folder and read back: lineage ends here."""
     path = f"{shared_folder(frame.sparkSession)}/{name}"
     frame.write.parquet(path)
+    _WRITTEN.append(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def written() -> int:
+    """A mark for ``discard``."""
+    return len(_WRITTEN)
+
+
+def discard(spark: SparkSession, mark: int) -> None:
+    """Delete the tables stored since ``mark``, but for the last one.
+
+    For the end of an operator whose last stored table no longer needs the others.
+    """
+    for path in _WRITTEN[mark:-1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.delete(folder.getParent(), True)
+    del _WRITTEN[mark:]
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

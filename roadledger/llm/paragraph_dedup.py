@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadledger.llm.bayes_join import shingle_sets, text_key, verified
-from roadledger.llm.common import parted, ship, stored
+from roadledger.llm.common import discard, parted, ship, stored, written
 from roadledger.llm.components import components
 from roadledger.llm.shingles import Segments, text_slabs
 
@@ -221,7 +221,9 @@ def cleaned(
     docs: DataFrame, threshold: float = THRESHOLD, least_words: int = LEAST_WORDS
 ) -> DataFrame:
     """``docs`` with the repeated paragraphs cut out, and ``removed``, their positions."""
+    mark = written()
     cut = removals(docs, threshold, least_words)
+    discard(docs.sparkSession, mark)
     keyed = docs.withColumn("_llm_own", text_key())
     some, rest = parted(keyed, F.col("_llm_own"), cut, F.col("text_key"))
     cut = cut.select(
