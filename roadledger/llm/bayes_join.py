@@ -361,20 +361,6 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     )
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """a, b, jaccard of the pairs that reach the threshold."""
-    left = sets.select(F.col("rid").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("rid").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("sum"))
-        .select("a", "b", (F.col("both") / (F.col("sum") - F.col("both"))).alias("jaccard"))
-        .where(F.col("jaccard") >= threshold)
-    )
-
-
 class Joined:
     """Classes, links and members of one table of documents."""
 

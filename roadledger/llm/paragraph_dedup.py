@@ -4,10 +4,11 @@
    class, found by grouping.
 2. Classes of at least ``LEAST_WORDS`` words have MinHash values in ``BANDS`` bands of
    ``ROWS``, which give buckets; a pair of similarity 0.8 shares no bucket with probability
-   3e-5. In each bucket one class, drawn by hash anew in every bucket, is the centre, and
-   every other is joined to it, so candidates grow with the rows, never with the square of
-   a bucket.
-3. Candidates are verified on exact shingle sets, fetched for those paragraphs alone.
+   3e-5. Exact shingle sets are fetched for the classes of shared buckets alone.
+3. All classes of a bucket are compared inside tasks, by blocks as in op5: a bound on the
+   exact similarity drops pairs that cannot reach the threshold, and a bucket gives the
+   edges that connect the others, fewer than it has classes. The classes of a component of
+   those edges meet once more and are verified exactly; a task returns connecting links.
 4. Verified links form components; every paragraph but the first of its component, in
    order of doc_id, text hash and line, repeats.
 5. A passage may be one long line or several short ones: repeating paragraphs that follow
@@ -32,7 +33,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadledger.llm.bayes_join import shingle_sets, text_key, verified
+from roadledger.llm.bayes_join import (
+    BLOCK,
+    BLOCK_SHINGLES,
+    GROUP,
+    group_numbers,
+    in_blocks,
+    shared_shingles,
+    shingle_sets,
+    text_key,
+    whole_groups,
+)
 from roadledger.llm.common import discard, parted, ship, stored, written
 from roadledger.llm.components import components
 from roadledger.llm.shingles import Segments, text_slabs
@@ -40,6 +51,8 @@ from roadledger.llm.shingles import Segments, text_slabs
 THRESHOLD = 0.8
 LEAST_WORDS = 50
 ROWS, BANDS = 3, 15
+#: Cells of the counts by which sets are compared; a power of two.
+BINS = 64
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -112,24 +125,161 @@ def band_keys(minima: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """a, b: every class of a bucket with the centre of that bucket."""
-    rows = classes.select("pid", F.explode("bands").alias("key"))
-    draw = F.struct(F.xxhash64("pid", "key").alias("draw"), F.col("pid").alias("centre"))
-    centres = (
-        rows.groupBy("key")
-        .agg(F.min(draw).alias("c"), F.count("*").alias("n"))
-        .where("n > 1")
-        .select("key", "c.centre")
+def shared_buckets(classes: DataFrame) -> DataFrame:
+    """key, rid, n: every class in every bucket that holds n >= 2 classes."""
+    rows = classes.select(F.col("pid").alias("rid"), F.explode("bands").alias("key"))
+    several = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return rows.join(several, "key")
+
+
+def histograms(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(sets, BINS) counts of shingles by their low bits, at most 255."""
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    cell = owner * BINS + (values[offsets[0] : offsets[-1]] & (BINS - 1))
+    counts = np.bincount(cell, minlength=(len(offsets) - 1) * BINS)
+    return np.minimum(counts, 255).astype(np.uint8).reshape(-1, BINS)
+
+
+def may_reach(
+    bins: np.ndarray, sizes: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float
+) -> np.ndarray:
+    """False where the sets i and j cannot reach the threshold.
+
+    Sets differ in at least as many shingles as their counts differ, and in at most
+    (1 - threshold) / (1 + threshold) of the sum of their sizes if they reach it.
+    """
+    apart = np.abs(bins[i].astype(np.int16) - bins[j]).sum(axis=1)
+    apart = np.maximum(apart, np.abs(sizes[i] - sizes[j]))
+    return apart <= (sizes[i] + sizes[j]) * (1 - threshold) / (1 + threshold) + 1e-6
+
+
+def connecting(group, own, split, linked) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows (i < j) of one group that connect what ``linked`` (i, j) accepts.
+
+    Rows and ``split`` are those of ``close_pairs``. Every pair that no earlier ones
+    connect is asked, so the result has fewer pairs than rows and the same components.
+    """
+    count = len(group)
+    new = np.r_[True, group[1:] != group[:-1]]
+    ends = np.r_[np.flatnonzero(new)[1:], count]
+    room = ends[np.cumsum(new) - 1] - np.arange(count)  # rows from here to the end
+    parent = list(range(count))
+    label = np.arange(count)
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    left, right = [], []
+    at = np.arange(count)
+    for gap in range(1, int(room.max(initial=1))):
+        at = at[room[at] > gap]
+        i, j = at, at + gap
+        meet = (~split[i] | (own[i] != own[j])) & (label[i] != label[j])
+        i, j = i[meet], j[meet]
+        if not len(i):
+            continue
+        good = linked(i, j)
+        for x, y in zip(i[good].tolist(), j[good].tolist()):
+            a, b = find(x), find(y)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                left.append(x)
+                right.append(y)
+        if good.any():
+            label = np.array(parent)
+            while (label != label[label]).any():
+                label = label[label]
+    return np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
+
+
+def sketches(sets: DataFrame) -> DataFrame:
+    """rid, size, bins: what ``may_reach`` needs of every set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            raw = histograms(lists.values.to_numpy(), offsets).tobytes()
+            bins = [raw[BINS * i : BINS * i + BINS] for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(np.diff(offsets)),
+                    pa.array(bins, pa.binary()),
+                ],
+                names=["rid", "size", "bins"],
+            )
+
+    return sets.select("rid", "shingles").mapInArrow(
+        run, "rid binary, size bigint, bins binary"
     )
-    return (
-        rows.join(centres, "key")
-        .where("pid <> centre")
-        .select(F.least("pid", "centre").alias("a"), F.greatest("pid", "centre").alias("b"))
-        .distinct()
+
+
+def candidate_edges(buckets: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """a, b: pairs that connect the classes of a bucket that may reach the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, GROUP):
+            low, high, own, sizes = (
+                rows.column(n).to_numpy() for n in ("low", "high", "own", "size")
+            )
+            bins = np.frombuffer(b"".join(rows.column("bins").to_pylist()), np.uint8)
+            bins = bins.reshape(-1, BINS)
+            i, j = connecting(
+                group_numbers(rows, GROUP),
+                own,
+                low != high,
+                lambda i, j: may_reach(bins, sizes, i, j, threshold),
+            )
+            rid = rows.column("rid")
+            yield pa.RecordBatch.from_arrays(
+                [rid.take(pa.array(i)), rid.take(pa.array(j))], names=["a", "b"]
+            )
+
+    rows = buckets.join(sketches(sets), "rid")
+    return in_blocks(rows, F.ceil(F.col("n") / BLOCK)).mapInArrow(
+        run, "a binary, b binary"
     )
 
 
+def verified_edges(members: DataFrame, threshold: float) -> DataFrame:
+    """a, b: pairs of exact similarity that connect all such pairs of a component.
+
+    ``members`` has rid, shingles, and key, n, total: its component of candidates with
+    the number of classes and of shingles there.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, GROUP):
+            low, high, own = (rows.column(n).to_numpy() for n in ("low", "high", "own"))
+            sets = rows.column("shingles")
+            offsets = sets.offsets.to_numpy().astype(np.int64)
+            values, sizes = sets.values.to_numpy(), np.diff(offsets)
+            bins = histograms(values, offsets)
+
+            def linked(i, j):
+                good = may_reach(bins, sizes, i, j, threshold)
+                some = np.flatnonzero(good)
+                i, j = i[some], j[some]
+                both = shared_shingles(values, offsets, i, j)
+                good[some] = both / (sizes[i] + sizes[j] - both) >= threshold
+                return good
+
+            i, j = connecting(group_numbers(rows, GROUP), own, low != high, linked)
+            rid = rows.column("rid")
+            yield pa.RecordBatch.from_arrays(
+                [rid.take(pa.array(i)), rid.take(pa.array(j))], names=["a", "b"]
+            )
+
+    blocks = F.greatest(
+        F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)
+    )
+    return in_blocks(members, blocks).mapInArrow(run, "a binary, b binary")
+
+
 def removals(
     docs: DataFrame, threshold: float = THRESHOLD, least_words: int = LEAST_WORDS
 ) -> DataFrame:
@@ -149,8 +299,8 @@ def removals(
         .where("n > 1 OR size(bands) > 0"),
         "classes",
     )
-    pairs = stored(candidates(classes), "pairs")
-    needed = pairs.select(F.col("a").alias("pid")).union(pairs.select("b")).distinct()
+    buckets = stored(shared_buckets(classes), "buckets")
+    needed = buckets.select(F.col("rid").alias("pid")).distinct()
     where = stored(
         classes.join(needed, "pid").select(
             "pid",
@@ -179,8 +329,18 @@ def removals(
         .dropDuplicates(["rid"])
     )
     sets = stored(shingle_sets(found), "sets")
-    links = stored(verified(pairs, sets, threshold), "links")
-    roots = components(links.select("a", "b")).withColumnRenamed("node", "pid")
+    possible = components(candidate_edges(buckets, sets, threshold))
+    members = stored(
+        sets.join(possible.withColumnRenamed("node", "rid"), "rid").select(
+            "rid", "shingles", F.xxhash64("root").alias("key")
+        ),
+        "members",
+    )
+    sizes = members.groupBy("key").agg(
+        F.count("*").alias("n"), F.sum(F.size("shingles")).alias("total")
+    )
+    links = verified_edges(members.join(sizes, "key"), threshold)
+    roots = components(links).withColumnRenamed("node", "pid")
     linked = classes.select("pid", "first").join(roots, "pid")
     keepers = linked.groupBy("root").agg(F.min("first").alias("keep"))
     kept = linked.join(keepers, "root").select("pid", "keep")

@@ -213,6 +213,18 @@ def test_a_common_paragraph_is_cut_everywhere_but_once(spark):
     assert {r.text for r in got if r.removed} == {f"own text {i}" for i in range(1, 300)}
 
 
+def test_edited_copies_of_one_paragraph_find_their_original(spark):
+    # Each copy reaches 0.8 with the original alone, not with the other copies.
+    original = [f"w{i}" for i in range(110)]
+    texts = [" ".join(original)]
+    for n in range(700):
+        copy = list(original)
+        copy[5 + n % 45], copy[55 + n // 14] = f"x{n}", f"y{n}"
+        texts.append(" ".join(copy))
+    got = paragraph_dedup.cleaned(docs(spark, texts)).collect()
+    assert {r.doc_id for r in got if not r.removed} == {0}
+
+
 # --- language -------------------------------------------------------------
 
 
