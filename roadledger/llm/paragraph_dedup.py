@@ -12,8 +12,10 @@
 4. Verified links form components; every paragraph but the first of its component, in
    order of doc_id, text hash and line, repeats.
 5. A passage may be one long line or several short ones: repeating paragraphs that follow
-   each other are one run, and runs of at least ``LEAST_WORDS`` words are cut from the text.
-   A short line that is common by itself stays.
+   each other, and whose components do so at an earlier place too, are one run; runs of at
+   least ``LEAST_WORDS`` words are cut from the text. Short lines that are common by
+   themselves stay, also side by side or next to a passage, unless they adjoin that passage
+   at its other end at an earlier place.
 
 Defined cases
     Null texts stay null, empty ones empty. All other paragraphs stay as they are, with
@@ -280,6 +282,67 @@ def verified_edges(members: DataFrame, threshold: float) -> DataFrame:
     return in_blocks(members, blocks).mapInArrow(run, "a binary, b binary")
 
 
+def passages(known: DataFrame) -> DataFrame:
+    """doc_id, text_key, run, words, lines: the repeating passages of each document.
+
+    ``known`` has every paragraph that has a like (``part``: its component), and whether
+    it ``repeats``. Neighbours stay in one run if the two, as neighbours, have an earlier
+    place; where they do not, the runs at both sides are still one if the last paragraph
+    of the second leads to the first of the first at an earlier place.
+    """
+    text = Window.partitionBy("doc_id", "text_key").orderBy("place")
+    before = F.lag(F.struct("place", "part", "repeats")).over(text)
+    rows = stored(
+        known.withColumn("b", before).select(
+            "doc_id",
+            "text_key",
+            "line",
+            "place",
+            "words",
+            "part",
+            "repeats",
+            F.when(F.col("b.place") == F.col("place") - 1, F.col("b")).alias("b"),
+        ),
+        "neighbours",
+    )
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "line")
+    firsts = stored(
+        rows.where("b IS NOT NULL")
+        .groupBy(F.col("b.part").alias("x"), F.col("part").alias("y"))
+        .agg(F.min(place).alias("at")),
+        "firsts",
+    )
+    # Rows that follow none get an x of their own, so that they never share a task.
+    none = F.encode(F.xxhash64("doc_id", "text_key", "line").cast("string"), "utf-8")
+    earlier = F.coalesce(F.col("at") < place, F.lit(False))
+    follows = F.coalesce(F.col("b.repeats"), F.lit(False))
+    chained = (
+        rows.where("repeats")
+        .withColumn("follows", follows)
+        .withColumn("x", F.when(F.col("follows"), F.col("b.part")).otherwise(none))
+        .withColumn("y", F.col("part"))
+        .join(firsts, ["x", "y"], "left")
+        .withColumn("piece", F.sum(F.when(earlier, 0).otherwise(1)).over(text))
+    )
+    pieces = chained.groupBy("doc_id", "text_key", "piece").agg(
+        F.min_by("part", "place").alias("head"),
+        F.max_by("part", "place").alias("tail"),
+        F.min_by("follows", "place").alias("follows"),
+        F.sum("words").alias("words"),
+        F.collect_list("line").alias("lines"),
+        F.min("line").alias("line"),
+    )
+    each = Window.partitionBy("doc_id", "text_key").orderBy("piece")
+    return (
+        pieces.withColumn("y", F.lag("head").over(each))
+        .withColumn("x", F.when(F.col("follows"), F.col("tail")).otherwise(none))
+        .join(firsts, ["x", "y"], "left")
+        .withColumn("run", F.sum(F.when(earlier, 0).otherwise(1)).over(each))
+        .groupBy("doc_id", "text_key", "run")
+        .agg(F.sum("words").alias("words"), F.flatten(F.collect_list("lines")).alias("lines"))
+    )
+
+
 def removals(
     docs: DataFrame, threshold: float = THRESHOLD, least_words: int = LEAST_WORDS
 ) -> DataFrame:
@@ -343,24 +406,24 @@ def removals(
     roots = components(links).withColumnRenamed("node", "pid")
     linked = classes.select("pid", "first").join(roots, "pid")
     keepers = linked.groupBy("root").agg(F.min("first").alias("keep"))
-    kept = linked.join(keepers, "root").select("pid", "keep")
+    kept = linked.join(keepers, "root").select("pid", "keep", "root")
     # Classes of one paragraph that is linked to none have nothing to lose.
     decided = classes.join(kept, "pid", "left").where("n > 1 OR keep IS NOT NULL")
-    decided = decided.select("pid", F.coalesce("keep", "first").alias("keep"))
+    decided = decided.select(
+        "pid",
+        F.coalesce("keep", "first").alias("keep"),
+        F.coalesce("root", "pid").alias("part"),
+    )
     own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "line")
-    repeating = (
+    known = (
         lines.drop("bands")
         .join(decided, "pid")
-        .where(~own.eqNullSafe(F.col("keep")))
-        .select("doc_id", "text_key", "line", "place", "words")
+        .withColumn("repeats", ~own.eqNullSafe(F.col("keep")))
+        .select("doc_id", "text_key", "line", "place", "words", "part", "repeats")
         .distinct()
     )
-    # Paragraphs that follow each other have one difference of place and rank.
-    text = Window.partitionBy("doc_id", "text_key").orderBy("place")
-    runs = repeating.withColumn("run", F.col("place") - F.row_number().over(text))
     cut = (
-        runs.groupBy("doc_id", "text_key", "run")
-        .agg(F.sum("words").alias("words"), F.collect_list("line").alias("lines"))
+        passages(known)
         .where(F.col("words") >= least_words)
         .groupBy("doc_id", "text_key")
         .agg(F.sort_array(F.flatten(F.collect_list("lines"))).alias("lines"))

@@ -225,6 +225,14 @@ def test_edited_copies_of_one_paragraph_find_their_original(spark):
     assert {r.doc_id for r in got if not r.removed} == {0}
 
 
+def test_lines_known_from_different_documents_are_no_passage(spark):
+    lines, p = [words(14, 100 * i) for i in range(4)], words(60, 1000)
+    texts = [f"own {i}\n{line}" for i, line in enumerate(lines)]
+    texts += ["\n".join(lines), "\n".join(lines), p, f"{lines[1]}\n{p}\n{lines[0]}"]
+    got = {r.doc_id: list(r.removed) for r in paragraph_dedup.cleaned(docs(spark, texts)).collect()}
+    assert got == {i: [] for i in range(7)} | {5: [0, 1, 2, 3], 7: [1]}
+
+
 # --- language -------------------------------------------------------------
 
 
