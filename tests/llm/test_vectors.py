@@ -122,3 +122,21 @@ def test_huge_components_are_held(spark):
         frame(spark, [(0, [1e30, -1e30]), (1, [1e30, 1e30])]), asked()
     ).collect()
     assert [(r.query_id, r.vec_id, r.score) for r in got] == [(0, 1, 0)]
+
+
+def test_large_components_count_in_full(spark):
+    rows = [(0, [20000.0, 1.0]), (1, [20000.0, 0.5]), (2, [1.0, 0.5]), (3, [1e10, 0.0]),
+            (4, [-1e10, 0.0])]
+    got = columnar_topk.top_k(frame(spark, rows), asked()).orderBy("query_id", "rank").collect()
+    big = int(64 * float(np.float32(1e10)))
+    assert [(r.vec_id, r.score) for r in got if r.query_id == 0] == [
+        (3, 1280000 * big), (1, 1280000**2 + 64 * 32), (2, 1280000 * 64 + 64 * 32),
+        (4, -1280000 * big),
+    ]
+
+
+def test_scores_beyond_a_bigint_are_its_limit(spark):
+    rows = [(0, [1e12, 0.0]), (1, [1e12, 0.0]), (2, [1e30, 0.0]), (3, [-1e30, 0.0])]
+    got = columnar_topk.top_k(frame(spark, rows), asked()).orderBy("rank").collect()
+    top = 2**63 - 1
+    assert [(r.vec_id, r.score) for r in got] == [(1, top), (2, top), (3, -top)]
