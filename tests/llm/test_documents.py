@@ -131,6 +131,17 @@ def test_posterior_limits_grow_and_spare_the_threshold():
     assert all(least[n] / n < 0.75 for n in least) and least[240] / 240 > 0.68
 
 
+def test_all_looks_together_lose_few_pairs_at_the_threshold():
+    least, agree = bayes_join.least_matches(), 0.8 + 0.2 / 256
+    chance, lost = np.ones(1), 0.0
+    for n in sorted(least):
+        for _ in range(bayes_join.STEP):
+            chance = np.convolve(chance, [1 - agree, agree])
+        lost += chance[: least[n]].sum()
+        chance[: least[n]] = 0
+    assert lost < 1e-4
+
+
 # --- paragraphs -----------------------------------------------------------
 
 
