@@ -84,8 +84,40 @@ WITH usable AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+#: Positives of every anchor, then the best rows of other labels in each positive's window.
+OP12 = """
+WITH usable AS (
+  SELECT vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike,
+         CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM usable a JOIN usable c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, n.vec_id AS negative_id,
+         n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id
+                                 ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+  FROM positives p
+  JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.alike
+    AND 80 * p.positive_score <= 100 * n.score
+    AND 100 * n.score <= 100 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 5
+"""
+
 ORACLE: dict[str, str] = {
     "op1_chat_format": OP1,
     "op8_warc_normalise": OP8,
     "op10_columnar_topk": OP10,
+    "op12_hard_negatives": OP12,
 }

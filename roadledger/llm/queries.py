@@ -13,6 +13,7 @@ from roadledger.llm import (
     bpe,
     chat,
     columnar_topk,
+    hard_negatives,
     language,
     mixing,
     paragraph_dedup,
@@ -173,3 +174,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_columnar_topk")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columnar_topk.top_k(table(spark, sf_dir, "embeddings"), asked(), k=20)
+
+
+@query("op12_hard_negatives")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", changed.otherwise(F.col("label"))
+    )
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
