@@ -1241,7 +1241,7 @@ add(
 add(
     "kpi_11_costly",
     "truck_id:s make:s model_year:i maintenance_cost:d cost_per_mile:d",
-    f"SELECT * FROM ({maintenance('MIN(m.miles)')}) WHERE cost_per_mile > 0.03",
+    f"SELECT * FROM ({maintenance('1')}) WHERE cost_per_mile > 0.03",
 )
 add(
     "kpi_11_low_mpg",
