@@ -57,10 +57,13 @@ def shared_folder(spark: SparkSession) -> str:
 _WRITTEN: list[str] = []
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
-    """The frame written once to the shared folder and read back: lineage ends here."""
+def stored(frame: DataFrame, name: str, *parts: str) -> DataFrame:
+    """The frame written once to the shared folder and read back: lineage ends here.
+
+    Files are laid out by the columns ``parts``, which then come last.
+    """
     path = f"{shared_folder(frame.sparkSession)}/{name}"
-    frame.write.parquet(path)
+    frame.write.partitionBy(*parts).parquet(path)
     _WRITTEN.append(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
@@ -90,6 +93,28 @@ def sha256_hex(column: Column) -> Column:
     return F.sha2(column.cast("binary"), 256)
 
 
+#: Keys that a broadcast side of ``spread_join`` holds at most.
+HEAVY = 1024
+
+
+def spread_join(
+    rows: DataFrame, few: DataFrame, keys: list[str], weight: str, total: int
+) -> DataFrame:
+    """Inner join of ``rows`` with ``few`` (unique ``keys``) without a hot task.
+
+    ``weight`` is a column of ``few``: how many of the ``total`` rows have that key. Of
+    keys with a ``HEAVY``-th of them there are at most ``HEAVY``; these are broadcast, the
+    others meet their rows in a shuffle join. ``few`` must be cheap to read twice.
+    """
+    hot = F.col(weight) * HEAVY > total
+    few_heavy, few_light = few.where(hot).drop(weight), few.where(~hot).drop(weight)
+    mark = few_heavy.select(*keys, F.lit(True).alias("_llm_heavy"))
+    light = rows.join(F.broadcast(mark), keys, "left").where("_llm_heavy IS NULL")
+    return rows.join(F.broadcast(few_heavy), keys).unionByName(
+        light.drop("_llm_heavy").join(few_light, keys)
+    )
+
+
 #: A word of the token-size measure: a run of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 

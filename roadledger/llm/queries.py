@@ -17,6 +17,7 @@ from roadledger.llm import (
     language,
     mixing,
     paragraph_dedup,
+    prefix_trie,
     token_counts,
     vp_search,
     warc,
@@ -183,3 +184,15 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         "label", changed.otherwise(F.col("label"))
     )
     return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+@query("op13_prefix_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = F.col("conv_id")
+    found = prefix_trie.with_heads(
+        prefix_trie.sequences(table(spark, sf_dir, "conversations")),
+        own - own % 100,
+        F.crc32(own.cast("string").cast("binary")) % 6,
+        most=5,
+    )
+    return prefix_trie.nodes_of(found)
