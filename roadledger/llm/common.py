@@ -98,9 +98,14 @@ HEAVY = 1024
 
 
 def spread_join(
-    rows: DataFrame, few: DataFrame, keys: list[str], weight: str, total: int
+    rows: DataFrame,
+    few: DataFrame,
+    keys: list[str],
+    weight: str,
+    total: int,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join of ``rows`` with ``few`` (unique ``keys``) without a hot task.
+    """Join (inner or left) of ``rows`` with ``few`` (unique ``keys``) without a hot task.
 
     ``weight`` is a column of ``few``: how many of the ``total`` rows have that key. Of
     keys with a ``HEAVY``-th of them there are at most ``HEAVY``; these are broadcast, the
@@ -111,7 +116,7 @@ def spread_join(
     mark = few_heavy.select(*keys, F.lit(True).alias("_llm_heavy"))
     light = rows.join(F.broadcast(mark), keys, "left").where("_llm_heavy IS NULL")
     return rows.join(F.broadcast(few_heavy), keys).unionByName(
-        light.drop("_llm_heavy").join(few_light, keys)
+        light.drop("_llm_heavy").join(few_light, keys, how)
     )
 
 

@@ -18,6 +18,7 @@ from roadledger.llm import (
     mixing,
     paragraph_dedup,
     prefix_trie,
+    suffix_dedup,
     token_counts,
     vp_search,
     warc,
@@ -177,6 +178,20 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columnar_topk.top_k(table(spark, sf_dir, "embeddings"), asked(), k=20)
 
 
+@query("op11_suffix_dedup")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = suffix_dedup.without_repeats(docs, least=200, keep="none")
+    lengths = F.transform("removed", lambda r: r["end"] - r["begin"])
+    return out.select(
+        "doc_id",
+        F.octet_length(text_or_empty()).cast("bigint").alias("n_bytes"),
+        F.aggregate(lengths, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op12_hard_negatives")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
