@@ -84,6 +84,39 @@ WITH usable AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+#: Every 200-byte string that starts twice, merged to spans; the bytes between them.
+OP11 = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), starts AS (
+  SELECT r, i, md5_number(array_slice(b, i, i + 199)) AS k
+  FROM (SELECT r, b, unnest(range(1, octet_length(b) - 198)) AS i FROM docs)
+), repeated AS (
+  SELECT r, i FROM starts WHERE k IN (SELECT k FROM starts GROUP BY k HAVING count(*) > 1)
+), fresh AS (
+  SELECT r, i, i - coalesce(lag(i) OVER w, -1000) > 200 AS new FROM repeated
+  WINDOW w AS (PARTITION BY r ORDER BY i)
+), spans AS (
+  SELECT r, n, min(i) AS a, max(i) + 200 AS z
+  FROM (SELECT r, i, sum(CAST(new AS INT)) OVER (PARTITION BY r ORDER BY i) AS n FROM fresh)
+  GROUP BY r, n
+), gaps AS (
+  SELECT r, a, coalesce(lag(z) OVER w, 1) AS begin, a AS finish FROM spans
+  WINDOW w AS (PARTITION BY r ORDER BY a)
+  UNION ALL
+  SELECT r, 1000000000, max(z), 1000000000 FROM spans GROUP BY r
+), kept AS (
+  SELECT g.r, string_agg(hex(array_slice(b, begin, finish - 1)), '' ORDER BY g.a) AS h
+  FROM gaps g JOIN docs USING (r) GROUP BY g.r
+), summed AS (
+  SELECT r, CAST(sum(z - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r
+)
+SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(CASE WHEN h IS NULL THEN b ELSE unhex(h) END) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r) LEFT JOIN summed USING (r)
+"""
+
 #: Positives of every anchor, then the best rows of other labels in each positive's window.
 OP12 = """
 WITH usable AS (
@@ -119,5 +152,6 @@ ORACLE: dict[str, str] = {
     "op1_chat_format": OP1,
     "op8_warc_normalise": OP8,
     "op10_columnar_topk": OP10,
+    "op11_suffix_dedup": OP11,
     "op12_hard_negatives": OP12,
 }

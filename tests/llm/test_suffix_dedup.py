@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadledger.llm import suffix_dedup
+from roadledger.llm.oracle import ORACLE
 from roadledger.llm.queries import QUERIES
+from tests.compare import difference, duck
 from tests.llm.helpers import LONG, docs
 
 
@@ -61,6 +63,11 @@ def test_query_matches_brute_force(spark):
     assert sum(r[2] for r in want) > 0
 
 
+def test_query_matches_sql(spark):
+    folder, name = "/root/testdata/sf0.001", "op11_suffix_dedup"
+    assert difference(QUERIES[name](spark, folder), duck(folder), ORACLE[name]) is None
+
+
 def mixed(seed, count):
     rng = random.Random(seed)
     parts = ["".join(rng.choice("abé\0") for _ in range(rng.randint(3, 40))) for _ in range(9)]
