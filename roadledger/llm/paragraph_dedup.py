@@ -1,29 +1,34 @@
-"""Removal of paragraphs that repeat across a corpus.
-
-1. Paragraphs are the lines of a text that hold a word. Those of the same words are one
-   class, found by grouping.
-2. Classes of at least ``LEAST_WORDS`` words have MinHash values in ``BANDS`` bands of
-   ``ROWS``, which give buckets; a pair of similarity 0.8 shares no bucket with probability
-   3e-5. Exact shingle sets are fetched for the classes of shared buckets alone.
-3. All classes of a bucket are compared inside tasks, by blocks as in op5: a bound on the
-   exact similarity drops pairs that cannot reach the threshold, and a bucket gives the
-   edges that connect the others, fewer than it has classes. The classes of a component of
-   those edges meet once more and are verified exactly; a task returns connecting links.
-4. Verified links form components; every paragraph but the first of its component, in
-   order of doc_id, text hash and line, repeats.
-5. A passage may be one long line or several short ones: repeating paragraphs that follow
-   each other, and whose components do so at an earlier place too, are one run; runs of at
-   least ``LEAST_WORDS`` words are cut from the text. Short lines that are common by
-   themselves stay, also side by side or next to a passage, unless they adjoin that passage
-   at its other end at an earlier place.
+"""Removal of paragraphs that repeat across the documents of a corpus.
+
+Paragraphs are of two kinds. Lines of at least ``LEAST_WORDS`` words repeat if they are
+alike (Jaccard similarity of word shingles); any ``LEAST_WORDS`` words in a row, wherever
+in a line or over lines they begin, repeat if they are equal. Both compare lower-case words.
+
+1. Equal texts are one, with their number; later documents of the same text repeat whole.
+2. Lines: those of the same words are one class, found by grouping. Classes have MinHash
+   values in ``BANDS`` bands of ``ROWS``, which give buckets; a pair of similarity 0.8 shares
+   no bucket with probability 3e-5. Exact shingle sets are fetched for the classes of shared
+   buckets alone. All classes of a bucket are compared inside tasks, by blocks as in op5: a
+   bound on the exact similarity drops pairs that cannot reach the threshold, and a bucket
+   gives the edges that connect the others, fewer than it has classes. The classes of a
+   component of those edges meet once more and are verified exactly. Verified links form
+   components; lines outside the first document of their component repeat.
+3. Word windows: one band of one MinHash value, the least of a window's shingle hashes,
+   which equal windows share. Neighbouring windows mostly share it too and are one run.
+   Buckets with runs of several texts get the words of their runs, and windows are compared
+   exactly there; those outside the first document that has them repeat. Buckets of more
+   than ``HOT`` runs become rows of windows with a 128-bit hash, aggregated by it.
+4. The word ranges of both are merged per text and cut out: from the first word of a range to
+   the next word that stays.
+
+Documents are in order of doc_id (null last) and text. What repeats inside one document
+only stays. A passage with edits that is no line of its own is found as far as it has
+``LEAST_WORDS`` equal words in a row.
 
 Defined cases
-    Null texts stay null, empty ones empty. All other paragraphs stay as they are, with
-    their line feeds; lines without words neither break a run nor go with it. A removed line
-    goes with the line feed that ends it (the last line with the one before it), so a text
-    may become empty. Rows equal in doc_id and
-    text are one document: they lose and keep the same lines. Null ids come last in the
-    order. An empty table gives no rows; further columns pass through ``cleaned``.
+    Null texts stay null, empty ones empty. A text may become empty. Rows equal in doc_id and
+    text are one document: they lose and keep the same words. An empty table gives no rows;
+    further columns pass through ``cleaned``, but for ``removed``, which is replaced.
 """
 
 from __future__ import annotations
@@ -32,8 +37,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadledger.llm.bayes_join import (
     BLOCK,
@@ -43,12 +49,20 @@ from roadledger.llm.bayes_join import (
     in_blocks,
     shared_shingles,
     shingle_sets,
-    text_key,
     whole_groups,
 )
-from roadledger.llm.common import discard, parted, ship, stored, written
+from roadledger.llm.common import discard, parted, ship, spread_join, stored, written
 from roadledger.llm.components import components
-from roadledger.llm.shingles import Segments, text_slabs
+from roadledger.llm.shingles import (
+    WIDTH,
+    Segments,
+    chains,
+    text_slabs,
+    word_edges,
+    words_of_slab,
+)
+from roadledger.llm.suffix_dedup import HOT, RUNS, distinct_texts, joined_by_text, merged
+from roadledger.llm.windows import byte_grams, runs
 
 THRESHOLD = 0.8
 LEAST_WORDS = 50
@@ -57,63 +71,50 @@ ROWS, BANDS = 3, 15
 BINS = 64
 
 
-def _identified(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        text_key().alias("text_key"),
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
+def lowered(texts: DataFrame) -> DataFrame:
+    """tid, last, doc_id, h, text in lower case, of distinct texts."""
+    return texts.select(
+        "tid",
+        "place.last",
+        "place.doc_id",
+        F.xxhash64("h").alias("h"),
+        F.lower(F.col("text").cast("string")).alias("text"),
     )
 
 
-def paragraphs(docs: DataFrame, least_words: int) -> DataFrame:
-    """doc_id, text_key, line, place, words, pid, bands: every line that holds a word.
+def long_lines(texts: DataFrame, least_words: int) -> DataFrame:
+    """tid, first, words, pid, bands: lines of at least ``least_words`` words.
 
-    ``line`` counts all lines, ``place`` those with words; ``bands`` is null under
-    ``least_words``.
+    ``first`` is the number of the text's words before the line.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, end, data, bounds in text_slabs(batch.column(2)):
+            for begin, _, data, bounds in text_slabs(batch.column(1)):
                 feeds = np.flatnonzero(data == 10) + 1
                 cuts = np.unique(np.concatenate([bounds, feeds]))
                 own = Segments(data, cuts)
                 row = np.searchsorted(bounds, cuts[:-1], "right") - 1
-                line = np.arange(len(row)) - np.searchsorted(row, row)
-                some = np.flatnonzero(own.words)
-                place = np.arange(len(some)) - np.searchsorted(row[some], row[some])
-                long = own.words[some] >= least_words
-                minima = own.minhash(ROWS * BANDS)[some[long]]
-                keys = np.column_stack([k[some] for k in own.keys]).astype(">u8")
-                keys = keys.tobytes()
-                offsets = np.concatenate([[0], np.cumsum(np.where(long, BANDS, 0))])
+                before = np.cumsum(own.words) - own.words
+                before -= before[np.searchsorted(row, row)]
+                some = np.flatnonzero(own.words >= least_words)
+                keys = np.column_stack([k[some] for k in own.keys]).astype(">u8").tobytes()
+                bands = band_keys(own.minhash(ROWS * BANDS)[some]).reshape(-1)
+                offsets = np.arange(len(some) + 1, dtype=np.int32) * BANDS
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(row[some] + begin)),
-                        batch.column(1).take(pa.array(row[some] + begin)),
-                        pa.array(line[some].astype(np.int32)),
-                        pa.array(place.astype(np.int32)),
+                        pa.array(before[some].astype(np.int32)),
                         pa.array(own.words[some].astype(np.int32)),
-                        pa.array(
-                            [keys[16 * i : 16 * i + 16] for i in range(len(some))],
-                            pa.binary(),
-                        ),
-                        pa.ListArray.from_arrays(
-                            offsets.astype(np.int32), band_keys(minima).reshape(-1)
-                        ),
+                        pa.array([keys[16 * i : 16 * i + 16] for i in range(len(some))], pa.binary()),
+                        pa.ListArray.from_arrays(offsets, bands),
                     ],
-                    names=["doc_id", "text_key", "line", "place", "words", "pid", "bands"],
+                    names=["tid", "first", "words", "pid", "bands"],
                 )
 
-    ship(docs.sparkSession)
-    return (
-        _identified(docs)
-        .withColumn("text", F.lower("text"))
-        .mapInArrow(
-            run,
-            "doc_id bigint, text_key bigint, line int, place int, words int, pid binary,"
-            " bands array<bigint>",
-        )
+    ship(texts.sparkSession)
+    return texts.select("tid", "text").mapInArrow(
+        run, "tid bigint, first int, words int, pid binary, bands array<bigint>"
     )
 
 
@@ -282,116 +283,55 @@ def verified_edges(members: DataFrame, threshold: float) -> DataFrame:
     return in_blocks(members, blocks).mapInArrow(run, "a binary, b binary")
 
 
-def passages(known: DataFrame) -> DataFrame:
-    """doc_id, text_key, run, words, lines: the repeating passages of each document.
+def line_texts(texts: DataFrame) -> DataFrame:
+    """rid, words: the lines that each text is asked for in ``wanted`` (first, words, rid)."""
 
-    ``known`` has every paragraph that has a like (``part``: its component), and whether
-    it ``repeats``. Neighbours stay in one run if the two, as neighbours, have an earlier
-    place; where they do not, the runs at both sides are still one if the last paragraph
-    of the second leads to the first of the first at an earlier place.
-    """
-    text = Window.partitionBy("doc_id", "text_key").orderBy("place")
-    before = F.lag(F.struct("place", "part", "repeats")).over(text)
-    rows = stored(
-        known.withColumn("b", before).select(
-            "doc_id",
-            "text_key",
-            "line",
-            "place",
-            "words",
-            "part",
-            "repeats",
-            F.when(F.col("b.place") == F.col("place") - 1, F.col("b")).alias("b"),
-        ),
-        "neighbours",
-    )
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "line")
-    firsts = stored(
-        rows.where("b IS NOT NULL")
-        .groupBy(F.col("b.part").alias("x"), F.col("part").alias("y"))
-        .agg(F.min(place).alias("at")),
-        "firsts",
-    )
-    # Rows that follow none get an x of their own, so that they never share a task.
-    none = F.encode(F.xxhash64("doc_id", "text_key", "line").cast("string"), "utf-8")
-    earlier = F.coalesce(F.col("at") < place, F.lit(False))
-    follows = F.coalesce(F.col("b.repeats"), F.lit(False))
-    chained = (
-        rows.where("repeats")
-        .withColumn("follows", follows)
-        .withColumn("x", F.when(F.col("follows"), F.col("b.part")).otherwise(none))
-        .withColumn("y", F.col("part"))
-        .join(firsts, ["x", "y"], "left")
-        .withColumn("piece", F.sum(F.when(earlier, 0).otherwise(1)).over(text))
-    )
-    pieces = chained.groupBy("doc_id", "text_key", "piece").agg(
-        F.min_by("part", "place").alias("head"),
-        F.max_by("part", "place").alias("tail"),
-        F.min_by("follows", "place").alias("follows"),
-        F.sum("words").alias("words"),
-        F.collect_list("line").alias("lines"),
-        F.min("line").alias("line"),
-    )
-    each = Window.partitionBy("doc_id", "text_key").orderBy("piece")
-    return (
-        pieces.withColumn("y", F.lag("head").over(each))
-        .withColumn("x", F.when(F.col("follows"), F.col("tail")).otherwise(none))
-        .join(firsts, ["x", "y"], "left")
-        .withColumn("run", F.sum(F.when(earlier, 0).otherwise(1)).over(each))
-        .groupBy("doc_id", "text_key", "run")
-        .agg(F.sum("words").alias("words"), F.flatten(F.collect_list("lines")).alias("lines"))
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rid, words = [], []
+            for text, wanted in zip(batch.column(0), batch.column(1).to_pylist()):
+                data = np.frombuffer(text.as_buffer(), np.uint8)
+                begin, end = word_edges(data, np.array([0, len(data)]))
+                for line in wanted:
+                    first = line["first"]
+                    own = data[begin[first] : end[first + line["words"] - 1]]
+                    rid.append(line["rid"])
+                    words.append(own.tobytes().decode())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rid, pa.binary()), pa.array(words, pa.string())], names=["rid", "words"]
+            )
 
+    return texts.select("text", "wanted").mapInArrow(run, "rid binary, words string")
 
-def removals(
-    docs: DataFrame, threshold: float = THRESHOLD, least_words: int = LEAST_WORDS
-) -> DataFrame:
-    """doc_id, text_key, lines: the lines to cut from each document that loses some."""
-    lines = stored(paragraphs(docs, least_words), "lines")
-    place = F.struct(
-        F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "line"
-    )
-    # Most classes are one short line; what can matter repeats, or is long.
+
+def alike_lines(texts: DataFrame, threshold: float, least_words: int) -> DataFrame:
+    """tid, begin, end: word ranges of lines that are like one of an earlier document."""
+    lines = stored(long_lines(texts, least_words), "lines")
+    places = lines.join(texts.select("tid", "last", "doc_id", "h"), "tid")
+    place = F.struct("last", "doc_id", "h", "tid", "first", "words")
     classes = stored(
-        lines.groupBy("pid")
-        .agg(
-            F.min(place).alias("first"),
+        places.groupBy("pid").agg(
+            F.min(place).alias("place"),
             F.count("*").alias("n"),
             F.first("bands").alias("bands"),
-        )
-        .where("n > 1 OR size(bands) > 0"),
+        ),
         "classes",
     )
     buckets = stored(shared_buckets(classes), "buckets")
-    needed = buckets.select(F.col("rid").alias("pid")).distinct()
     where = stored(
-        classes.join(needed, "pid").select(
-            "pid",
-            F.col("first.doc_id").alias("_id"),
-            F.col("first.text_key").alias("text_key"),
-            F.col("first.line").alias("line"),
+        classes.join(buckets.select(F.col("rid").alias("pid")).distinct(), "pid")
+        .groupBy("place.tid")
+        .agg(
+            F.collect_list(
+                F.struct("place.first", "place.words", F.col("pid").alias("rid"))
+            ).alias("wanted")
         ),
         "needed",
     )
-    texts, _ = parted(
-        _identified(docs), F.col("text_key"), where, F.col("text_key")
-    )
-    per_text = where.groupBy("_id", "text_key").agg(
-        F.collect_set(F.struct("line", "pid")).alias("wanted")
+    some, _ = parted(
+        texts.select("tid", "text"), F.xxhash64("tid"), where, F.xxhash64("tid")
     )
-    found = (
-        texts.join(per_text, "text_key")
-        .where(F.col("doc_id").eqNullSafe(F.col("_id")))
-        .select(
-            F.split(F.lower("text"), "\n").alias("all"), F.explode("wanted").alias("w")
-        )
-        .select(
-            F.col("w.pid").alias("rid"),
-            F.element_at("all", F.col("w.line") + 1).alias("words"),
-        )
-        .dropDuplicates(["rid"])
-    )
-    sets = stored(shingle_sets(found), "sets")
+    sets = stored(shingle_sets(line_texts(some.join(where, "tid"))), "sets")
     possible = components(candidate_edges(buckets, sets, threshold))
     members = stored(
         sets.join(possible.withColumnRenamed("node", "rid"), "rid").select(
@@ -404,69 +344,287 @@ def removals(
     )
     links = verified_edges(members.join(sizes, "key"), threshold)
     roots = components(links).withColumnRenamed("node", "pid")
-    linked = classes.select("pid", "first").join(roots, "pid")
-    keepers = linked.groupBy("root").agg(F.min("first").alias("keep"))
-    kept = linked.join(keepers, "root").select("pid", "keep", "root")
-    # Classes of one paragraph that is linked to none have nothing to lose.
-    decided = classes.join(kept, "pid", "left").where("n > 1 OR keep IS NOT NULL")
-    decided = decided.select(
-        "pid",
-        F.coalesce("keep", "first").alias("keep"),
-        F.coalesce("root", "pid").alias("part"),
+    linked = classes.select("pid", "place", "n").join(roots, "pid")
+    keepers = linked.groupBy("root").agg(F.min("place").alias("keep"))
+    # Equal lines repeat as word windows; only likeness adds to them.
+    decided = stored(
+        linked.join(keepers, "root").select("pid", "n", F.col("keep.tid").alias("keep")),
+        "decided-lines",
     )
-    own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "line")
-    known = (
-        lines.drop("bands")
-        .join(decided, "pid")
-        .withColumn("repeats", ~own.eqNullSafe(F.col("keep")))
-        .select("doc_id", "text_key", "line", "place", "words", "part", "repeats")
-        .distinct()
+    found = spread_join(lines.drop("bands"), decided, ["pid"], "n", lines.count())
+    return found.where("tid <> keep").select(
+        "tid",
+        F.col("first").cast("bigint").alias("begin"),
+        (F.col("first") + F.col("words")).cast("bigint").alias("end"),
     )
-    cut = (
-        passages(known)
-        .where(F.col("words") >= least_words)
-        .groupBy("doc_id", "text_key")
-        .agg(F.sort_array(F.flatten(F.collect_list("lines"))).alias("lines"))
+
+
+def word_runs(texts: DataFrame, least_words: int) -> DataFrame:
+    """value, tid, first, size: runs of word windows with one least shingle hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, _, data, bounds in text_slabs(batch.column(1)):
+                words, at = words_of_slab(data, bounds)
+                value, segment, first, size = runs(
+                    chains(words), at, least_words - WIDTH + 1, least_words
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(value.view(np.int64)),
+                        batch.column(0).take(pa.array(segment + begin)),
+                        pa.array(first.astype(np.int32)),
+                        pa.array(size.astype(np.int32)),
+                    ],
+                    names=["value", "tid", "first", "size"],
+                )
+
+    ship(texts.sparkSession)
+    return texts.select("tid", "text").mapInArrow(
+        run, "value bigint, tid bigint, first int, size int"
     )
-    return stored(cut, "removals")
 
 
-def without_lines(text: Column, lines: Column) -> Column:
-    """The text without the lines of those positions (from 0)."""
-    kept = F.filter(
-        F.split(text, "\n"),
-        lambda _, i: ~F.array_contains(lines, i),
+def handed_words(wanted: DataFrame, least_words: int) -> DataFrame:
+    """value, tid, last, doc_id, h, first, size, words (4 bytes each) for every run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, stop, data, bounds in text_slabs(batch.column("text")):
+                rows = batch.slice(start, stop - start)
+                words, at = words_of_slab(data, bounds)
+                packed = memoryview((words >> np.uint64(32)).astype(np.uint32)).cast("B")
+                lists = rows.column("runs")
+                row = np.repeat(np.arange(rows.num_rows), lists.value_lengths().to_numpy())
+                flat = lists.flatten()
+                value, first, size = (flat.field(n).to_numpy() for n in ("value", "first", "size"))
+                begin = (at[row] + first) * 4
+                end = begin + (size.astype(np.int64) + least_words - 1) * 4
+                for k in range(0, len(row), RUNS):
+                    part = slice(k, k + RUNS)
+                    own = pa.array(row[part])
+                    ends = zip(begin[part].tolist(), end[part].tolist())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(value[part]),
+                            *(rows.column(n).take(own) for n in ("tid", "last", "doc_id", "h")),
+                            pa.array(first[part]),
+                            pa.array(size[part]),
+                            pa.array([bytes(packed[a:b]) for a, b in ends], pa.binary()),
+                        ],
+                        names=["value", "tid", "last", "doc_id", "h", "first", "size", "words"],
+                    )
+
+    return wanted.select("tid", "last", "doc_id", "h", "text", "runs").mapInArrow(
+        run,
+        "value bigint, tid bigint, last boolean, doc_id bigint, h bigint, first int,"
+        " size int, words binary",
     )
-    return F.array_join(kept, "\n")
+
+
+def spread_windows(rows: pa.RecordBatch):
+    """(words, row, number in the run, first word) of every window of the rows' runs."""
+    column = rows.column("words")
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
+    words = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(np.uint32)
+    begin = (offsets.astype(np.int64) - offsets[0]) // 4
+    size = rows.column("size").to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(size)), size)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+    return words, row, step, begin[row] + step
+
+
+def compared_windows(given: DataFrame, least_words: int) -> DataFrame:
+    """tid, begin, end: word ranges of windows that an earlier document has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, ["value"]):
+            words, row, step, start = spread_windows(rows)
+            ids = rows.column("doc_id").fill_null(0).to_numpy()
+            last, h, tid, first = (
+                rows.column(n).to_numpy(zero_copy_only=False) for n in ("last", "h", "tid", "first")
+            )
+            order = np.lexsort((tid, h, ids, last))
+            rank = np.empty(len(order), dtype=np.int64)
+            rank[order] = np.cumsum(np.r_[0, tid[order][1:] != tid[order][:-1]])
+            place = rank[row]
+            window = byte_grams(words, least_words)[start]
+            order = np.lexsort((place, window))
+            new = np.flatnonzero(np.r_[True, window[order][1:] != window[order][:-1]])
+            least = np.repeat(place[order][new], np.diff(np.r_[new, len(order)]))
+            flag = np.zeros(len(row), dtype=bool)
+            flag[order] = place[order] > least
+            hit = np.flatnonzero(flag)
+            new = np.r_[True, (hit[1:] != hit[:-1] + 1) | (row[hit[1:]] != row[hit[:-1]])]
+            new = np.flatnonzero(new[: len(hit)])
+            at = row[hit[new]]
+            begin = first[at].astype(np.int64) + step[hit[new]]
+            count = np.diff(np.r_[new, len(hit)])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column("tid").take(pa.array(at)),
+                    pa.array(begin),
+                    pa.array(begin + count + least_words - 1),
+                ],
+                names=["tid", "begin", "end"],
+            )
+
+    return (
+        given.repartition("value")
+        .sortWithinPartitions("value")
+        .mapInArrow(run, "tid bigint, begin bigint, end bigint")
+    )
+
+
+def hashed_windows(given: DataFrame, least_words: int) -> DataFrame:
+    """``compared_windows`` for values of many runs: a row per window, no words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, row, step, start = spread_windows(batch)
+            own = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(
+                        pa.array(byte_grams(words, least_words, x)[start].view(np.int64))
+                        for x in (False, True)
+                    ),
+                    *(batch.column(n).take(own) for n in ("tid", "last", "doc_id", "h")),
+                    pa.array(batch.column("first").to_numpy()[row] + step),
+                ],
+                names=["f1", "f2", "tid", "last", "doc_id", "h", "begin"],
+            )
+
+    rows = stored(
+        given.mapInArrow(
+            run,
+            "f1 bigint, f2 bigint, tid bigint, last boolean, doc_id bigint, h bigint,"
+            " begin bigint",
+        ),
+        "windows",
+    )
+    place = F.struct("last", "doc_id", "h", "tid")
+    several = stored(
+        rows.groupBy("f1", "f2")
+        .agg(F.count("*").alias("n"), F.min(place).alias("keep"), F.max("tid").alias("most"))
+        .where("n > 1"),
+        "several",
+    )
+    met = spread_join(rows, several, ["f1", "f2"], "n", rows.count())
+    return met.where(F.col("tid") != F.col("keep.tid")).select(
+        "tid", "begin", (F.col("begin") + least_words).alias("end")
+    )
+
+
+def equal_windows(texts: DataFrame, least_words: int, hot: int) -> DataFrame:
+    """tid, begin, end: word ranges of ``least_words`` words that an earlier document has."""
+    found = stored(word_runs(texts, least_words), "runs")
+    several = stored(
+        found.groupBy("value")
+        .agg(F.count("*").alias("n"), F.min("tid").alias("a"), F.max("tid").alias("b"))
+        .where("a <> b")
+        .select("value", "n"),
+        "values",
+    )
+    kept = spread_join(
+        found, several.withColumn("hot", F.col("n") > hot), ["value"], "n", found.count()
+    )
+    per_text = stored(
+        kept.groupBy("tid", "hot").agg(
+            F.collect_list(F.struct("value", "first", "size")).alias("runs")
+        ),
+        "wanted",
+    )
+    some, _ = parted(texts, F.xxhash64("tid"), per_text, F.xxhash64("tid"))
+
+    def wanted(is_hot: bool) -> DataFrame:
+        own = per_text.where(F.col("hot") == is_hot).drop("hot")
+        return handed_words(some.join(own, "tid"), least_words)
+
+    ranges = compared_windows(wanted(False), least_words)
+    if not several.where(F.col("n") > hot).isEmpty():
+        ranges = ranges.unionByName(hashed_windows(wanted(True), least_words))
+    return ranges
+
+
+def without_words(rows: DataFrame, columns: list[str], least_words: int) -> DataFrame:
+    """``columns`` of the rows, their text without the word ranges of ``_llm_cut``."""
+    spans = T.ArrayType(
+        T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())])
+    )
+    given = rows.select(*columns, F.col("_llm_cut").cast(spans).alias("_llm_cut"))
+    schema = T.StructType([*given.schema.fields[:-1], T.StructField("removed", spans)])
+    text_at = columns.index("text")
+    kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, removed = [], []
+            for text, cut in zip(batch.column(text_at), batch.column(batch.num_columns - 1)):
+                own, gone = text, []
+                if cut.is_valid and len(cut.values) and text.is_valid:
+                    data = np.frombuffer(text.as_buffer(), np.uint8)
+                    word, _ = word_edges(data, np.array([0, len(data)]))
+                    begin, end = merged(*(cut.values.field(n).to_numpy() for n in ("begin", "end")))
+                    end = np.minimum(end, len(word))
+                    long = end - begin >= least_words
+                    begin, end = begin[long], end[long]
+                    if len(begin):
+                        edges = np.r_[word, len(data)]
+                        rest = zip(np.r_[0, edges[end]].tolist(), np.r_[edges[begin], len(data)].tolist())
+                        own = pa.scalar(
+                            b"".join([data[a:b].tobytes() for a, b in rest]).decode(), pa.string()
+                        )
+                        gone = [{"begin": a, "end": b} for a, b in zip(begin.tolist(), end.tolist())]
+                texts.append(own.as_py())
+                removed.append(gone)
+            arrays = list(batch.columns[:-1])
+            arrays[text_at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [*arrays, pa.array(removed, kind)],
+                names=[*batch.schema.names[:-1], "removed"],
+            )
+
+    return given.mapInArrow(run, schema)
 
 
 def cleaned(
-    docs: DataFrame, threshold: float = THRESHOLD, least_words: int = LEAST_WORDS
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    least_words: int = LEAST_WORDS,
+    hot: int = HOT,
 ) -> DataFrame:
-    """``docs`` with the repeated paragraphs cut out, and ``removed``, their positions."""
+    """``docs`` without the repeated paragraphs, and ``removed``, their word ranges."""
     mark = written()
-    cut = removals(docs, threshold, least_words)
+    whole = distinct_texts(docs)
+    texts = lowered(whole)
+    ranges = (
+        alike_lines(texts, threshold, least_words)
+        .unionByName(equal_windows(texts, least_words, hot))
+        .groupBy("tid")
+        .agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
+    )
+    decided = stored(
+        whole.select("tid", "h", "copies", "place")
+        .join(ranges, "tid", "left")
+        .where("copies > 1 OR ranges IS NOT NULL")
+        .select("h", "copies", F.col("place.doc_id").alias("first"), "ranges"),
+        "decided",
+    )
     discard(docs.sparkSession, mark)
-    keyed = docs.withColumn("_llm_own", text_key())
-    some, rest = parted(keyed, F.col("_llm_own"), cut, F.col("text_key"))
-    cut = cut.select(
-        F.col("doc_id").alias("_llm_id"),
-        F.col("text_key").alias("_llm_key"),
-        F.col("lines").alias("_llm_lines"),
+    columns = [c for c in docs.columns if c != "removed"]
+    some, rest = joined_by_text(docs.select(*columns), decided)
+    copy = (F.col("_llm_copies") > 1) & ~F.col("doc_id").cast("bigint").eqNullSafe(
+        F.col("_llm_first")
+    )
+    every = F.array(
+        F.struct(F.lit(0).cast("bigint").alias("begin"), F.lit(2**31).alias("end"))
+    )
+    some = some.withColumn("_llm_cut", F.when(copy, every).otherwise(F.col("_llm_found")))
+    rest = rest.select(
+        *columns, F.array().cast("array<struct<begin:bigint,end:bigint>>").alias("removed")
     )
-    match = (F.col("_llm_own") == F.col("_llm_key")) & F.col("doc_id").cast(
-        "bigint"
-    ).eqNullSafe(F.col("_llm_id"))
-    joined = some.join(cut, match, "left")
-    none = F.array().cast("array<int>")
-    columns = [c for c in docs.columns if c not in ("text", "removed")]
-    changed = joined.select(
-        *columns,
-        F.when(F.col("_llm_lines").isNull(), F.col("text"))
-        .otherwise(without_lines(F.col("text"), F.col("_llm_lines")))
-        .alias("text"),
-        F.coalesce("_llm_lines", none).alias("removed"),
+    text = F.col("text").cast("string")
+    return without_words(some.withColumn("text", text), columns, least_words).unionByName(
+        rest.withColumn("text", text)
     )
-    same = rest.select(*columns, "text", none.alias("removed"))
-    ordered = [c for c in docs.columns if c != "removed"]
-    return changed.unionByName(same).select(*ordered, "removed")

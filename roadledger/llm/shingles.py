@@ -43,6 +43,57 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def word_edges(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of every word; words end at the bounds of segments."""
+    inside = ~BLANK[data]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    edge = bounds[(bounds > 0) & (bounds < len(data))]
+    first[edge] |= inside[edge]
+    last[edge - 1] |= inside[edge - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    forward = _powers(_BASE, len(data) + 1)
+    prefix = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * forward[:-1], out=prefix[1:])
+    back = _powers(_BASE_INVERSE, len(data) + 1)
+    return mix((prefix[end] - prefix[begin]) * back[begin])
+
+
+def words_of_slab(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, and the bounds of the segments counted in words.
+
+    A single text of more than a slab is taken in pieces that end at a blank.
+    """
+    if len(data) <= SLAB:
+        begin, end = word_edges(data, bounds)
+        return word_hashes(data, begin, end), np.searchsorted(begin, bounds)
+    found, at = [], 0
+    while at < len(data):
+        stop = min(at + SLAB, len(data))
+        while stop < len(data) and not BLANK[data[stop - 1]]:
+            blank = np.flatnonzero(BLANK[data[stop : stop + SLAB]])
+            stop = min(stop + (int(blank[0]) + 1 if len(blank) else SLAB), len(data))
+        piece = data[at:stop]
+        begin, end = word_edges(piece, np.array([0, len(piece)]))
+        found.append(word_hashes(piece, begin, end))
+        at = stop
+    words = np.concatenate(found)
+    return words, np.array([0, len(words)])
+
+
+def chains(words: np.ndarray) -> np.ndarray:
+    """Hash of the ``WIDTH`` words from every word that has them."""
+    count = max(len(words) - WIDTH + 1, 0)
+    chain = np.zeros(count, dtype=np.uint64)
+    for k in range(WIDTH):
+        chain = chain * _CHAIN + words[k : k + count]
+    return mix(chain)
+
+
 class Segments:
     """Words and shingles of segments [bounds[i], bounds[i + 1]) of ``data``.
 
@@ -53,19 +104,8 @@ class Segments:
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray):
         n = len(bounds) - 1
-        inside = ~BLANK[data]
-        first, last = inside.copy(), inside.copy()
-        first[1:] &= ~inside[:-1]
-        last[:-1] &= ~inside[1:]
-        edge = bounds[(bounds > 0) & (bounds < len(data))]
-        first[edge] |= inside[edge]
-        last[edge - 1] |= inside[edge - 1]
-        begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-        forward = _powers(_BASE, len(data) + 1)
-        prefix = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * forward[:-1], out=prefix[1:])
-        back = _powers(_BASE_INVERSE, len(data) + 1)
-        word = mix((prefix[end] - prefix[begin]) * back[begin])
+        begin, end = word_edges(data, bounds)
+        word = word_hashes(data, begin, end)
         at = np.searchsorted(begin, bounds)
         self.words = np.diff(at)
         owner = np.repeat(np.arange(n), self.words)

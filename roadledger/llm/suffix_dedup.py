@@ -370,6 +370,28 @@ def cut_out(rows: DataFrame, columns: list[str], ranges: str) -> DataFrame:
     return given.mapInArrow(run, schema)
 
 
+def joined_by_text(docs: DataFrame, decided: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that ``decided`` may know, the others), both with ``_llm_bytes``.
+
+    ``decided`` is stored and has h, copies, first (the doc_id of the first copy) and
+    ranges per text; the first part gets them as ``_llm_copies``, ``_llm_first`` and
+    ``_llm_found``, null where the text is unknown there.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    rows = docs.withColumn("_llm_bytes", text).withColumn(
+        "_llm_h", F.expr("substring(unhex(sha2(_llm_bytes, 256)), 1, 16)")
+    )
+    some, rest = parted(rows, F.xxhash64("_llm_h"), decided, F.xxhash64("h"))
+    few = decided.select(
+        F.col("h").alias("_llm_h"),
+        F.col("first").alias("_llm_first"),
+        F.col("copies").alias("_llm_copies"),
+        F.col("copies").alias("_llm_weight"),
+        F.col("ranges").alias("_llm_found"),
+    )
+    return spread_join(some, few, ["_llm_h"], "_llm_weight", docs.count(), "left"), rest
+
+
 def without_repeats(
     docs: DataFrame,
     least: int = LEAST,
@@ -391,27 +413,13 @@ def without_repeats(
     decided = stored(
         held.join(ranges, "tid", "left")
         .where("copies > 1 OR ranges IS NOT NULL")
-        .select(
-            F.col("h").alias("_llm_h"), "copies", F.col("place.doc_id").alias("_llm_first"), "ranges"
-        ),
+        .select("h", "copies", F.col("place.doc_id").alias("first"), "ranges"),
         "decided",
     )
     discard(docs.sparkSession, mark)
     columns = [c for c in docs.columns if c not in ("removed", "kept")]
-    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(*columns, text.alias("_llm_bytes")).withColumn(
-        "_llm_h", F.expr("substring(unhex(sha2(_llm_bytes, 256)), 1, 16)")
-    )
-    some, rest = parted(rows, F.xxhash64("_llm_h"), decided, F.xxhash64("_llm_h"))
-    few = decided.select(
-        "_llm_h",
-        "_llm_first",
-        F.col("copies").alias("_llm_copies"),
-        F.col("copies").alias("_llm_weight"),
-        F.col("ranges").alias("_llm_found"),
-    )
-    some = spread_join(some, few, ["_llm_h"], "_llm_weight", docs.count(), "left")
-    kind = few.schema["_llm_found"].dataType
+    some, rest = joined_by_text(docs.select(*columns), decided)
+    kind = some.schema["_llm_found"].dataType
     size = F.octet_length("_llm_bytes").cast("bigint")
     whole = F.array(F.struct(F.lit(0).cast("bigint").alias("begin"), size.alias("end")))
     copy = F.col("_llm_copies") > 1

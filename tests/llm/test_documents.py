@@ -1,6 +1,8 @@
 """Near copies, paragraphs, languages, mixing and the pipeline against brute force."""
 
 import hashlib
+import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -145,75 +147,108 @@ def test_all_looks_together_lose_few_pairs_at_the_threshold():
 # --- paragraphs -----------------------------------------------------------
 
 
-def by_hand(texts):
-    places = [
-        (i, k, " ".join(line.lower().split()))
-        for i in sorted(texts)
-        for k, line in enumerate((texts[i] or "").split("\n"))
-        if line.split()
-    ]
-    sets = {n: shingles(p[2]) for n, p in enumerate(places) if len(p[2].split()) >= 50}
-    first = {}
-    same = {(first.setdefault(p[2], n), n) for n, p in enumerate(places)}
-    root = roots(range(len(places)), similar_pairs(sets) | same)
-    removed = {i: [] for i in texts}
-    run = []
-    for n, (i, k, words) in enumerate([*places, (None, 0, "")]):
-        if run and (i != run[-1][0] or root.get(n, n) == n):
-            if sum(len(w.split()) for _, _, w in run) >= 50:
-                removed[run[0][0]] += [x for _, x, _ in run]
-            run = []
-        if root.get(n, n) != n:
-            run.append((i, k, words))
-    return removed
-
-
-def test_paragraph_query_against_brute_force(spark, texts):
-    removed = by_hand(texts)
-    got = QUERIES["op7_paragraph_dedup"](spark, SF).collect()
-    assert len(got) == len(texts) and any(removed.values())
+WORD = re.compile(r"[^ \t-\r]+")
+
+
+def by_hand(texts, least=50):
+    """{id: (word ranges, kept text)} by all windows and all pairs of lines."""
+    owner, cover, lines = {}, {}, []
+    for i in sorted(texts):
+        low = WORD.findall((texts[i] or "").lower())
+        cover[i] = np.zeros(len(low), dtype=bool)
+        for at in range(len(low) - least + 1):
+            if owner.setdefault(tuple(low[at : at + least]), i) != i:
+                cover[i][at : at + least] = True
+        at = 0
+        for line in (texts[i] or "").lower().split("\n"):
+            own = WORD.findall(line)
+            if len(own) >= least:
+                lines.append((i, at, len(own), " ".join(own)))
+            at += len(own)
+    sets = {n: shingles(line[3]) for n, line in enumerate(lines)}
+    same = {}
+    pairs = similar_pairs(sets) | {(same.setdefault(x[3], n), n) for n, x in enumerate(lines)}
+    # Lines lie in order of document, so the root is in the first one.
+    for n, root in roots(range(len(lines)), pairs).items():
+        i, at, count, _ = lines[n]
+        if lines[root][0] != i:
+            cover[i][at : at + count] = True
+    out = {}
+    for i, text in texts.items():
+        edge = np.flatnonzero(np.diff(np.r_[0, cover[i].astype(int), 0])).tolist()
+        spans = list(zip(edge[::2], edge[1::2]))
+        begin = [m.start() for m in WORD.finditer(text or "")] + [len(text or "")]
+        kept, at = "", 0
+        for a, b in spans:
+            kept, at = kept + text[at : begin[a]], begin[b]
+        out[i] = (spans, None if text is None else kept + text[at:])
+    return out
+
+
+def cut(frame, **given):
+    return {
+        r.doc_id: ([(s.begin, s.end) for s in r.removed], r.text)
+        for r in paragraph_dedup.cleaned(frame, **given).collect()
+    }
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_paragraph_query_against_brute_force(spark, size):
+    folder = f"/root/testdata/{size}"
+    rows = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    want = by_hand({r.doc_id: r.text for r in rows})
+    got = QUERIES["op7_paragraph_dedup"](spark, folder).collect()
+    assert len(got) == len(want) and any(spans for spans, _ in want.values())
     for r in got:
-        kept = "\n".join(
-            line
-            for k, line in enumerate(texts[r.doc_id].split("\n"))
-            if k not in removed[r.doc_id]
-        )
-        assert list(r.removed) == removed[r.doc_id]
+        spans, kept = want[r.doc_id]
+        assert [(s.begin, s.end) for s in r.removed] == spans
         assert (r.kept_chars, r.text_sha256) == (
             len(kept), hashlib.sha256(kept.encode()).hexdigest()
         )
 
 
-def test_paragraph_edge_cases(spark):
+@pytest.mark.parametrize("hot", [paragraph_dedup.HOT, 1])
+def test_paragraph_edge_cases(spark, hot):
     p, q = words(60), words(60, 1000)
     near = p.replace("w30", "other")
     texts = [
         None, "", "\n\n", f"{p}\nshort", f"intro\n{p}\n{q}", q, f"{near}\n{p}", words(49),
-        words(49), f"{LONG}\n\n{q.upper()}\n",
+        words(49), f"{LONG}\n\n{q.upper()}\n", f"İ{LONG} and {p[3:]} end", p,
     ]
     frame = clashing(docs(spark, texts))
-    got = {r.doc_id: r for r in paragraph_dedup.cleaned(frame).collect()}
-    assert {i: list(r.removed) for i, r in got.items()} == {
-        0: [], 1: [], 2: [], 3: [], 4: [1], 5: [0], 6: [0, 1], 7: [], 8: [], 9: [2]
+    got = cut(frame, hot=hot)
+    assert got == by_hand(dict(enumerate(texts)))
+    assert {i: spans for i, (spans, _) in got.items() if spans} == {
+        4: [(1, 61)], 5: [(0, 60)], 6: [(0, 120)], 9: [(30_000, 30_060)],
+        10: [(0, 30_061)], 11: [(0, 60)],
     }
-    assert [got[i].text for i in (0, 1, 2, 3, 4, 5, 6, 9)] == [
-        None, "", "\n\n", f"{p}\nshort", f"intro\n{q}", "", "", f"{LONG}\n\n"
+    assert [got[i][1] for i in (0, 1, 2, 4, 5, 6, 9)] == [
+        None, "", "\n\n", f"intro\n{q}", "", "", f"{LONG}\n\n"
     ]
-    assert got[4].lines == "mine" and got[4].source == "s0"
+    rows = paragraph_dedup.cleaned(frame).collect()
+    assert {(r.lines, r.source) for r in rows} == {("mine", "s0")}
     twice = paragraph_dedup.cleaned(frame.union(frame)).collect()
-    assert len(twice) == 20 and {tuple(r.removed) for r in twice if r.doc_id == 3} == {()}
+    assert len(twice) == 24 and {len(r.removed) for r in twice if r.doc_id == 3} == {0}
     assert paragraph_dedup.cleaned(frame.limit(0)).count() == 0
 
 
-def test_a_passage_of_short_lines_is_cut_and_common_lines_stay(spark):
-    passage = "\n".join(words(13, 100 * i) for i in range(4))
-    texts = [
-        f"own a\n{passage}\nThe end.", f"own b\nThe end.\n\n{passage}", "own c\nThe end.",
-        passage.replace("\n", "\n\n"), "\n".join(passage.split("\n")[:3]),
-    ]
-    got = {r.doc_id: list(r.removed) for r in paragraph_dedup.cleaned(docs(spark, texts)).collect()}
-    assert got == {0: [], 1: [1, 3, 4, 5, 6], 2: [], 3: [0, 2, 4, 6], 4: []}
+def test_passages_are_found_apart_from_lines(spark):
+    rng = random.Random(8)
+    passage = words(57)
+    texts = [f"own {words(rng.randint(0, 30), 5000 + 100 * i)} {passage} {words(9, 9000 + 10 * i)}"
+             for i in range(12)]
+    texts += [f"a\n{passage.replace(' ', chr(10))}\nb", passage.replace("w30 ", "w30\n\n ")]
+    got = cut(docs(spark, texts))
+    assert got == by_hand(dict(enumerate(texts)))
+    assert not got[0][0] and all("w30" not in t for i, (_, t) in got.items() if i)
+
+
+def test_repeats_of_one_document_stay(spark):
+    p = words(60)
+    texts = ["\n".join([p] * 4), f"{words(70, 500)} {words(70, 500)}", f"{p} {words(30, 7000)} {p}"]
+    got = cut(docs(spark, texts))
     assert got == by_hand(dict(enumerate(texts)))
+    assert not got[0][0] and not got[1][0] and got[2][1] == words(30, 7000) + " "
 
 
 def test_a_common_paragraph_is_cut_everywhere_but_once(spark):
@@ -221,7 +256,7 @@ def test_a_common_paragraph_is_cut_everywhere_but_once(spark):
     frame = docs(spark, [f"own text {i}\n{p}" for i in range(300)])
     got = paragraph_dedup.cleaned(frame).collect()
     assert sum(len(r.removed) for r in got) == 299
-    assert {r.text for r in got if r.removed} == {f"own text {i}" for i in range(1, 300)}
+    assert {r.text for r in got if r.removed} == {f"own text {i}\n" for i in range(1, 300)}
 
 
 def test_edited_copies_of_one_paragraph_find_their_original(spark):
@@ -240,8 +275,8 @@ def test_lines_known_from_different_documents_are_no_passage(spark):
     lines, p = [words(14, 100 * i) for i in range(4)], words(60, 1000)
     texts = [f"own {i}\n{line}" for i, line in enumerate(lines)]
     texts += ["\n".join(lines), "\n".join(lines), p, f"{lines[1]}\n{p}\n{lines[0]}"]
-    got = {r.doc_id: list(r.removed) for r in paragraph_dedup.cleaned(docs(spark, texts)).collect()}
-    assert got == {i: [] for i in range(7)} | {5: [0, 1, 2, 3], 7: [1]}
+    got = {i: spans for i, (spans, _) in cut(docs(spark, texts)).items()}
+    assert got == {i: [] for i in range(7)} | {5: [(0, 56)], 7: [(14, 74)]}
 
 
 # --- language -------------------------------------------------------------
@@ -437,11 +472,9 @@ def test_stages_by_brute_force(spark, texts):
     root = roots(sets, similar_pairs(sets))
     assert sorted(held[1].doc_id) == sorted(set(root.values()))
     kept = {i: texts[i] for i in held[1].doc_id}
-    removed = by_hand(kept)
+    cleaned = by_hand(kept)
     for r in held[2].itertuples():
-        lines = kept[r.doc_id].split("\n")
-        assert r.text == "\n".join(x for k, x in enumerate(lines) if k not in removed[r.doc_id])
-        assert r.n_chars == len(r.text)
+        assert r.text == cleaned[r.doc_id][1] and r.n_chars == len(r.text)
     assert all(list(h.columns) == list(held[0].columns) for h in held)
     counts = held[3].groupby("doc_id").size()
     assert counts.max() <= 3 and set(counts.index) <= set(held[2].doc_id)
@@ -471,6 +504,6 @@ def test_stages_on_odd_documents(spark):
 
 def test_queries_are_registered_once_each():
     names = list(QUERIES)
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert set(names) | {"pipeline"} <= set(entry.queries())
