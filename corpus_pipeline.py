@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadledger.llm import bayes_join, bpe, language, mixing, paragraph_dedup
-from roadledger.llm.common import sha256_hex, stored, table
+from roadledger.llm.common import stored, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -54,15 +54,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = bpe.encode_and_decode(docs, RANKS, public_tokenizers.PATTERN)
-    return out.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        "ids",
-        sha256_hex(F.array_join(F.col("ids").cast("array<string>"), " ")).alias(
-            "ids_sha256"
-        ),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+    return bpe.encode_and_decode(
+        docs,
+        RANKS,
+        public_tokenizers.PATTERN,
+        ("n_tokens", "ids", "ids_sha256", "decoded_sha256"),
     )
 
 
