@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadledger.llm.common import discard, parted, ship, stored, written
+from roadledger.llm.common import discard, parted, ship, stored, tidy, written
 from roadledger.llm.components import components
 from roadledger.llm.shingles import Segments, hashed_bytes, text_slabs
 
@@ -105,7 +105,7 @@ def signed(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"),
         text_key().alias("text_key"),
         words_of(F.col("text")).alias("words"),
-    ).mapInArrow(run, "doc_id bigint, text_key bigint, rid binary, sig binary")
+    ).mapInArrow(tidy(run), "doc_id bigint, text_key bigint, rid binary, sig binary")
 
 
 def shared_buckets(classes: DataFrame) -> DataFrame:
@@ -259,7 +259,7 @@ def candidate_edges(
 
     rows = buckets.join(classes.select("rid", "sig"), "rid")
     return in_blocks(rows, F.ceil(F.col("n") / BLOCK)).mapInArrow(
-        run, "a binary, b binary"
+        tidy(run), "a binary, b binary"
     )
 
 
@@ -328,7 +328,7 @@ def verified_links(
         F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)
     )
     return in_blocks(members, blocks).mapInArrow(
-        run, "rid binary, partners bigint, to binary"
+        tidy(run), "rid binary, partners bigint, to binary"
     )
 
 
@@ -358,7 +358,7 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
 
     ship(texts.sparkSession)
     return texts.select("rid", "words").mapInArrow(
-        run, "rid binary, shingles array<bigint>"
+        tidy(run), "rid binary, shingles array<bigint>"
     )
 
 

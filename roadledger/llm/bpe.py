@@ -4,9 +4,11 @@ Encoding splits a text by the tokenizer's pattern, looks whole pieces up in the
 vocabulary, and gives the distinct other pieces of a batch to a recursive query: the
 token positions of every open piece join the merge table, the leftmost pair of least rank
 is contracted, and a piece without such a pair leaves the recursion. Decoding joins
-(document, position, id) rows with the vocabulary and concatenates in order of position.
-Each Python worker has one in-memory DuckDB with one thread and a memory limit; batches
-are cut by size, so memory does not grow with partitions or texts.
+(part, position, id) rows with the vocabulary and concatenates in order of position. Each
+Python worker has one in-memory DuckDB with one thread and a memory limit. What a query
+gets is bounded, also inside a long text: pieces are learned in runs, ids are decoded in
+parts of at most ``SLAB_TOKENS``, whose bytes follow each other. A worker so holds one
+batch of texts and their ids beside bounded tables.
 
 A piece of over ``LONG`` bytes would make the recursion quadratic; such pieces are
 contracted one by one with a heap, by the same rule (least rank, then leftmost).
@@ -21,22 +23,26 @@ Defined cases
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadledger.llm.common import ship
+from roadledger.llm.common import let_go, ship
 
 LONG = 128
-#: Characters of text and tokens handled at once, and pieces remembered by a worker.
-SLAB_CHARS = 1_000_000
-SLAB_TOKENS = 200_000
-REMEMBERED = 250_000
-MEMORY = "200MB"
+#: Characters of text, pieces of one text and tokens handled at once, and pieces remembered
+#: by a worker.
+SLAB_CHARS = 600_000
+SLAB_PIECES = 150_000
+SLAB_TOKENS = 100_000
+REMEMBERED = 200_000
+MEMORY = "150MB"
 
 CONTRACT = """
 WITH RECURSIVE step(word, toks, live) AS (
@@ -82,7 +88,10 @@ class Codec:
                 for a, b in (line.split() for line in lines if line.strip())
             }
         ranks = self.ranks
-        self.find = regex.compile(pattern).findall
+        compiled = regex.compile(pattern)
+        self.find, self.each = compiled.findall, compiled.finditer
+        width = len(str(len(ranks))) + 1
+        self.decimal = np.array([b"%d " % i for i in range(len(ranks))], dtype=f"S{width}")
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         merges = [
             (ranks[whole[:i]], ranks[whole[i:]], rank)
@@ -117,7 +126,7 @@ class Codec:
         if self.db is not None:
             self.db.close()
         self.db, self.known, self.pairs = None, {}, {}
-        pa.default_memory_pool().release_unused()
+        let_go()
 
     def table(self, name: str, **columns) -> None:
         given = pa.table(columns)
@@ -196,21 +205,45 @@ class Codec:
         return np.array([t for t in token if t >= 0], dtype=np.int32)
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text as bytes of 32-bit integers."""
+        if len(texts) == 1 and len(texts[0]) > SLAB_CHARS:
+            return [b"".join(self.encode_runs(texts[0]))]
         pieces = [self.find(text) for text in texts]
         self.learn(set().union(*pieces))
         known = self.known.__getitem__
         return [b"".join(map(known, own)) for own in pieces]
 
+    def encode_runs(self, text: str) -> Iterator[bytes]:
+        """The ids of a long text, a bounded run of pieces at a time."""
+        found = (m.group() for m in self.each(text))
+        while run := list(islice(found, SLAB_PIECES)):
+            self.learn(set(run))
+            yield b"".join(map(self.known.__getitem__, run))
+
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.ranks)):
             raise ValueError("an id lies outside the vocabulary")
+        # Parts of at most SLAB_TOKENS ids; those of one text follow each other.
+        count = np.maximum(-(-sizes // SLAB_TOKENS), 1)
+        owner = np.repeat(np.arange(len(sizes)), count)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        size = np.clip(sizes[owner] - place * SLAB_TOKENS, 0, SLAB_TOKENS)
+        begin = np.cumsum(size) - size
+        out: list[list[bytes]] = [[] for _ in sizes]
+        for low, high in slabs(size, SLAB_TOKENS):
+            own = ids[begin[low] : begin[high - 1] + size[high - 1]]
+            for i, part in enumerate(self.decode_parts(own, size[low:high]), low):
+                out[owner[i]].append(part)
+        return [b"".join(parts) for parts in out]
+
+    def decode_parts(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         begins = np.cumsum(sizes) - sizes
         self.db.register(
             "tokens",
             pa.table(
                 {
                     "doc": np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
-                    "pos": np.arange(len(ids)) - np.repeat(begins, sizes),
+                    "pos": (np.arange(len(ids)) - np.repeat(begins, sizes)).astype(np.int32),
                     "id": ids,
                 }
             ),
@@ -221,6 +254,15 @@ class Codec:
         self.db.unregister("tokens")
         return out
 
+    def digest(self, ids: np.ndarray) -> str:
+        """SHA-256 of the decimal ids, joined by single spaces."""
+        state = hashlib.sha256()
+        for begin in range(0, len(ids), SLAB_TOKENS):
+            part = ids[begin : begin + SLAB_TOKENS]
+            text = self.decimal[part].tobytes().translate(None, b"\0")
+            state.update(text if begin + len(part) < len(ids) else text[:-1])
+        return state.hexdigest()
+
 
 _CODECS: dict[tuple[str, str], Codec] = {}
 
@@ -275,8 +317,20 @@ def encode_batches(batches, path: str, pattern: str) -> Iterator[pa.RecordBatch]
             )
 
 
-def decode_batches(batches, path: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    """Adds ``decoded`` to batches of (doc_id, ids)."""
+#: What ``decode_batches`` can return, and its types.
+OUTPUTS = {
+    "ids": ("array<int>", pa.list_(pa.int32())),
+    "decoded": ("binary", pa.binary()),
+    "n_tokens": ("bigint", pa.int64()),
+    "ids_sha256": ("string", pa.string()),
+    "decoded_sha256": ("string", pa.string()),
+}
+
+
+def decode_batches(
+    batches, path: str, pattern: str, outputs: tuple[str, ...] = ("ids", "decoded")
+) -> Iterator[pa.RecordBatch]:
+    """doc_id and the ``outputs`` for batches of (doc_id, ids)."""
     own = codec(path, pattern)
     for batch in batches:
         sizes = batch.column(1).value_lengths().fill_null(0).to_numpy()
@@ -285,13 +339,25 @@ def decode_batches(batches, path: str, pattern: str) -> Iterator[pa.RecordBatch]
             values = rows.column(1).flatten()
             if values.null_count:
                 raise ValueError("an id is null")
-            texts = own.decode(
-                values.to_numpy().astype(np.int32, copy=False), sizes[begin:end]
-            )
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(1), pa.array(texts, pa.binary())],
-                names=["doc_id", "ids", "decoded"],
-            )
+            values = values.to_numpy().astype(np.int32, copy=False)
+            size = sizes[begin:end].astype(np.int64)
+            texts = own.decode(values, size)
+            columns: list[pa.Array] = [rows.column(0)]
+            for name in outputs:
+                if name == "ids":
+                    columns.append(rows.column(1))
+                    continue
+                if name == "n_tokens":
+                    made = size
+                elif name == "ids_sha256":
+                    ends = np.cumsum(size)
+                    made = [own.digest(values[a:b]) for a, b in zip(ends - size, ends)]
+                elif name == "decoded":
+                    made = texts
+                else:
+                    made = [hashlib.sha256(t).hexdigest() for t in texts]
+                columns.append(pa.array(made, OUTPUTS[name][1]))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *outputs])
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -319,13 +385,15 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     )
 
 
-def encode_and_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, ids, decoded: the ids are decoded in the worker that made them."""
+def encode_and_decode(
+    docs: DataFrame, path: str, pattern: str, outputs: tuple[str, ...] = ("ids", "decoded")
+) -> DataFrame:
+    """doc_id and the ``outputs``: the ids are decoded in the worker that made them."""
     return _texts(docs).mapInArrow(
         lambda batches: closing(
-            decode_batches(encode_batches(batches, path, pattern), path, pattern),
+            decode_batches(encode_batches(batches, path, pattern), path, pattern, outputs),
             path,
             pattern,
         ),
-        "doc_id bigint, ids array<int>, decoded binary",
+        ", ".join(["doc_id bigint", *(f"{n} {OUTPUTS[n][0]}" for n in outputs)]),
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +38,29 @@ def ship(spark: SparkSession) -> None:
     context._roadledger_shipped = True
 
 
+def let_go() -> None:
+    """Give free memory of a Python worker back to the system, at the end of a task."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """A function for mapInArrow that lets go of its worker's memory at the end."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            let_go()
+
+    return tidied
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, whole."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -51,7 +51,7 @@ from roadledger.llm.bayes_join import (
     shingle_sets,
     whole_groups,
 )
-from roadledger.llm.common import discard, parted, ship, spread_join, stored, written
+from roadledger.llm.common import discard, parted, ship, spread_join, stored, tidy, written
 from roadledger.llm.components import components
 from roadledger.llm.shingles import (
     WIDTH,
@@ -114,7 +114,7 @@ def long_lines(texts: DataFrame, least_words: int) -> DataFrame:
 
     ship(texts.sparkSession)
     return texts.select("tid", "text").mapInArrow(
-        run, "tid bigint, first int, words int, pid binary, bands array<bigint>"
+        tidy(run), "tid bigint, first int, words int, pid binary, bands array<bigint>"
     )
 
 
@@ -217,7 +217,7 @@ def sketches(sets: DataFrame) -> DataFrame:
             )
 
     return sets.select("rid", "shingles").mapInArrow(
-        run, "rid binary, size bigint, bins binary"
+        tidy(run), "rid binary, size bigint, bins binary"
     )
 
 
@@ -244,7 +244,7 @@ def candidate_edges(buckets: DataFrame, sets: DataFrame, threshold: float) -> Da
 
     rows = buckets.join(sketches(sets), "rid")
     return in_blocks(rows, F.ceil(F.col("n") / BLOCK)).mapInArrow(
-        run, "a binary, b binary"
+        tidy(run), "a binary, b binary"
     )
 
 
@@ -280,7 +280,7 @@ def verified_edges(members: DataFrame, threshold: float) -> DataFrame:
     blocks = F.greatest(
         F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)
     )
-    return in_blocks(members, blocks).mapInArrow(run, "a binary, b binary")
+    return in_blocks(members, blocks).mapInArrow(tidy(run), "a binary, b binary")
 
 
 def line_texts(texts: DataFrame) -> DataFrame:
@@ -301,7 +301,7 @@ def line_texts(texts: DataFrame) -> DataFrame:
                 [pa.array(rid, pa.binary()), pa.array(words, pa.string())], names=["rid", "words"]
             )
 
-    return texts.select("text", "wanted").mapInArrow(run, "rid binary, words string")
+    return texts.select("text", "wanted").mapInArrow(tidy(run), "rid binary, words string")
 
 
 def alike_lines(texts: DataFrame, threshold: float, least_words: int) -> DataFrame:
@@ -381,7 +381,7 @@ def word_runs(texts: DataFrame, least_words: int) -> DataFrame:
 
     ship(texts.sparkSession)
     return texts.select("tid", "text").mapInArrow(
-        run, "value bigint, tid bigint, first int, size int"
+        tidy(run), "value bigint, tid bigint, first int, size int"
     )
 
 
@@ -416,7 +416,7 @@ def handed_words(wanted: DataFrame, least_words: int) -> DataFrame:
                     )
 
     return wanted.select("tid", "last", "doc_id", "h", "text", "runs").mapInArrow(
-        run,
+        tidy(run),
         "value bigint, tid bigint, last boolean, doc_id bigint, h bigint, first int,"
         " size int, words binary",
     )
@@ -472,7 +472,7 @@ def compared_windows(given: DataFrame, least_words: int) -> DataFrame:
     return (
         given.repartition("value")
         .sortWithinPartitions("value")
-        .mapInArrow(run, "tid bigint, begin bigint, end bigint")
+        .mapInArrow(tidy(run), "tid bigint, begin bigint, end bigint")
     )
 
 
@@ -497,7 +497,7 @@ def hashed_windows(given: DataFrame, least_words: int) -> DataFrame:
 
     rows = stored(
         given.mapInArrow(
-            run,
+            tidy(run),
             "f1 bigint, f2 bigint, tid bigint, last boolean, doc_id bigint, h bigint,"
             " begin bigint",
         ),
@@ -585,7 +585,7 @@ def without_words(rows: DataFrame, columns: list[str], least_words: int) -> Data
                 names=[*batch.schema.names[:-1], "removed"],
             )
 
-    return given.mapInArrow(run, schema)
+    return given.mapInArrow(tidy(run), schema)
 
 
 def cleaned(

@@ -93,14 +93,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_byte_bpe")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    out = bpe.encode_and_decode(docs, RANKS, PATTERN)
-    return out.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        sha256_hex(F.array_join(F.col("ids").cast("array<string>"), " ")).alias(
-            "ids_sha256"
-        ),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+    return bpe.encode_and_decode(
+        docs, RANKS, PATTERN, ("n_tokens", "ids_sha256", "decoded_sha256")
     )
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadledger.llm.bayes_join import whole_groups
-from roadledger.llm.common import discard, parted, ship, spread_join, stored, written
+from roadledger.llm.common import discard, parted, ship, spread_join, stored, tidy, written
 from roadledger.llm.windows import bounded_slabs, byte_grams, repeated_values, runs
 
 LEAST = 200
@@ -101,7 +101,7 @@ def all_runs(texts: DataFrame, least: int, gram: int) -> DataFrame:
 
     ship(texts.sparkSession)
     return texts.select("tid", "text").mapInArrow(
-        run, "value bigint, tid bigint, first int, size int, weight int"
+        tidy(run), "value bigint, tid bigint, first int, size int, weight int"
     )
 
 
@@ -135,7 +135,7 @@ def handed_out(wanted: DataFrame, least: int) -> DataFrame:
                 )
 
     return wanted.select("tid", "last", "doc_id", "h", "text", "runs").mapInArrow(
-        run,
+        tidy(run),
         "value bigint, tid bigint, last boolean, doc_id bigint, h bigint, first int,"
         " size int, bytes binary",
     )
@@ -240,7 +240,7 @@ def sorted_matches(given: DataFrame, least: int, both: bool) -> DataFrame:
     return (
         given.repartition("value")
         .sortWithinPartitions("value")
-        .mapInArrow(run, "tid bigint, begin bigint, end bigint")
+        .mapInArrow(tidy(run), "tid bigint, begin bigint, end bigint")
     )
 
 
@@ -268,7 +268,7 @@ def hashed_matches(given: DataFrame, least: int, both: bool) -> DataFrame:
 
     rows = stored(
         given.mapInArrow(
-            run,
+            tidy(run),
             "f1 bigint, f2 bigint, tid bigint, last boolean, doc_id bigint, h bigint,"
             " begin bigint",
         ),
@@ -367,7 +367,7 @@ def cut_out(rows: DataFrame, columns: list[str], ranges: str) -> DataFrame:
                 names=[*batch.schema.names[: batch.num_columns - 2], "removed", "kept"],
             )
 
-    return given.mapInArrow(run, schema)
+    return given.mapInArrow(tidy(run), schema)
 
 
 def joined_by_text(docs: DataFrame, decided: DataFrame) -> tuple[DataFrame, DataFrame]:

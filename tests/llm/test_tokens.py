@@ -140,3 +140,39 @@ def test_query_covers_every_document(spark, encoding):
         assert r.n == len(encoding.encode_ordinary(text))
         assert r.lines == len(text.removesuffix("\n").split("\n"))
     assert not texts
+
+
+LONG_TEXT = """
+import resource, sys
+import numpy as np
+import pyarrow as pa
+from roadledger.llm import bpe
+from roadledger.llm.queries import PATTERN, RANKS
+size = int(sys.argv[1])
+rng = np.random.default_rng(1)
+letters = np.array(list("etaoinshrdlu"))
+words = ["".join(rng.choice(letters, n)) for n in rng.integers(2, 9, 20_000)]
+words += ["ß" * 300, "日本", "\\n", "12"]
+text = " ".join(words[i] for i in rng.integers(0, len(words), size // 6))
+text += "x" * (size - len(text))
+codec = bpe.codec(RANKS, PATTERN)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([text, "short"])], ["doc_id", "text"])
+rows = list(bpe.decode_batches(bpe.encode_batches([batch], RANKS, PATTERN), RANKS, PATTERN))
+assert [bytes(x.as_py()) for r in rows for x in r.column(2)] == [text.encode(), b"short"]
+print(len(text), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
+"""
+
+
+@pytest.mark.parametrize("millions", [10, 50])
+def test_very_long_texts_come_back_in_bounded_memory(millions):
+    import subprocess
+    import sys
+
+    size = millions * 1_000_000
+    done = subprocess.run(
+        [sys.executable, "-c", LONG_TEXT, str(size)], capture_output=True, text=True, check=True
+    )
+    length, kilobytes = map(int, done.stdout.split())
+    # The batch, ids and bytes of the text itself, beside bounded tables.
+    assert length >= size and kilobytes * 1000 < 400e6 + 12 * size
