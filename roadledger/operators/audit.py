@@ -54,6 +54,32 @@ class RunAudit:
         partition_by: tuple[str, ...] = (),
     ) -> None:
         """Replace a table and note how many rows it accepted and refused."""
+
+        def replace(observed: DataFrame) -> None:
+            self.warehouse.write(observed, layer, table, partition_by)
+
+        self._noted(frame, layer, table, replace)
+
+    def refresh(
+        self, frame: DataFrame, layer: str, table: str, partition_by: tuple[str, ...]
+    ) -> None:
+        """As ``write``, but partitions that hold the same rows already are left alone.
+
+        The counts are those of the whole frame; the note says how much was rewritten.
+        """
+        if not self.warehouse.exists(layer, table):
+            return self.write(frame, layer, table, partition_by)
+
+        def replace(observed: DataFrame) -> str:
+            # The comparison reads every row once and so completes the observation.
+            changed, every = self.warehouse.replace_changed(
+                observed, layer, table, partition_by
+            )
+            return f"{changed} of {every} partitions rewritten"
+
+        self._noted(frame, layer, table, replace)
+
+    def _noted(self, frame: DataFrame, layer: str, table: str, replace) -> None:
         started = _now()
         seen = Observation(f"{layer}_{table}_{len(self.lines)}")
         if REJECT in frame.columns:
@@ -69,7 +95,7 @@ class RunAudit:
             F.sum(F.when(refused, number).otherwise(0)).alias("rejected"),
         )
         try:
-            self.warehouse.write(observed, layer, table, partition_by)
+            notes = replace(observed)
         except Exception as error:
             self.note(layer, table, 0, None, started, "FAILED", str(error))
             self.flush()
@@ -82,6 +108,7 @@ class RunAudit:
             int(counts["rejected"] or 0),
             started,
             "DONE",
+            notes,
         )
 
     def note(self, layer, table, loaded, rejected, started, status, notes=None) -> None:

@@ -23,7 +23,7 @@ NO_MATCH = "\u001fnone-"
 BUCKET_DIGITS = 3
 
 
-def _probe(key: str, spread_by: Sequence[str]) -> Column:
+def probe(key: str, spread_by: Sequence[str]) -> Column:
     """Join key of the fact side.
 
     A missing or Unknown key can match no parent, yet a shuffle join would send
@@ -58,7 +58,7 @@ def resolve_fk(
         .distinct()
     )
     joined = fact.withColumn(
-        "_probe", _probe(key, _row_identity(fact, spread_by))
+        "_probe", probe(key, _row_identity(fact, spread_by))
     ).join(members, F.col("_probe") == F.col("_parent_key"), "left")
     found = F.col("_parent_key").isNotNull()
     return joined.withColumn(
@@ -110,7 +110,7 @@ def apply_missing(
         )
         lost = F.col(key).isNull() | F.col("_member").isNotNull()
         fact = (
-            fact.withColumn("_probe", _probe(key, identity))
+            fact.withColumn("_probe", probe(key, identity))
             .join(listed, F.col("_probe") == F.col("_member"), "left")
             .withColumn(key, F.when(lost, F.lit(UNKNOWN_KEY)).otherwise(F.col(key)))
             .drop("_probe", "_member")
@@ -133,7 +133,7 @@ def resolve_sk(
         F.col(key).alias("_member_key"), F.col(sk).alias("_member_sk")
     )
     joined = fact.withColumn(
-        "_probe", _probe(key, _row_identity(fact, spread_by))
+        "_probe", probe(key, _row_identity(fact, spread_by))
     ).join(lookup, F.col("_probe") == F.col("_member_key"), "left")
     columns = [
         F.coalesce("_member_sk", F.lit(UNKNOWN_SK).cast("bigint")).alias(sk)

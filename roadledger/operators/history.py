@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from roadledger.model import UNKNOWN_SK
+from roadledger.operators.conform import probe
 from roadledger.operators.ranking import first_by
 from roadledger.operators.staging import COPIES, REJECT
 from roadledger.sources.tables import Warehouse, shared_folder
@@ -149,3 +151,52 @@ def as_of(
     return fact.join(monthly, valid, "left").drop(
         "_key", "_month", "valid_from", "valid_to"
     )
+
+
+def with_version(
+    fact: DataFrame,
+    history: DataFrame,
+    key: str,
+    day: str,
+    sk: str,
+    spread_by: Sequence[str],
+) -> DataFrame:
+    """The fact with ``sk``, the version of its member that was valid on its day.
+
+    A member's first version also covers the days before it was first seen. A missing,
+    Unknown or unheard-of member and a missing day give the Unknown surrogate; the row
+    stays. As in ``as_of``, a row meets the periods of its own key and month only; rows
+    without a usable key are spread by the columns ``spread_by``.
+    """
+    first = F.min("valid_from").over(Window.partitionBy(key))
+    periods = history.where(F.col(sk) != UNKNOWN_SK).select(
+        F.col(key).alias("_key"),
+        F.col(sk).alias("_version"),
+        F.when(F.col("valid_from") > first, F.col("valid_from")).alias("_from"),
+        F.col("valid_to").alias("_to"),
+    )
+    on = F.to_date(F.col(day))
+    month = F.trunc(on, "month")
+    months = (
+        fact.select(F.col(key).alias("_key"), month.alias("_month"))
+        .where("_key IS NOT NULL AND _month IS NOT NULL")
+        .distinct()
+    )
+    open_in = (F.col("_from").isNull() | (F.col("_from") <= F.last_day("_month"))) & (
+        F.col("_to").isNull() | (F.col("_to") >= F.col("_month"))
+    )
+    monthly = months.join(periods, "_key").where(open_in)
+    valid = (
+        (F.col("_probe") == F.col("_key"))
+        & (month == F.col("_month"))
+        & (F.col("_from").isNull() | (on >= F.col("_from")))
+        & (F.col("_to").isNull() | (on <= F.col("_to")))
+    )
+    return (
+        fact.withColumn("_probe", probe(key, spread_by))
+        .join(monthly, valid, "left")
+        .select(
+            *[F.col(c) for c in fact.columns],
+            F.coalesce("_version", F.lit(UNKNOWN_SK).cast("bigint")).alias(sk),
+        )
+    )

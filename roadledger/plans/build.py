@@ -15,12 +15,15 @@ from roadledger.model import (
     FACT_SOURCES,
     FACTS,
     SOURCES,
+    UNKNOWN_KEY,
+    UNKNOWN_SK,
     Source,
 )
 from roadledger.operators import quality
 from roadledger.operators.audit import RunAudit
 from roadledger.operators.conform import apply_missing, missing_keys
-from roadledger.operators.history import versions
+from roadledger.operators.history import versions, with_version
+from roadledger.operators.keymap import KeyMap
 from roadledger.operators.staging import (
     REJECT,
     duplicate_keys,
@@ -47,6 +50,11 @@ VERSIONED = {
 }
 
 
+def version_sk(dim: str) -> str:
+    """Surrogate of a dimension's versions, as facts carry it."""
+    return DIMENSIONS[dim].sk.replace("_sk", "_version_sk")
+
+
 class WarehouseBuild:
     """One run over one source folder.
 
@@ -115,19 +123,33 @@ class WarehouseBuild:
         return self.warehouse.read_all("audit", f"missing_{target}")
 
     def gold(self) -> None:
+        """Dimensions under lasting surrogates, facts by year, the monthly layer.
+
+        A year whose rows come out the same is not rewritten.
+        """
         w = self.warehouse
         self.audit.write(w.read("silver", "dim_date"), "gold", "dim_date")
-        for name in DIMENSIONS:
-            self.audit.write(build_dimension(w.read("silver", name), name), "gold", name)
+        for name, dim in DIMENSIONS.items():
+            members = w.read("silver", name)
+            keys = KeyMap(w, name, dim.key, dim.sk)
+            keys.extend(members)
+            self.audit.write(build_dimension(members, name, keys.read()), "gold", name)
         for name, fact in FACTS.items():
             dims = {d: w.read("gold", d) for d in fact.dims.values()}
             rows = single_copies(w.read("silver", name)).withColumn(
                 REJECT, F.lit(None).cast("string")
             )
             rows = refuse_outside(rows, fact.date, self.start, self.end)
+            identity = rows.columns[:2]
+            for key, dim in fact.dims.items():
+                if dim in VERSIONED:
+                    history = w.read_all("gold", f"{dim}_versions")
+                    rows = with_version(
+                        rows, history, key, fact.date, version_sk(dim), identity
+                    )
             # By year, so that a query over some years reads those alone.
             rows = build_fact(rows, name, dims).withColumn(YEAR, F.year("date_sk"))
-            self.audit.write(rows, "gold", name, [YEAR])
+            self.audit.refresh(rows, "gold", name, (YEAR,))
         self.warehouse.write(
             monthly_loads(w.read("gold", "fact_load")), "gold", "monthly_layer"
         )
@@ -135,19 +157,31 @@ class WarehouseBuild:
     def history(self, day: date | None = None) -> None:
         """Note today's members and store the versions of drivers and trucks (RM-4).
 
-        A day seen twice is replaced, so a repeated run changes nothing.
+        A day seen twice is replaced, so a repeated run changes nothing. A version keeps
+        its surrogate for good.
         """
         w, seen_on = self.warehouse, F.lit(day or date.today())
         for dim, attributes in VERSIONED.items():
-            key = DIMENSIONS[dim].key
+            key, sk = DIMENSIONS[dim].key, version_sk(dim)
             seen = w.read("silver", dim).select(key, *attributes)
             w.replace_partitions(
                 seen.withColumn("seen_on", seen_on), "silver", f"{dim}_seen", ["seen_on"]
             )
             order = F.struct(*[F.col(c) for c in attributes])
             known = w.read_all("silver", f"{dim}_seen")
+            found = versions(known, key, "seen_on", attributes, order).withColumn(
+                "version", F.concat_ws("@", key, F.col("valid_from").cast("string"))
+            )
+            keys = KeyMap(w, f"{dim}_versions", "version", sk)
+            keys.extend(found)
+            numbered = found.join(keys.read(), "version").drop("version")
+            unknown = self.spark.range(1).select(
+                F.lit(UNKNOWN_SK).cast("bigint").alias(sk), F.lit(UNKNOWN_KEY).alias(key)
+            )
             w.write(
-                versions(known, key, "seen_on", attributes, order), "gold", f"{dim}_versions"
+                numbered.unionByName(unknown, allowMissingColumns=True),
+                "gold",
+                f"{dim}_versions",
             )
 
     def tables(self) -> dict[str, DataFrame]:
@@ -180,6 +214,10 @@ class WarehouseBuild:
                 for d in fact.dims.values()
             }
             keys["date_sk"] = (tables["dim_date"], "date_id")
+            for dim in fact.dims.values():
+                if dim in VERSIONED:
+                    stored = self.warehouse.read_all("gold", f"{dim}_versions")
+                    keys[version_sk(dim)] = (stored, version_sk(dim))
             frames.append(quality.dangling_keys(tables[name], name, keys))
         return quality.union_all(frames)
 
@@ -229,12 +267,15 @@ class WarehouseBuild:
                 frame.withColumn("run_id", F.lit(self.audit.run_id)), "audit", name
             )
 
-    def run(self) -> str:
-        """All layers, their checks, the audit lines and the views; returns the run id."""
+    def run(self, day: date | None = None) -> str:
+        """All layers, their checks, the audit lines and the views; returns the run id.
+
+        ``day`` is the day on which the members are seen, by default today.
+        """
         self.bronze()
         self.silver()
+        self.history(day)
         self.gold()
-        self.history()
         self.checks()
         self.audit.flush()
         register_views(self.tables())

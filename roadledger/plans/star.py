@@ -12,11 +12,20 @@ from roadledger.model import DIMENSIONS, FACTS
 from roadledger.operators.conform import resolve_sk, surrogate_key, with_unknown
 
 
-def build_dimension(silver: DataFrame, name: str) -> DataFrame:
-    """Narrow a silver dimension, number its members, add the Unknown member."""
+def build_dimension(
+    silver: DataFrame, name: str, keys: DataFrame | None = None
+) -> DataFrame:
+    """Narrow a silver dimension, number its members, add the Unknown member.
+
+    ``keys`` has the lasting surrogates of all members; without it they are numbered anew.
+    """
     dim = DIMENSIONS[name]
     members = silver.select(dim.key, *dim.attributes)
-    return with_unknown(surrogate_key(members, dim.key, dim.sk), dim)
+    if keys is None:
+        numbered = surrogate_key(members, dim.key, dim.sk)
+    else:
+        numbered = members.join(keys, dim.key).select(dim.sk, *members.columns)
+    return with_unknown(numbered, dim)
 
 
 def build_fact(

@@ -595,6 +595,16 @@ add(
     "customer_sk:i customer_id:s customer_name:s",
     numbered("x_customers", "customer_id", "customer_sk"),
 )
+NUMBER = "row_number() OVER (ORDER BY substr(md5(customer_id), 1, 3), customer_id)"
+add(
+    "sk_lasting_customer",
+    "customer_sk:i customer_id:s added:i",
+    f"WITH early AS (SELECT customer_id, {NUMBER} AS customer_sk FROM x_customers"
+    f" WHERE CAST(customer_id AS BIGINT) % 3 <> 0)"
+    " SELECT *, 0 AS added FROM early UNION ALL BY NAME"
+    f" SELECT customer_id, {NUMBER} + (SELECT COUNT(*) FROM early) AS customer_sk, 1 AS added"
+    " FROM x_customers WHERE CAST(customer_id AS BIGINT) % 3 = 0",
+)
 add(
     "dim_with_unknown",
     "driver_sk:i driver_id:s full_name:s home_terminal:s employment_status:s cdl_class:s"
@@ -1874,3 +1884,14 @@ add(
     " LEFT JOIN x_versions v ON v.driver_id = m.driver_id AND m.month >= v.valid_from"
     " AND (v.valid_to IS NULL OR m.month <= v.valid_to)",
 )
+add(
+    "scd2_star_trips",
+    "driver_id:s trips:i miles:d status:s valid_from:s",
+    "SELECT t.driver_id, COUNT(*) AS trips, SUM(t.actual_distance_miles) AS miles, v.status,"
+    " v.valid_from FROM s_trips t LEFT JOIN"
+    " (SELECT *, min(valid_from) OVER (PARTITION BY driver_id) AS earliest FROM x_versions) v"
+    " ON v.driver_id = t.driver_id"
+    " AND (t.dispatch_date >= v.valid_from OR v.valid_from = v.earliest)"
+    " AND (v.valid_to IS NULL OR t.dispatch_date <= v.valid_to)"
+    " GROUP BY t.driver_id, v.status, v.valid_from",
+)

@@ -16,6 +16,7 @@ from roadledger import functions as R
 from roadledger.model import DIMENSIONS, FACTS, SOURCES
 from roadledger.operators import history, quality, statistics
 from roadledger.operators.conform import apply_missing, missing_keys, surrogate_key
+from roadledger.operators.keymap import new_numbers
 from roadledger.operators.ranking import distinct_values, top_k
 from roadledger.operators.staging import (
     MALFORMED,
@@ -342,6 +343,17 @@ def _(w):
     )
 
 
+@query("sk_lasting_customer")
+def _(w):
+    """Members of a first build keep their numbers when the others come."""
+    members = w.rows("customers").select("customer_id")
+    early = F.col("customer_id").cast("bigint") % 3 != 0
+    known = surrogate_key(members.where(early), "customer_id", "customer_sk")
+    last = known.agg(F.coalesce(F.max("customer_sk"), F.lit(0))).first()[0]
+    added = new_numbers(members, known, "customer_id", "customer_sk", last)
+    return known.withColumn("added", F.lit(0)).unionByName(added.withColumn("added", F.lit(1)))
+
+
 @query("dim_with_unknown")
 def _(w):
     return w.dimension("dim_driver")
@@ -1171,3 +1183,25 @@ def _(w):
         "driver_id", "month", "trips_completed"
     )
     return history.as_of(months, _driver_versions(w), "driver_id", "month", ["status"])
+
+
+@query("scd2_star_trips")
+def _(w):
+    """Trips and miles per version of their driver, whichever was valid on the day."""
+    versions = _driver_versions(w).withColumn(
+        "driver_version_sk", F.xxhash64("driver_id", "valid_from")
+    )
+    trips = history.with_version(
+        w.silver("fact_trip", ["driver_id"]),
+        versions,
+        "driver_id",
+        "dispatch_date",
+        "driver_version_sk",
+        ["trip_id"],
+    )
+    per_version = trips.groupBy("driver_id", "driver_version_sk").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("actual_distance_miles").alias("miles")
+    )
+    return per_version.join(
+        versions.select("driver_version_sk", "status", "valid_from"), "driver_version_sk", "left"
+    ).drop("driver_version_sk")

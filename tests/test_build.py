@@ -118,7 +118,7 @@ def test_orphans_and_integrity(built, source_rows):
     # A load without a usable date is refused, so its trip has no load.
     assert missing == {("trailer_id", "TRL99999"), ("load_id", "LOAD00050")}
     dangling = built.integrity().collect()
-    assert len(dangling) == 21 and {r["dangling"] for r in dangling} == {0}
+    assert len(dangling) == 30 and {r["dangling"] for r in dangling} == {0}
     keys = quality.duplicate_summary(
         built.warehouse.read("silver", "fact_driver_monthly"),
         "fact_driver_monthly",
