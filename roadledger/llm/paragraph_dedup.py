@@ -48,7 +48,6 @@ from roadledger.llm.bayes_join import (
     group_numbers,
     in_blocks,
     shared_shingles,
-    shingle_sets,
     whole_groups,
 )
 from roadledger.llm.common import discard, parted, ship, spread_join, stored, tidy, written
@@ -283,25 +282,36 @@ def verified_edges(members: DataFrame, threshold: float) -> DataFrame:
     return in_blocks(members, blocks).mapInArrow(tidy(run), "a binary, b binary")
 
 
-def line_texts(texts: DataFrame) -> DataFrame:
-    """rid, words: the lines that each text is asked for in ``wanted`` (first, words, rid)."""
+def line_sets(texts: DataFrame) -> DataFrame:
+    """rid, shingles: sets of the lines asked for in ``wanted`` (first, words, rid).
+
+    Lines are cut out and shingled in one worker, which is one worker less per task than
+    two functions one behind the other.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rid, words = [], []
             for text, wanted in zip(batch.column(0), batch.column(1).to_pylist()):
                 data = np.frombuffer(text.as_buffer(), np.uint8)
                 begin, end = word_edges(data, np.array([0, len(data)]))
-                for line in wanted:
-                    first = line["first"]
-                    own = data[begin[first] : end[first + line["words"] - 1]]
-                    rid.append(line["rid"])
-                    words.append(own.tobytes().decode())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rid, pa.binary()), pa.array(words, pa.string())], names=["rid", "words"]
-            )
+                own = [
+                    data[begin[w["first"]] : end[w["first"] + w["words"] - 1]] for w in wanted
+                ]
+                bounds = np.cumsum([0, *(len(x) for x in own)])
+                found = Segments(np.concatenate(own), bounds)
+                sets = [found.set_of(i) for i in range(len(own))]
+                offsets = np.cumsum([0, *(len(x) for x in sets)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([w["rid"] for w in wanted], pa.binary()),
+                        pa.ListArray.from_arrays(offsets, np.concatenate(sets)),
+                    ],
+                    names=["rid", "shingles"],
+                )
 
-    return texts.select("text", "wanted").mapInArrow(tidy(run), "rid binary, words string")
+    return texts.select("text", "wanted").mapInArrow(
+        tidy(run), "rid binary, shingles array<bigint>"
+    )
 
 
 def alike_lines(texts: DataFrame, threshold: float, least_words: int) -> DataFrame:
@@ -331,7 +341,7 @@ def alike_lines(texts: DataFrame, threshold: float, least_words: int) -> DataFra
     some, _ = parted(
         texts.select("tid", "text"), F.xxhash64("tid"), where, F.xxhash64("tid")
     )
-    sets = stored(shingle_sets(line_texts(some.join(where, "tid"))), "sets")
+    sets = stored(line_sets(some.join(where, "tid")), "sets")
     possible = components(candidate_edges(buckets, sets, threshold))
     members = stored(
         sets.join(possible.withColumnRenamed("node", "rid"), "rid").select(
