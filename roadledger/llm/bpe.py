@@ -38,8 +38,8 @@ from roadledger.llm.common import let_go, ship
 LONG = 128
 #: Characters of text, pieces of one text and tokens handled at once, and pieces remembered
 #: by a worker.
-SLAB_CHARS = 600_000
-SLAB_PIECES = 150_000
+SLAB_CHARS = 400_000
+SLAB_PIECES = 100_000
 SLAB_TOKENS = 100_000
 REMEMBERED = 200_000
 MEMORY = "150MB"
