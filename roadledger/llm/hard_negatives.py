@@ -175,7 +175,8 @@ def tile_negatives(rows: pa.Table, anchors: pa.Table, k: int, lowest: Callable):
 def tiles(rows: DataFrame, anchors: DataFrame, blocks: int, shards: int, run, schema: str):
     """``run`` over every pair of a shard of rows and a block of anchors."""
     left = rows.select(
-        F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"),
+        # Both sides must hash their keys alike, so they have one type.
+        F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
         F.size("vec").alias("dims"),
         "id",
@@ -185,7 +186,7 @@ def tiles(rows: DataFrame, anchors: DataFrame, blocks: int, shards: int, run, sc
     right = anchors.withColumns(
         {
             "shard": F.explode(F.sequence(F.lit(0), F.lit(shards - 1))),
-            "block": F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)),
+            "block": F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int"),
             "dims": F.size("vec"),
         }
     )

@@ -76,6 +76,23 @@ def test_many_ties_over_tiles(spark):
     assert want and mined(spark, rows, shard_rows=100, block_rows=2) == want
 
 
+@pytest.fixture
+def apart(spark):
+    """Shuffle partitions stay apart, as they do where data are large."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)
+
+
+def test_tiles_meet_in_separate_partitions(spark, apart):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).tolist(), i % 3) for i in range(2500)]
+    want = brute(rows)
+    assert want and mined(spark, rows, shard_rows=400, block_rows=5) == want
+    assert mined(spark, rows) == want
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
