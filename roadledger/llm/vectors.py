@@ -67,14 +67,15 @@ def sharded_search(
     rows, queries = vectors.agg(F.count("*"), F.count_if(is_query)).first()
     shards, blocks = ceil(rows / shard_rows) or 1, ceil(queries / block_rows) or 1
     left = vectors.select(
-        F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"),
+        # Both sides must hash their keys alike, so they have one type.
+        F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
         "id",
         "vec",
     )
     right = vectors.where(is_query).select(
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).alias("block"),
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"),
         "id",
         "vec",
     )

@@ -95,6 +95,23 @@ def test_both_are_exact_with_ties_and_copies(spark, dims):
     assert answers(got) == brute(usable)
 
 
+def test_shards_meet_in_separate_partitions(spark):
+    rng = np.random.default_rng(9)
+    vectors = {i: rng.normal(size=6).tolist() for i in range(900)}
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        rows = frame(spark, vectors.items())
+        got = columnar_topk.top_k(rows, asked(), shard_rows=100, block_rows=9).collect()
+        assert answers(got) == brute(vectors, 64)
+        got = vp_search.nearest(
+            rows, asked(), factor=1.0, shard_rows=100, block_rows=9
+        ).collect()
+        assert answers(got) == brute(vectors)
+    finally:
+        spark.conf.unset(name)
+
+
 def test_unusable_rows_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
