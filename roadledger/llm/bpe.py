@@ -36,12 +36,13 @@ from pyspark.sql import functions as F
 from roadledger.llm.common import let_go, ship
 
 LONG = 128
-#: Characters of text, pieces of one text and tokens handled at once, and pieces remembered
-#: by a worker.
-SLAB_CHARS = 400_000
-SLAB_PIECES = 100_000
+#: Characters of text, pieces of one text and tokens handled at once, pieces that one
+#: recursive query contracts, and pieces remembered by a worker.
+SLAB_CHARS = 2_000_000
+SLAB_PIECES = 300_000
 SLAB_TOKENS = 100_000
-REMEMBERED = 200_000
+LEARNT = 20_000
+REMEMBERED = 150_000
 MEMORY = "150MB"
 
 CONTRACT = """
@@ -72,6 +73,14 @@ FROM tokens JOIN vocabulary USING (id) GROUP BY doc
 """
 
 
+class Numbers(dict):
+    """Piece -> its number; a piece asked for the first time gets the next one."""
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        return number
+
+
 class Codec:
     """Vocabulary, merge table and database of one worker.
 
@@ -110,7 +119,7 @@ class Codec:
 
         if self.db is not None:
             return
-        self.known: dict[str, bytes] = {}
+        self.forget()
         self.db = duckdb.connect(
             config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""}
         )
@@ -125,32 +134,45 @@ class Codec:
     def close(self) -> None:
         if self.db is not None:
             self.db.close()
-        self.db, self.known, self.pairs = None, {}, {}
+        self.db, self.pairs = None, {}
+        self.forget()
         let_go()
 
+    def forget(self) -> None:
+        """Start again without remembered pieces."""
+        self.number = Numbers()
+        #: Ids of the piece with that number, as bytes of 32-bit integers.
+        self.known: list[bytes] = []
+
     def table(self, name: str, **columns) -> None:
         given = pa.table(columns)
         self.db.register("given", given)
         self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def learn(self, pieces: set[str]) -> None:
-        """Ids of the pieces that are not remembered yet, as bytes of 32-bit integers."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        open_pieces, raw = [], []
-        for piece in pieces.difference(self.known):
-            data = piece.encode()
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """The pieces as numbers, which take little room until they are learnt."""
+        return np.fromiter(map(self.number.__getitem__, pieces), np.int32, len(pieces))
+
+    def learn(self) -> None:
+        """Find the ids of the pieces that were numbered since the last call."""
+        fresh = islice(self.number, len(self.known), None)
+        while pieces := list(islice(fresh, LEARNT)):
+            self.known += self.contracted([piece.encode() for piece in pieces])
+
+    def contracted(self, pieces: list[bytes]) -> list[bytes]:
+        out, places, raw = [b""] * len(pieces), [], []
+        for i, data in enumerate(pieces):
             rank = self.ranks.get(data)
             if rank is not None:
-                self.known[piece] = np.int32(rank).tobytes()
+                out[i] = rank.to_bytes(4, "little")
             elif len(data) > LONG:
-                self.known[piece] = self.by_heap(data).tobytes()
+                out[i] = self.by_heap(data).tobytes()
             else:
-                open_pieces.append(piece)
+                places.append(i)
                 raw.append(data)
         if not raw:
-            return
+            return out
         offsets = np.zeros(len(raw) + 1, dtype=np.int32)
         np.cumsum([len(r) for r in raw], out=offsets[1:])
         tokens = self.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
@@ -167,12 +189,13 @@ class Codec:
         if isinstance(done, pa.ChunkedArray):
             done = done.chunk(0)
         self.db.unregister("pieces")
-        ids = done.flatten().to_numpy().astype(np.int32, copy=False).tobytes()
+        ids = done.flatten().to_numpy().astype("<i4", copy=False).tobytes()
         ends = np.cumsum(done.value_lengths().to_numpy()) * 4
         begin = 0
-        for piece, end in zip(open_pieces, ends.tolist()):
-            self.known[piece] = ids[begin:end]
+        for i, end in zip(places, ends.tolist()):
+            out[i] = ids[begin:end]
             begin = end
+        return out
 
     def by_heap(self, data: bytes) -> np.ndarray:
         if not self.pairs:
@@ -208,17 +231,24 @@ class Codec:
         """Ids of every text as bytes of 32-bit integers."""
         if len(texts) == 1 and len(texts[0]) > SLAB_CHARS:
             return [b"".join(self.encode_runs(texts[0]))]
-        pieces = [self.find(text) for text in texts]
-        self.learn(set().union(*pieces))
-        known = self.known.__getitem__
-        return [b"".join(map(known, own)) for own in pieces]
+        if len(self.number) > REMEMBERED:
+            self.forget()
+        numbers = [self.numbers(self.find(text)) for text in texts]
+        self.learn()
+        return [self.joined(own) for own in numbers]
 
     def encode_runs(self, text: str) -> Iterator[bytes]:
         """The ids of a long text, a bounded run of pieces at a time."""
         found = (m.group() for m in self.each(text))
         while run := list(islice(found, SLAB_PIECES)):
-            self.learn(set(run))
-            yield b"".join(map(self.known.__getitem__, run))
+            if len(self.number) > REMEMBERED:
+                self.forget()
+            numbers = self.numbers(run)
+            self.learn()
+            yield self.joined(numbers)
+
+    def joined(self, numbers: np.ndarray) -> bytes:
+        return b"".join(map(self.known.__getitem__, numbers.tolist()))
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.ranks)):
