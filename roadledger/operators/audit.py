@@ -7,10 +7,11 @@ before the sink, so auditing scans nothing again.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,19 +62,28 @@ class RunAudit:
         self._noted(frame, layer, table, replace)
 
     def refresh(
-        self, frame: DataFrame, layer: str, table: str, partition_by: tuple[str, ...]
+        self,
+        frame: DataFrame,
+        layer: str,
+        table: str,
+        partition_by: tuple[str, ...],
+        detail: Mapping[str, Column] | None = None,
+        note: Callable[[list[tuple] | None], None] | None = None,
     ) -> None:
         """As ``write``, but partitions that hold the same rows already are left alone.
 
         The counts are those of the whole frame; the note says how much was rewritten.
+        ``detail`` and ``note`` as in ``Warehouse.replace_changed``.
         """
         if not self.warehouse.exists(layer, table):
+            if note:
+                note(None)
             return self.write(frame, layer, table, partition_by)
 
         def replace(observed: DataFrame) -> str:
             # The comparison reads every row once and so completes the observation.
             changed, every = self.warehouse.replace_changed(
-                observed, layer, table, partition_by
+                observed, layer, table, partition_by, detail, note
             )
             return f"{changed} of {every} partitions rewritten"
 

@@ -31,7 +31,7 @@ from roadledger.operators.staging import (
     refuse_outside,
     single_copies,
 )
-from roadledger.plans.monthly import monthly_loads
+from roadledger.plans.monthly import YEAR, monthly_layers
 from roadledger.plans.rollups import ROLLUPS
 from roadledger.plans.silver import silver_rows
 from roadledger.plans.star import build_dimension, build_fact
@@ -42,7 +42,6 @@ from roadledger.sources.export import write_columnar
 from roadledger.sources.tables import Warehouse
 
 
-YEAR = "date_year"
 # Dimensions whose changes are kept, with the attributes that make a version.
 VERSIONED = {
     "dim_driver": ["employment_status", "home_terminal"],
@@ -123,10 +122,12 @@ class WarehouseBuild:
         return self.warehouse.read_all("audit", f"missing_{target}")
 
     def gold(self) -> None:
-        """Dimensions under lasting surrogates, facts by year, the monthly layer.
+        """Dimensions under lasting surrogates, facts by year, the monthly layers.
 
-        A year whose rows come out the same is not rewritten.
+        A year whose rows come out the same is not rewritten, and of the monthly layers
+        only months whose facts differ are.
         """
+        layers = monthly_layers(self.warehouse)
         w = self.warehouse
         self.audit.write(w.read("silver", "dim_date"), "gold", "dim_date")
         for name, dim in DIMENSIONS.items():
@@ -149,10 +150,16 @@ class WarehouseBuild:
                     )
             # By year, so that a query over some years reads those alone.
             rows = build_fact(rows, name, dims).withColumn(YEAR, F.year("date_sk"))
-            self.audit.refresh(rows, "gold", name, (YEAR,))
-        self.warehouse.write(
-            monthly_loads(w.read("gold", "fact_load")), "gold", "monthly_layer"
-        )
+            above = [layer for layer in layers if layer.fact == name]
+            month = {"month": F.trunc("date_sk", "month")} if above else {}
+
+            def note(months, above=above):
+                for layer in above:
+                    layer.note(months)
+
+            self.audit.refresh(rows, "gold", name, (YEAR,), month, note)
+        for layer in layers:
+            layer.refresh()
 
     def history(self, day: date | None = None) -> None:
         """Note today's members and store the versions of drivers and trucks (RM-4).

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import tempfile
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadledger.operators.staging import COPIES, REJECT, accepted_only
@@ -49,40 +51,58 @@ class Warehouse:
         return files.exists(folder)
 
     def replace_changed(
-        self, frame: DataFrame, layer: str, table: str, partition_by: Sequence[str]
+        self,
+        frame: DataFrame,
+        layer: str,
+        table: str,
+        partition_by: Sequence[str],
+        detail: Mapping[str, Column] | None = None,
+        note: Callable[[list[tuple] | None], None] | None = None,
     ) -> tuple[int, int]:
         """Make the table equal ``frame``, rewriting only partitions that differ.
 
         Partitions are compared by row number and an order-free sum of row hashes. What
-        meets on the driver is a line per partition that differs. A partition that
-        ``frame`` no longer has, or other columns, cause a full replacement. Returns
-        (partitions rewritten, partitions).
+        meets on the driver is a line per partition, or per part of one if ``detail``
+        divides them. A partition that ``frame`` no longer has, or other columns, cause a
+        full replacement. Before anything is written, ``note`` gets the values of
+        ``detail`` that differ, or None for all of them. Returns (partitions rewritten,
+        partitions).
         """
-        parts = list(partition_by)
-        new = _digests(frame, parts)
+        parts, detail = list(partition_by), dict(detail or {})
+        groups = [*parts, *detail]
+        new = _digests(frame, parts, detail)
         held = self.read_all(layer, table) if self.exists(layer, table) else None
         if held is None or sorted(held.dtypes) != sorted(frame.dtypes):
+            if note:
+                note(None)
             self.write(frame, layer, table, parts)
-            count = new.count()
+            count = new.select(*parts).distinct().count()
             return count, count
-        old = _digests(held.select(*frame.columns), parts).withColumnsRenamed(
-            {"_rows": "_old_rows", "_sum": "_old_sum", **{p: f"_old_{p}" for p in parts}}
+        old = _digests(held.select(*frame.columns), parts, detail).withColumnsRenamed(
+            {"_rows": "_old_rows", "_sum": "_old_sum", **{g: f"_old_{g}" for g in groups}}
         )
         same = F.lit(True)
-        for p in parts:
-            same = same & F.col(p).eqNullSafe(F.col(f"_old_{p}"))
-        compared = new.join(old, same, "full").select(
-            *parts,
-            F.col("_rows").isNull().alias("gone"),
-            F.col("_rows").eqNullSafe(F.col("_old_rows"))
-            & F.col("_sum").eqNullSafe(F.col("_old_sum")),
+        for g in groups:
+            same = same & F.col(g).eqNullSafe(F.col(f"_old_{g}"))
+        gone = F.col("_rows").isNull()
+        lines = (
+            new.join(old, same, "full")
+            .select(
+                *[F.when(gone, F.col(f"_old_{g}")).otherwise(F.col(g)).alias(g) for g in groups],
+                gone.alias("_gone"),
+                F.col("_rows").eqNullSafe(F.col("_old_rows"))
+                & F.col("_sum").eqNullSafe(F.col("_old_sum")),
+            )
+            .collect()
         )
-        lines = compared.collect()
-        changed = [tuple(r[: len(parts)]) for r in lines if not r[-1]]
-        if any(r["gone"] for r in lines):
+        differing = [tuple(r[: len(groups)]) for r in lines if not r[-1]]
+        if note and differing:
+            note([d[len(parts) :] for d in differing])
+        kept = {tuple(r[: len(parts)]) for r in lines if not r["_gone"]}
+        if any(tuple(r[: len(parts)]) not in kept for r in lines):
             self.write(frame, layer, table, parts)
-            count = sum(not r["gone"] for r in lines)
-            return count, count
+            return len(kept), len(kept)
+        changed = {d[: len(parts)] for d in differing}
         if changed:
             wanted = F.lit(False)
             for values in changed:
@@ -91,7 +111,7 @@ class Warehouse:
                     own = own & F.col(p).eqNullSafe(F.lit(v))
                 wanted = wanted | own
             self.replace_partitions(frame.where(wanted), layer, table, parts)
-        return len(changed), len(lines)
+        return len(changed), len(kept)
 
     def append(self, frame: DataFrame, layer: str, table: str) -> None:
         frame.write.mode("append").parquet(self.path(layer, table))
@@ -149,10 +169,12 @@ class Warehouse:
         writer.saveAsTable(f"{layer}.{table}")
 
 
-def _digests(frame: DataFrame, parts: Sequence[str]) -> DataFrame:
+def _digests(
+    frame: DataFrame, parts: Sequence[str], detail: Mapping[str, Column]
+) -> DataFrame:
     """Rows and sum of row hashes per partition; a null differs from any value."""
     cells = [x for c in frame.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
-    return frame.groupBy(*parts).agg(
+    return frame.groupBy(*parts, *[c.alias(n) for n, c in detail.items()]).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.sum(F.xxhash64(*cells).cast("decimal(38,0)")).alias("_sum"),
     )
@@ -167,3 +189,10 @@ def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a shared folder")
     return folder.rstrip("/")
+
+
+def scratch_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder for intermediate tables, machine-local only if Spark is."""
+    local = spark.sparkContext.master.startswith("local")
+    top = shared_folder(spark, tempfile.mkdtemp(prefix="roadledger-") if local else None)
+    return f"{top}/{purpose}/{uuid.uuid4().hex}"
