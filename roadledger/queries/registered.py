@@ -29,6 +29,7 @@ from roadledger.plans import findings, kpis, monthly, rollups, views
 from roadledger.plans.silver import check_references, silver_rows
 from roadledger.plans.star import build_dimension
 from roadledger.queries.dirty import LOAD_LINE, TEXTS
+from roadledger.sources.calendar import facts_on
 from roadledger.sources.delimited import split_line, stage_lines
 from roadledger.sources.export import json_rows, rounded
 from roadledger.sources.sample import (
@@ -36,6 +37,7 @@ from roadledger.sources.sample import (
     SAMPLE_YEARS,
     SampleWarehouse,
 )
+from roadledger.sources.tables import Warehouse, scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -275,6 +277,26 @@ def _(w):
     )
 
 
+def _by_year(w: SampleWarehouse, fact: DataFrame, name: str) -> Warehouse:
+    """A warehouse of its own that holds a star fact by year, as the build stores it."""
+    stored = Warehouse(w.spark, scratch_folder(w.spark, "queries"))
+    stored.write(fact.withColumn(monthly.YEAR, F.year("date_sk")), "gold", name, [monthly.YEAR])
+    return stored
+
+
+@query("flt_calendar_pruning")
+def _(w):
+    """Trips on summer weekends of leap years: only those years' files are opened."""
+    stored = _by_year(w, w.star("fact_trip"), "fact_trip")
+    days = w.calendar().where(
+        (F.col("season") == "Summer") & F.col("is_weekend") & (F.col("year_nbr") % 4 == 0)
+    )
+    trips = facts_on(stored.read("gold", "fact_trip"), days.select("date_id", "year_nbr", "month_nbr"))
+    return trips.groupBy("year_nbr", "month_nbr").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("actual_distance_miles").alias("miles")
+    )
+
+
 # --- Reference checks -----------------------------------------------------
 
 
@@ -577,6 +599,53 @@ def _(w):
     )
 
 
+@query("monthly_layer_renewed")
+def _(w):
+    """The stored layer after a third of one year's loads has come late.
+
+    ``renewed`` marks the months that were computed again.
+    """
+    loads = w.star("fact_load", ["dim_customer", "dim_route"]).withColumn(
+        monthly.YEAR, F.year("date_sk")
+    )
+    late = (F.col(monthly.YEAR) == 1997) & (F.col("load_id").cast("bigint") % 3 == 0)
+    stored = _by_year(w, loads.where(~late), "fact_load")
+    layer = monthly.monthly_layers(stored)[0]
+    layer.refresh()
+    stored.replace_changed(
+        loads,
+        "gold",
+        "fact_load",
+        [monthly.YEAR],
+        {"month": F.trunc("date_sk", "month")},
+        layer.note,
+    )
+    renewed = layer.refresh() or []
+    customers = w.dimension("dim_customer").select("customer_sk", "customer_id")
+    routes = w.dimension("dim_route").select("route_sk", "route_id")
+    return (
+        stored.read_all("gold", layer.name)
+        .join(customers, "customer_sk")
+        .join(routes, "route_sk")
+        .drop("customer_sk", "route_sk")
+        .withColumn("renewed", F.col("month").isin(renewed).cast("int"))
+    )
+
+
+@query("agg_distinct_rolled_up")
+def _(w):
+    """Drivers, trucks and trailers per month, year and in all, from the monthly maps."""
+    stored = _by_year(
+        w, w.star("fact_trip", ["dim_driver", "dim_truck", "dim_trailer"]), "fact_trip"
+    )
+    layer = monthly.monthly_layers(stored)[1]
+    layer.refresh()
+    maps = stored.read_all("gold", layer.name)
+    return quality.union_all(
+        [monthly.members_per_period(maps, period) for period in ("month", "year", "all")]
+    )
+
+
 @query("sorted_distinct")
 def _(w):
     return distinct_values(w.rows("loads"), "load_type")

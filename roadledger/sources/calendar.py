@@ -53,6 +53,17 @@ def calendar(
     return F.broadcast(frame) if length <= BROADCAST_DAYS else frame
 
 
+def facts_on(fact: DataFrame, days: DataFrame, year: str = "date_year") -> DataFrame:
+    """Fact rows of the calendar days in ``days``, with their calendar columns.
+
+    The year by which stored facts lie takes part in the join. From a filter on any
+    calendar column Spark then learns at run time which years are wanted and opens the
+    files of those alone.
+    """
+    on_day = (F.col("date_sk") == F.col("date_id")) & (F.col(year) == F.col("year_nbr"))
+    return fact.join(days, on_day).drop("date_id")
+
+
 def fiscal_columns(frame: DataFrame, first_month: int = 10) -> DataFrame:
     """Add fiscal year and quarter for a fiscal year that opens in ``first_month``
     and is named after the calendar year it ends in."""

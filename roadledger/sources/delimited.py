@@ -15,8 +15,8 @@ from roadledger.operators.staging import MALFORMED, RAW_LINE
 WHOLE_LINE = "\u0001\u0002\u0003"
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of all files under ``path`` without each file's first line.
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines of all files under ``path`` (one or several) without each file's first line.
 
     The first line goes by position, whatever it says. Files are split among
     tasks; carriage returns before the line feed and empty lines are dropped.

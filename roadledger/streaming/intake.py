@@ -58,7 +58,7 @@ def _keep_refused(
     warehouse.replace_partitions(refused, "audit", table, ["batch_id"])
 
 
-def _merge(
+def merge_newest(
     accepted: DataFrame,
     warehouse: Warehouse,
     source_name: str,
@@ -104,7 +104,7 @@ def merge_batches(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         _keep_refused(batch, warehouse, source_name, batch_id)
-        _merge(
+        merge_newest(
             check(batch.where(F.col(REJECT).isNull()).drop(REJECT)),
             warehouse,
             source_name,
@@ -169,7 +169,7 @@ def merge_within_watermark(
         held = warehouse.spark.read.schema(batch.schema).parquet(path)
         every, fresh = held.where(~F.col("_fresh")), held.where("_fresh")
         _keep_refused(every.drop("_fresh", EVENT_TIME), warehouse, source_name, batch_id)
-        _merge(
+        merge_newest(
             check(fresh.drop(REJECT, EVENT_TIME, "_fresh")),
             warehouse,
             source_name,
