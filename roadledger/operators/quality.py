@@ -145,6 +145,60 @@ def overlong(staged: DataFrame, source: Source) -> DataFrame:
     return _per_column(staged, source, "overlong", broken)
 
 
+def source_profile(staged: DataFrame, source: Source) -> DataFrame:
+    """DQ-10, DQ-16 per column of one source, from one scan of its staged text.
+
+    Rows, missing texts (those of short lines), blank ones, texts that do not fit the
+    declared kind, and texts over the declared width.
+    """
+    counts, cells = [F.count(F.lit(1)).alias("rows")], []
+    for i, (name, kind, width) in enumerate(source.columns):
+        text, present = F.col(name), clean(F.col(name)).isNotNull()
+        fits = typed(F.col(name), kind).isNotNull() if kind not in ("key", "text") else F.lit(True)
+        counts += [
+            F.count_if(text.isNull()).alias(f"_null_{i}"),
+            F.count_if(text.isNotNull() & ~present).alias(f"_blank_{i}"),
+            F.count_if(present & ~fits).alias(f"_unfit_{i}"),
+            F.count_if(F.length(text) > width).alias(f"_long_{i}"),
+        ]
+        cells.append(f"'{name}', _null_{i}, _blank_{i}, _unfit_{i}, _long_{i}")
+    stack = (
+        f"stack({len(cells)}, {', '.join(cells)})"
+        " AS (column_name, nulls, blanks, uncastable, overlong)"
+    )
+    return (
+        staged.agg(*counts)
+        .select(F.lit(source.name).alias("object_name"), "rows", F.expr(stack))
+        .select("object_name", "column_name", "rows", "nulls", "blanks", "uncastable", "overlong")
+    )
+
+
+def trip_event_violations(events: DataFrame, trips: DataFrame, finished: str) -> DataFrame:
+    """DQ-11 across tables: on-time flags of events against the status of their trip.
+
+    An event of a trip that is not ``finished`` must not have a flag, one of a finished
+    trip must. Events without a known trip or trips without a status break no rule. Events
+    are counted per trip before they meet the trips, so a trip is one row of the join.
+    """
+    per_trip = (
+        events.where(F.col("trip_id").isNotNull())
+        .groupBy("trip_id")
+        .agg(
+            F.count("on_time_flag").alias("_flagged"),
+            F.count_if(F.col("on_time_flag").isNull()).alias("_open"),
+        )
+    )
+    done = F.col("trip_status") == finished
+    found = per_trip.join(trips.select("trip_id", "trip_status"), "trip_id").agg(
+        F.coalesce(F.sum(F.when(~done, F.col("_flagged"))), F.lit(0)).alias("flag_of_open_trip"),
+        F.coalesce(F.sum(F.when(done, F.col("_open"))), F.lit(0)).alias("finished_without_flag"),
+    )
+    rules = [(r, r) for r in ("flag_of_open_trip", "finished_without_flag")]
+    return found.select(
+        F.lit("fact_delivery").alias("object_name"), _stack(rules, "rule", "violations")
+    )
+
+
 def rule_violations(frame: DataFrame, name: str, rules: Mapping[str, Column]) -> DataFrame:
     """DQ-11: rows per rule for which the rule is false (unknown is not false)."""
     counts = frame.agg(*[F.count_if(~ok).alias(rule) for rule, ok in rules.items()])

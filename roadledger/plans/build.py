@@ -262,13 +262,30 @@ class WarehouseBuild:
             .withColumn("same", F.col("source_rows") == F.col("bronze_rows"))
         )
 
+    def column_profile(self) -> DataFrame:
+        """DQ-10, DQ-16 over the staged text of every source."""
+        return quality.union_all(
+            [
+                quality.source_profile(self.warehouse.read_all("bronze", name), source)
+                for name, source in SOURCES.items()
+            ]
+        )
+
+    def trip_events(self) -> DataFrame:
+        """DQ-11 between delivery events and their trips."""
+        events, trips = (self.warehouse.read("silver", t) for t in ("fact_delivery", "fact_trip"))
+        return quality.trip_event_violations(events, trips, "Completed")
+
     def checks(self) -> None:
-        """Orphans, integrity, conservation and source counts, kept in the audit layer."""
+        """Orphans, integrity, conservation, source counts, column profiles and rules
+        across tables, kept in the audit layer."""
         for name, frame in (
             ("check_orphans", self.orphans()),
             ("check_integrity", self.integrity()),
             ("check_conservation", self.conservation()),
             ("check_source_rows", self.source_rows()),
+            ("check_columns", self.column_profile()),
+            ("check_trip_events", self.trip_events()),
         ):
             self.warehouse.write(
                 frame.withColumn("run_id", F.lit(self.audit.run_id)), "audit", name

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from roadledger.model import SOURCES
+
 ORACLE: dict[str, str] = {}
 
 DIRTY_SQL = {
@@ -1773,6 +1775,79 @@ add(
         for c, w in LOAD_WIDTHS.items()
     ),
 )
+
+# Columns the subqueries above leave out: never a value in the sample, or always one.
+NO_VALUES = (
+    "hire_date termination_date date_of_birth acquisition_date contract_start_date"
+    " latitude longitude"
+).split()
+ALL_VALUES = (
+    "license_number license_state vin acquisition_mileage tank_capacity_gallons model_year"
+    " load_status location_city location_state fuel_card_number service_description"
+    " description"
+).split()
+
+
+def _profile(target: str, cte: str) -> str:
+    """Counts per column of one source, its faults going by the last digit of the key."""
+    source = next(x for x in SOURCES.values() if x.target == target)
+    digit = f"right(COALESCE({OBJECT_KEYS[target]}, ''), 1)"
+    cells = []
+    for column, kind, _ in source.columns:
+        free, text = column not in source.key, kind in ("key", "text")
+        spoilt = "9" if text else "5"
+        kept = f"{digit} NOT IN ('3', '7', '{spoilt}')" if free else f"{digit} <> '7'"
+        value = f"CAST({column} AS VARCHAR)"
+        if column in NO_VALUES:
+            value = "''"
+        elif column in ALL_VALUES:
+            value = "'x'"
+        blank = f"COUNT(*) FILTER ({kept} AND COALESCE({value}, '') = '')"
+        if free:
+            blank += f" + COUNT(*) FILTER ({digit} = '3')"
+        spoilt_rows = f"COUNT(*) FILTER ({digit} = '{spoilt}')" if free else "0"
+        if kind.startswith("decimal") and column not in (*NO_VALUES, *ALL_VALUES):
+            digits, scale = map(int, re.findall(r"\d+", kind))
+            spoilt_rows += f" + COUNT(*) FILTER ({kept} AND abs({column}) >= 1e{digits - scale})"
+        cells.append(
+            f"{{'column_name': '{column}', 'nulls': COUNT(*) FILTER ({digit} = '7'),"
+            f" 'blanks': {blank}, 'uncastable': {'0' if text else spoilt_rows},"
+            f" 'overlong': {spoilt_rows if text else '0'}}}"
+        )
+    return (
+        f"SELECT object_name, rows, UNNEST(cells, recursive := true) FROM (SELECT"
+        f" '{source.name}' AS object_name, COUNT(*) AS rows, [{', '.join(cells)}] AS cells"
+        f" FROM {cte})"
+    )
+
+
+add(
+    "dq_source_profile",
+    "object_name:s column_name:s rows:i nulls:i blanks:i uncastable:i overlong:i",
+    " UNION ALL ".join(_profile(n, c) for n, c in {**DIM_CTES, **FACT_CTES}.items()),
+)
+add(
+    "join_colocated",
+    "booking_type:s loads:i trips:i miles:d events:i on_time:i detention_minutes:i",
+    "SELECT booking_type, COUNT(*) AS loads, COALESCE(SUM(t.n), 0) AS trips,"
+    " COALESCE(SUM(t.miles), 0) AS miles, COALESCE(SUM(e.n), 0) AS events,"
+    " COALESCE(SUM(e.good), 0) AS on_time, COALESCE(SUM(e.det), 0) AS detention_minutes"
+    " FROM x_loads l LEFT JOIN (SELECT load_id, COUNT(*) AS n,"
+    " SUM(actual_distance_miles) AS miles FROM x_trips GROUP BY 1) t USING (load_id)"
+    " LEFT JOIN (SELECT load_id, COUNT(*) AS n, COUNT(*) FILTER (on_time_flag) AS good,"
+    " SUM(detention_minutes) AS det FROM x_events GROUP BY 1) e USING (load_id) GROUP BY 1",
+)
+add(
+    "dq_trip_events",
+    "object_name:s rule:s violations:i",
+    "SELECT 'fact_delivery' AS object_name, rule, COALESCE(SUM(bad), 0) AS violations FROM"
+    " (SELECT UNNEST(['flag_of_open_trip', 'finished_without_flag']) AS rule,"
+    " UNNEST([CASE WHEN o % 11 = 0 OR o % 13 = 0 THEN 1 ELSE 0 END * CASE WHEN on_time_flag"
+    " IS NULL THEN 0 ELSE 1 END, CASE WHEN o % 11 = 0 OR o % 13 = 0 THEN 0 ELSE 1 END *"
+    " CASE WHEN on_time_flag IS NULL THEN 1 ELSE 0 END]) AS bad FROM (SELECT on_time_flag,"
+    " CAST(substr(t.trip_id, 2) AS BIGINT) AS o FROM x_events e JOIN x_trips t"
+    " ON e.trip_id = t.trip_id)) GROUP BY 2",
+)
 add(
     "dq_cross_field",
     "object_name:s rule:s violations:i",

@@ -25,7 +25,7 @@ from roadledger.operators.staging import (
     silver_reasons,
     type_source,
 )
-from roadledger.plans import findings, kpis, monthly, rollups, views
+from roadledger.plans import colocated, findings, kpis, monthly, rollups, views
 from roadledger.plans.silver import check_references, silver_rows
 from roadledger.plans.star import build_dimension
 from roadledger.queries.dirty import LOAD_LINE, TEXTS
@@ -474,6 +474,26 @@ def _(w):
     )
 
 
+@query("join_colocated")
+def _(w):
+    """Loads with their trips and events per kind of booking, from co-located copies."""
+    tables = {}
+    for name in colocated.COPIES:
+        path = scratch_folder(w.spark, "queries")
+        tables[name] = f"{name}_{path.rsplit('/', 1)[-1]}"
+        fact = w.star(name, [], [k for k in FACTS[name].degenerate if k == "load_id"])
+        colocated.store_colocated(fact, name, tables[name], path, 8)
+    stories = colocated.load_stories(w.spark, *tables.values())
+    return stories.groupBy("booking_type").agg(
+        F.count(F.lit(1)).alias("loads"),
+        F.sum("trips").alias("trips"),
+        F.sum("miles").alias("miles"),
+        F.sum("events").alias("events"),
+        F.sum("on_time").alias("on_time"),
+        F.sum("detention_minutes").alias("detention_minutes"),
+    )
+
+
 @query("join_year_pair")
 def _(w):
     # Both sides have a year: the event's and the load's.
@@ -1033,6 +1053,49 @@ def _(w):
     return quality.overlong(_staged_loads(w), SOURCES["loads"])
 
 
+def _soiled(w: SampleWarehouse, name: str) -> DataFrame:
+    """Staged text of a source with faults that follow from the last digit of its key.
+
+    7: the line is cut short; 3: other columns are blank; 5: their numbers, dates and
+    flags are 'n/a'; 9: their texts are one character too long.
+    """
+    source = SOURCES[name]
+    key = F.coalesce(F.col(source.key[0]), F.lit(""))
+    cells = []
+    for column, kind, width in source.columns:
+        cell = F.coalesce(F.col(column).cast("string"), F.lit(""))
+        if column not in source.key:
+            if kind in ("key", "text"):
+                cell = F.when(key.endswith("9"), F.lit("x" * (width + 1))).otherwise(cell)
+            else:
+                cell = F.when(key.endswith("5"), F.lit("n/a")).otherwise(cell)
+            cell = F.when(key.endswith("3"), F.lit("  ")).otherwise(cell)
+        cells.append(cell)
+    line = F.when(key.endswith("7"), F.col(source.column_names[0])).otherwise(
+        F.concat_ws(",", *cells)
+    )
+    return stage_lines(w.rows(name).select(line.alias("value")), source)
+
+
+@query("dq_source_profile")
+def _(w):
+    """All columns of all 14 sources, one scan a source."""
+    return quality.union_all(
+        [quality.source_profile(_soiled(w, n), s) for n, s in SOURCES.items()]
+    )
+
+
+@query("dq_trip_events")
+def _(w):
+    """On-time flags against trips, of which every eleventh and thirteenth is not finished."""
+    order = F.col("trip_id").substr(2, 20).cast("bigint")
+    status = (
+        F.when(order % 11 == 0, "Cancelled").when(order % 13 == 0, "In Transit").otherwise("Completed")
+    )
+    trips = w.rows("trips").withColumn("trip_status", status)
+    return quality.trip_event_violations(w.rows("delivery_events"), trips, "Completed")
+
+
 @query("dq_cross_field")
 def _(w):
     return quality.union_all(

@@ -39,12 +39,19 @@ def test_no_row_is_lost(built, source_rows):
 def test_checks_are_stored_by_the_run(built):
     stored = {
         name: built.warehouse.read_all("audit", f"check_{name}").collect()
-        for name in ("orphans", "integrity", "conservation", "source_rows")
+        for name in (
+            "orphans", "integrity", "conservation", "source_rows", "columns", "trip_events"
+        )
     }
     assert all({r["run_id"] for r in rows} == {built.audit.run_id} for rows in stored.values())
     assert all(r["conserved"] for r in stored["conservation"]) and len(stored["conservation"]) == 14
     assert sum(r["orphans"] for r in stored["orphans"]) > 0
     assert sum(r["dangling"] for r in stored["integrity"]) == 0
+    columns = {(r["object_name"], r["column_name"]): r for r in stored["columns"]}
+    assert len({t for t, _ in columns}) == 14 and columns["drivers", "home_terminal"]["blanks"] > 0
+    assert columns["drivers", "date_of_birth"]["uncastable"] == 1
+    assert columns["loads", "load_id"]["nulls"] == 1
+    assert {r["rule"] for r in stored["trip_events"]} == {"flag_of_open_trip", "finished_without_flag"}
     assert len(stored["source_rows"]) == 14 and all(r["same"] for r in stored["source_rows"])
 
 
