@@ -12,8 +12,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from roadledger.model import UNKNOWN_KEY, UNKNOWN_SK, Dimension
+from roadledger.model import DIMENSIONS, UNKNOWN_KEY, UNKNOWN_SK, Dimension
 
 # Rows without a usable key get values that match no parent and follow from the row,
 # so they do not meet in one shuffle partition.
@@ -144,6 +145,72 @@ def resolve_sk(
     return joined.select(*columns)
 
 
+def is_known(frame: DataFrame, sk: str) -> Column:
+    """Whether a key may stand for a real member.
+
+    A surrogate does if it is positive. A natural key under the surrogate's name does
+    unless it is missing or Unknown; whether it has a member shows at the lookup.
+    """
+    if isinstance(frame.schema[sk].dataType, T.StringType):
+        return F.col(sk).isNotNull() & (F.col(sk) != UNKNOWN_KEY)
+    return F.col(sk) > 0
+
+
+def at_members(sums: DataFrame, dim: DataFrame, sk: str) -> DataFrame:
+    """Sums per key value with the attributes of the member.
+
+    Surrogates all have a member, Unknown included. Natural keys under the surrogate's name
+    are looked up here, one row per key value, and what has no member is added up under
+    Unknown; all other columns of ``sums`` must be ones that can be added.
+    """
+    if not isinstance(sums.schema[sk].dataType, T.StringType):
+        return sums.join(dim, sk)
+    spec = next(d for d in DIMENSIONS.values() if d.sk == sk)
+    fixed = {sk: UNKNOWN_KEY, spec.key: UNKNOWN_KEY, **spec.unknown}
+    added = [c for c in sums.columns if c != sk]
+    found = F.col("_member").isNotNull()
+    members = dim.withColumnRenamed(sk, "_member")
+    columns = [sk, *[c for c in dim.columns if c != sk]]
+    # The one row of missing keys matches nothing, wherever it goes.
+    looked_up = sums.withColumnRenamed(sk, "_probe").join(
+        members, F.col("_probe") == F.col("_member"), "left"
+    )
+    folded = looked_up.select(
+        *[
+            F.when(found, F.col("_member" if c == sk else c)).otherwise(F.lit(fixed.get(c))).alias(c)
+            for c in columns
+        ],
+        *added,
+    )
+    return folded.groupBy(*columns).agg(*[F.sum(c).alias(c) for c in added])
+
+
+def with_attributes(
+    fact: DataFrame, dim: DataFrame, sk: str, columns: Sequence[str], spread_by: Sequence[str]
+) -> DataFrame:
+    """Every fact row with attributes of its member, from one join.
+
+    A natural key without a member gets the Unknown member's attributes, which are
+    constants; rows without a usable key are spread by the columns ``spread_by``.
+    """
+    if not isinstance(fact.schema[sk].dataType, T.StringType):
+        return fact.join(dim.select(sk, *columns), sk)
+    spec = next(d for d in DIMENSIONS.values() if d.sk == sk)
+    members = dim.select(F.col(sk).alias("_member"), *[F.col(c).alias(f"_m_{c}") for c in columns])
+    found = F.col("_member").isNotNull()
+    return (
+        fact.withColumn("_probe", probe(sk, spread_by))
+        .join(members, F.col("_probe") == F.col("_member"), "left")
+        .select(
+            *fact.columns,
+            *[
+                F.when(found, F.col(f"_m_{c}")).otherwise(F.lit(spec.unknown.get(c))).alias(c)
+                for c in columns
+            ],
+        )
+    )
+
+
 def surrogate_key(members: DataFrame, key: str, sk: str) -> DataFrame:
     """Number the members 1..n, densely and repeatably, without a global sort.
 

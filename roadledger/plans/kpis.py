@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from roadledger.functions import exact_mean, format_n0, pct, safe_ratio
 from roadledger.model import UNKNOWN_KEY
+from roadledger.operators.conform import at_members, is_known
 from roadledger.operators.ranking import top_k
 from roadledger.plans.views import DELIVERY, one_row
 
@@ -91,7 +92,7 @@ def top_corridors(fact_load: DataFrame, dim_route: DataFrame) -> DataFrame:
     """KPI-4: five corridors with the largest revenue."""
     miles = F.col("typical_distance_miles")
     best = _best_by_revenue(
-        _per_member(fact_load, "route_sk").join(dim_route, "route_sk"),
+        at_members(_per_member(fact_load, "route_sk"), dim_route, "route_sk"),
         ["corridor", "typical_distance_miles"],
     )
     return best.select(
@@ -106,7 +107,7 @@ def top_customer_names(fact_load: DataFrame, dim_customer: DataFrame) -> DataFra
     """KPI-5: five customer names with the largest revenue (accounts that share
     a name and type count as one)."""
     best = _best_by_revenue(
-        _per_member(fact_load, "customer_sk").join(dim_customer, "customer_sk"),
+        at_members(_per_member(fact_load, "customer_sk"), dim_customer, "customer_sk"),
         ["customer_name", "customer_type"],
     )
     return best.select(
@@ -120,7 +121,7 @@ def top_customer_names(fact_load: DataFrame, dim_customer: DataFrame) -> DataFra
 def top_customer_accounts(fact_load: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """KPI-5 per account instead of per name."""
     best = _best_by_revenue(
-        _per_member(fact_load, "customer_sk").join(dim_customer, "customer_sk"),
+        at_members(_per_member(fact_load, "customer_sk"), dim_customer, "customer_sk"),
         ["customer_id", "customer_name", "customer_type"],
     )
     return best.select(
@@ -135,7 +136,7 @@ def top_customer_accounts(fact_load: DataFrame, dim_customer: DataFrame) -> Data
 def top_trucks(fact_truck_monthly: DataFrame, dim_truck: DataFrame) -> DataFrame:
     """KPI-6: five known trucks with the highest mean utilization."""
     per_truck = (
-        fact_truck_monthly.where("truck_sk > 0")
+        fact_truck_monthly.where(is_known(fact_truck_monthly, "truck_sk"))
         .groupBy("truck_sk")
         .agg(
             pct(F.sum("utilization_rate"), F.count("utilization_rate"), 8).alias(
@@ -189,7 +190,7 @@ def detention_hotspots(fact_delivery: DataFrame, dim_facility: DataFrame) -> Dat
     )
     minutes, timed = F.sum("_minutes"), F.sum("_timed")
     per_name = (
-        per_facility.join(dim_facility, "facility_sk")
+        at_members(per_facility, dim_facility, "facility_sk")
         .groupBy("facility_name", "city")
         .agg(
             F.sum("_events").alias("events"),
@@ -227,7 +228,7 @@ def on_time_by_corridor(
     )
     events, on_time = F.sum("_events"), F.sum("_on_time")
     return (
-        per_route.join(dim_route, "route_sk")
+        at_members(per_route, dim_route, "route_sk")
         .groupBy("corridor")
         .agg(
             events.alias("events"),
@@ -291,7 +292,7 @@ def underused_trucks(
 ) -> DataFrame:
     """KPI-11: known trucks whose mean utilization is under the floor."""
     per_truck = (
-        fact_truck_monthly.where("truck_sk > 0")
+        fact_truck_monthly.where(is_known(fact_truck_monthly, "truck_sk"))
         .groupBy("truck_sk")
         .agg(
             pct(F.sum("utilization_rate"), F.count("utilization_rate"), 4).alias(
@@ -320,7 +321,7 @@ def low_mpg_truck_months(fact_truck_monthly: DataFrame, dim_truck: DataFrame) ->
     ranking; only the trucks of the one value that crosses it are ranked, by id.
     """
     known = fact_truck_monthly.where(
-        (F.col("truck_sk") > 0) & F.col("average_mpg").isNotNull()
+        is_known(fact_truck_monthly, "truck_sk") & F.col("average_mpg").isNotNull()
     ).join(dim_truck.select("truck_sk", "truck_id"), "truck_sk")
     value = ["date_sk", "average_mpg"]
     month = Window.partitionBy("date_sk")

@@ -59,19 +59,25 @@ def loads_by_month(fact_load: DataFrame) -> DataFrame:
     )
 
 
+def _events_by(events: DataFrame, *keys: str) -> DataFrame:
+    """Events counted per load or trip before they meet it."""
+    return events.groupBy(*keys).agg(
+        F.count("event_id").alias("events"),
+        _on_time().alias("on_time"),
+        sum0(F.col("detention_minutes")).alias("det"),
+    )
+
+
+def _added(counted: DataFrame, *keys: str) -> DataFrame:
+    return counted.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("events", "on_time", "det")])
+
+
 def deliveries_by_month(fact_delivery: DataFrame, fact_load: DataFrame) -> DataFrame:
     """RU-2: event month x load type x booking type x event type."""
     keys = ["month", *TYPES, "event_type"]
     events = fact_delivery.withColumn("month", month_key(F.col("scheduled_datetime")))
-    return (
-        _with_load_types(_typed_only(events, "month", "event_type"), fact_load)
-        .groupBy(*keys)
-        .agg(
-            F.count("event_id").alias("events"),
-            _on_time().alias("on_time"),
-            sum0(F.col("detention_minutes")).alias("det"),
-        )
-    )
+    per_load = _events_by(_typed_only(events, "month", "event_type"), "load_id", "month", "event_type")
+    return _added(_with_load_types(per_load, fact_load), *keys)
 
 
 def _service_per_load(fact_delivery: DataFrame) -> DataFrame:
@@ -122,15 +128,8 @@ def facilities_by_year(fact_delivery: DataFrame, fact_load: DataFrame) -> DataFr
     """RU-5: event year x facility x types, deliveries only."""
     keys = ["year", "facility_id", *TYPES]
     events = _deliveries(fact_delivery).withColumn("year", F.year("scheduled_datetime"))
-    return (
-        _with_load_types(_typed_only(events, "year", "facility_id"), fact_load)
-        .groupBy(*keys)
-        .agg(
-            F.count("event_id").alias("events"),
-            _on_time().alias("on_time"),
-            sum0(F.col("detention_minutes")).alias("det"),
-        )
-    )
+    per_load = _events_by(_typed_only(events, "year", "facility_id"), "load_id", "year", "facility_id")
+    return _added(_with_load_types(per_load, fact_load), *keys)
 
 
 def _trips_with_types(fact_trip: DataFrame, fact_load: DataFrame, *extra: str) -> DataFrame:
@@ -184,10 +183,12 @@ def drivers_by_year(
     )
     trips = assigned.select("trip_id", "driver_id", "year")
     events = _deliveries(fact_delivery).where(F.col("trip_id") != UNKNOWN_KEY)
+    per_trip = _events_by(events, "trip_id", "load_id").join(trips, "trip_id")
+    per_load = _added(per_trip, "load_id", "driver_id", "year")
     served = (
-        _with_load_types(events.join(trips, "trip_id"), fact_load)
-        .groupBy(*keys)
-        .agg(F.count("event_id").alias("deliveries"), _on_time().alias("on_time"))
+        _added(_with_load_types(per_load, fact_load), *keys)
+        .drop("det")
+        .withColumnRenamed("events", "deliveries")
     )
     return driven.join(served, keys, "left").fillna(0, ["deliveries", "on_time"])
 

@@ -8,7 +8,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadledger.model import DIMENSIONS, FACTS
+from roadledger.model import DIMENSIONS, FACTS, Fact
 from roadledger.operators.conform import resolve_sk, surrogate_key, with_unknown
 
 
@@ -47,6 +47,26 @@ def build_fact(
             rows = resolve_sk(rows, dims[dim_name], key, DIMENSIONS[dim_name].sk)
         else:
             rows = rows.drop(key)
+    return _narrowed(rows, fact)
+
+
+def keyed_fact(silver: DataFrame, name: str) -> DataFrame:
+    """A star fact before its lookups: natural keys stand under the surrogates' names.
+
+    For a report that shrinks the fact to one row per key and looks up that.
+    """
+    fact = FACTS[name]
+    names = {key: DIMENSIONS[dim].sk for key, dim in fact.dims.items()}
+    return _narrowed(silver.drop(*fact.drops).withColumnsRenamed(names), fact)
+
+
+def keyed_dimension(silver: DataFrame, name: str) -> DataFrame:
+    """The known members with their natural key under the surrogate's name too."""
+    dim = DIMENSIONS[name]
+    return silver.select(F.col(dim.key).alias(dim.sk), dim.key, *dim.attributes)
+
+
+def _narrowed(rows: DataFrame, fact: Fact) -> DataFrame:
     day = F.to_date(F.col(fact.date)).alias("date_sk")
     columns = []
     for c in rows.columns:

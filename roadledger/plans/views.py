@@ -11,13 +11,15 @@ Surrogate -1 is the Unknown member: ``sk > 0`` keeps known members only.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadledger.functions import exact_mean, pct, safe_ratio
+from roadledger.functions import pct, safe_ratio
 from roadledger.model import UNKNOWN_KEY
+from roadledger.operators.conform import at_members, is_known, with_attributes
 
 DELIVERY = "Delivery"
 PICKUP = "Pickup"
@@ -31,9 +33,15 @@ def _is_delivery() -> Column:
     return F.col("event_type") == DELIVERY
 
 
-def _events_per(fact_delivery: DataFrame, *keys: str) -> DataFrame:
-    """Event counts at the grain of ``keys``, reduced before any join."""
+def _events_per(fact_delivery: DataFrame, *keys: str, detention: bool = False) -> DataFrame:
+    """Event counts at the grain of ``keys``, reduced before any join; on demand with the
+    sum and number of waiting times."""
+    waiting = [
+        F.sum("detention_minutes").alias("_minutes"),
+        F.count("detention_minutes").alias("_timed"),
+    ]
     return fact_delivery.groupBy(*keys).agg(
+        *(waiting if detention else []),
         F.count("event_id").alias("_events"),
         F.count_if(F.col("on_time_flag")).alias("_on_time"),
         F.count_if(_is_delivery()).alias("_deliveries"),
@@ -70,31 +78,38 @@ def kpi_overview(
     fact_maintenance: DataFrame,
     fact_incident: DataFrame,
     fact_truck_monthly: DataFrame,
+    members: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """VW-1: twelve headline numbers (and all events) in one row."""
+    """VW-1: twelve headline numbers (and all events) in one row.
+
+    ``members`` has the dimensions by surrogate name if the trips carry natural keys.
+    """
+
+    def known(per_key: DataFrame, sk: str) -> DataFrame:
+        if members is None:
+            return per_key.withColumn("_known", is_known(per_key, sk))
+        own = members[sk].select(F.col(sk), F.lit(True).alias("_known"))
+        return per_key.join(own, sk, "left")
+
     # Distinct drivers fall out of the totals when those are summed per driver
     # first; two distinct counts in one aggregate would expand every row.
+    per_driver = fact_trip.groupBy("driver_sk").agg(
+        _rows().alias("_trips"),
+        F.sum("actual_distance_miles").alias("_miles"),
+        F.sum("average_mpg").alias("_mpg"),
+        F.count("average_mpg").alias("_measured"),
+    )
     trips = (
-        fact_trip.groupBy("driver_sk")
-        .agg(
-            _rows().alias("_trips"),
-            F.sum("actual_distance_miles").alias("_miles"),
-            F.sum("average_mpg").alias("_mpg"),
-            F.count("average_mpg").alias("_measured"),
-        )
+        known(per_driver, "driver_sk")
         .agg(
             F.coalesce(F.sum("_trips"), F.lit(0)).alias("total_trips"),
             F.sum("_miles").alias("total_miles"),
             safe_ratio(F.sum("_mpg"), F.sum("_measured")).alias("avg_mpg"),
-            F.count_if(F.col("driver_sk") > 0).alias("active_drivers"),
+            F.count_if("_known").alias("active_drivers"),
         )
     )
-    trucks = (
-        fact_trip.where("truck_sk > 0")
-        .groupBy("truck_sk")
-        .agg(_rows().alias("_trips"))
-        .agg(_rows().alias("active_trucks"))
-    )
+    per_truck = fact_trip.groupBy("truck_sk").agg(_rows().alias("_trips"))
+    trucks = known(per_truck, "truck_sk").agg(F.count_if("_known").alias("active_trucks"))
     events = fact_delivery.agg(
         F.count_if(_is_delivery()).alias("delivery_events"),
         _rows().alias("all_events"),
@@ -138,11 +153,11 @@ def load_profitability(
     calendar: DataFrame,
 ) -> DataFrame:
     """VW-2: one row per load with its money and revenue per 1,000 lbs."""
+    named = with_attributes(
+        fact_load, dim_customer, "customer_sk", ["customer_name"], ["load_id"]
+    )
     return (
-        fact_load.join(
-            dim_customer.select("customer_sk", "customer_name"), "customer_sk"
-        )
-        .join(dim_route.select("route_sk", "corridor"), "route_sk")
+        with_attributes(named, dim_route, "route_sk", ["corridor"], ["load_id"])
         .join(
             calendar.select(F.col("date_id").alias("date_sk"), "year_nbr"), "date_sk"
         )
@@ -177,7 +192,7 @@ def route_performance(fact_load: DataFrame, dim_route: DataFrame) -> DataFrame:
         F.sum("gross_revenue").alias("gross_revenue"),
     )
     miles = F.col("typical_distance_miles")
-    return per_route.join(dim_route, "route_sk").select(
+    return at_members(per_route, dim_route, "route_sk").select(
         "route_id",
         "corridor",
         "typical_distance_miles",
@@ -269,7 +284,7 @@ def customer_service_as_written(
 def _trips_with_events(fact_trip: DataFrame, fact_delivery: DataFrame, how: str) -> DataFrame:
     known = fact_delivery.where(F.col("trip_sk") != UNKNOWN_KEY)
     per_trip = _events_per(known, "trip_sk")
-    return fact_trip.where("driver_sk > 0").join(
+    return fact_trip.where(is_known(fact_trip, "driver_sk")).join(
         per_trip, fact_trip["trip_id"] == per_trip["trip_sk"], how
     )
 
@@ -316,7 +331,9 @@ def driver_performance(
 ) -> DataFrame:
     """VW-5: trips, miles, mpg, idle time, speed and on-time share per driver."""
     driving = (
-        fact_trip.where("driver_sk > 0").groupBy("driver_sk").agg(*_driving(F.lit(1)))
+        fact_trip.where(is_known(fact_trip, "driver_sk"))
+        .groupBy("driver_sk")
+        .agg(*_driving(F.lit(1)))
     )
     service = (
         _trips_with_events(fact_trip, fact_delivery, "inner")
@@ -342,7 +359,7 @@ def _fleet(
     fact_truck_monthly: DataFrame, fact_trip: DataFrame, dim_truck: DataFrame
 ) -> DataFrame:
     months = (
-        fact_truck_monthly.where("truck_sk > 0")
+        fact_truck_monthly.where(is_known(fact_truck_monthly, "truck_sk"))
         .groupBy("truck_sk")
         .agg(
             _rows().alias("_months"),
@@ -354,7 +371,7 @@ def _fleet(
         )
     )
     trips = (
-        fact_trip.where("truck_sk > 0")
+        fact_trip.where(is_known(fact_trip, "truck_sk"))
         .groupBy("truck_sk")
         .agg(
             F.count("trip_id").alias("_trips"),
@@ -422,7 +439,7 @@ def _maintenance(
     fact_maintenance: DataFrame, fact_trip: DataFrame, dim_truck: DataFrame
 ) -> DataFrame:
     events = (
-        fact_maintenance.where("truck_sk > 0")
+        fact_maintenance.where(is_known(fact_maintenance, "truck_sk"))
         .groupBy("truck_sk")
         .agg(
             F.count("maintenance_id").alias("maintenance_events"),
@@ -431,7 +448,7 @@ def _maintenance(
         )
     )
     miles = (
-        fact_trip.where("truck_sk > 0")
+        fact_trip.where(is_known(fact_trip, "truck_sk"))
         .groupBy("truck_sk")
         .agg(F.sum("actual_distance_miles").alias("_miles"))
     )
@@ -502,37 +519,33 @@ def monthly_trend(fact_load: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def _detention(
-    fact_delivery: DataFrame, dim_facility: DataFrame, mean: Column
+    fact_delivery: DataFrame,
+    dim_facility: DataFrame,
+    mean: Callable[[Column, Column], Column],
 ) -> DataFrame:
-    per_facility = fact_delivery.groupBy("facility_sk").agg(
-        F.count("event_id").alias("events"),
-        F.sum("detention_minutes").alias("detention_minutes"),
-        mean.alias("avg_detention_min"),
-        pct(F.count_if(F.col("on_time_flag")), F.count("event_id")).alias(
-            "on_time_pct"
-        ),
-        pct(
-            F.count_if(_is_delivery() & F.col("on_time_flag")),
-            F.count_if(_is_delivery()),
-        ).alias("delivery_on_time_pct"),
-    )
-    return per_facility.join(dim_facility, "facility_sk").select(
+    """``mean`` makes the shown mean from a sum and a number of values."""
+    per_facility = _events_per(fact_delivery, "facility_sk", detention=True)
+    return at_members(per_facility, dim_facility, "facility_sk").select(
         "facility_id",
         "facility_name",
         "city",
         "state",
-        "events",
-        "detention_minutes",
-        "avg_detention_min",
-        "on_time_pct",
-        "delivery_on_time_pct",
+        F.col("_events").alias("events"),
+        F.col("_minutes").alias("detention_minutes"),
+        mean(F.col("_minutes"), F.col("_timed")).alias("avg_detention_min"),
+        pct(F.col("_on_time"), F.col("_events")).alias("on_time_pct"),
+        pct(F.col("_on_time_deliveries"), F.col("_deliveries")).alias("delivery_on_time_pct"),
     )
 
 
 def truncated_mean(c: Column) -> Column:
     """Integer mean, fraction cut off; NULL for no values."""
-    total, n = F.sum(c).cast("decimal(20,0)"), F.count(c).cast("decimal(20,0)")
-    quotient = F.try_divide(total, n)
+    return truncated_ratio(F.sum(c), F.count(c))
+
+
+def truncated_ratio(total: Column, n: Column) -> Column:
+    """Integer part of total / n; NULL for n = 0."""
+    quotient = F.try_divide(total.cast("decimal(20,0)"), n.cast("decimal(20,0)"))
     return F.when(quotient < 0, F.ceil(quotient)).otherwise(F.floor(quotient)).cast(
         "bigint"
     )
@@ -542,18 +555,14 @@ def detention_analysis(
     fact_delivery: DataFrame, dim_facility: DataFrame
 ) -> DataFrame:
     """VW-11: events, waiting time and on-time share per facility."""
-    return _detention(
-        fact_delivery, dim_facility, exact_mean(F.col("detention_minutes"))
-    )
+    return _detention(fact_delivery, dim_facility, safe_ratio)
 
 
 def detention_analysis_as_written(
     fact_delivery: DataFrame, dim_facility: DataFrame
 ) -> DataFrame:
     """VW-11 with the mean cut to whole minutes."""
-    return _detention(
-        fact_delivery, dim_facility, truncated_mean(F.col("detention_minutes"))
-    )
+    return _detention(fact_delivery, dim_facility, truncated_ratio)
 
 
 # View name -> (builder, star tables it reads, in argument order).

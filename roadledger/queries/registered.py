@@ -713,18 +713,28 @@ VIEW_INPUTS = {
 }
 
 
+# Trips are counted per customer, Unknown included, so members are looked up before that.
+SURROGATES_FIRST = ("v_customer_service",)
+
+
 def _view(w: SampleWarehouse, name: str, build=None) -> DataFrame:
+    """The view over the sample; natural keys are looked up after the grouping."""
     default, inputs = views.VIEWS[name]
     needs = VIEW_INPUTS.get(name, {})
+    keyed = name not in SURROGATES_FIRST
     frames = []
     for table in inputs:
+        dims, refs = needs.get(table, ([], []))
         if table == "dim_date":
             frames.append(w.calendar())
         elif table.startswith("dim_"):
-            frames.append(w.dimension(table))
+            frames.append(w.members(table) if keyed else w.dimension(table))
+        elif keyed and dims:
+            frames.append(w.keyed(table, refs))
         else:
-            dims, refs = needs.get(table, ([], []))
             frames.append(w.star(table, dims, refs))
+    if name == "v_kpi_overview":
+        frames.append({DIMENSIONS[d].sk: w.members(d) for d in ("dim_driver", "dim_truck")})
     return (build or default)(*frames)
 
 
@@ -762,27 +772,27 @@ def _(w):
 
 @query("kpi_4")
 def _(w):
-    return kpis.top_corridors(w.star("fact_load", ["dim_route"]), w.dimension("dim_route"))
+    return kpis.top_corridors(w.keyed("fact_load", []), w.members("dim_route"))
 
 
 @query("kpi_5")
 def _(w):
     return kpis.top_customer_names(
-        w.star("fact_load", ["dim_customer"]), w.dimension("dim_customer")
+        w.keyed("fact_load", []), w.members("dim_customer")
     )
 
 
 @query("kpi_5_by_account")
 def _(w):
     return kpis.top_customer_accounts(
-        w.star("fact_load", ["dim_customer"]), w.dimension("dim_customer")
+        w.keyed("fact_load", []), w.members("dim_customer")
     )
 
 
 @query("kpi_6")
 def _(w):
     return kpis.top_trucks(
-        w.star("fact_truck_monthly", ["dim_truck"]), w.dimension("dim_truck")
+        w.keyed("fact_truck_monthly", []), w.members("dim_truck")
     )
 
 
@@ -794,16 +804,16 @@ def _(w):
 @query("kpi_8")
 def _(w):
     return kpis.detention_hotspots(
-        w.star("fact_delivery", ["dim_facility"]), w.dimension("dim_facility")
+        w.keyed("fact_delivery", []), w.members("dim_facility")
     )
 
 
 @query("kpi_9")
 def _(w):
     return kpis.on_time_by_corridor(
-        w.star("fact_delivery"),
-        w.star("fact_load", ["dim_route"]),
-        w.dimension("dim_route"),
+        w.star("fact_delivery", []),
+        w.keyed("fact_load", []),
+        w.members("dim_route"),
     )
 
 
@@ -827,7 +837,7 @@ def _(w):
 @query("kpi_11_underused")
 def _(w):
     return kpis.underused_trucks(
-        w.star("fact_truck_monthly", ["dim_truck"]), w.dimension("dim_truck"), 84.0
+        w.keyed("fact_truck_monthly", []), w.members("dim_truck"), 84.0
     )
 
 
@@ -839,7 +849,7 @@ def _(w):
 @query("kpi_11_low_mpg")
 def _(w):
     return kpis.low_mpg_truck_months(
-        w.star("fact_truck_monthly", ["dim_truck"]), w.dimension("dim_truck")
+        w.keyed("fact_truck_monthly", []), w.members("dim_truck")
     )
 
 

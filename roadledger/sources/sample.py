@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from roadledger.model import DIMENSIONS, FACTS, SOURCES
 from roadledger.operators.staging import derive
 from roadledger.plans.silver import check_references
-from roadledger.plans.star import build_dimension, build_fact
+from roadledger.plans.star import build_dimension, build_fact, keyed_dimension, keyed_fact
 from roadledger.sources.calendar import calendar
 
 SAMPLE_START = "1995-01-01"
@@ -425,6 +425,15 @@ class SampleWarehouse:
         built = {d: self.dimension(d) for d in wanted}
         return build_fact(self.silver(name, refs), name, built, wanted)
 
+    def keyed(self, name: str, refs: Iterable[str] = ()) -> DataFrame:
+        """Star fact with natural keys under the surrogates' names; no dimension is met."""
+        return keyed_fact(self.silver(name, refs), name)
+
+    def members(self, name: str) -> DataFrame:
+        """Known members of a dimension, for facts from ``keyed``."""
+        source = next(s for s in SOURCES.values() if s.target == name)
+        return keyed_dimension(self.rows(source.name), name)
+
     def tables(self) -> dict[str, DataFrame]:
         """Every star table under its name."""
         dims = {d: self.dimension(d) for d in DIMENSIONS}

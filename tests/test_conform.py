@@ -4,10 +4,13 @@ from pyspark.sql import functions as F
 from roadledger.model import DIMENSIONS
 from roadledger.operators.conform import (
     apply_missing,
+    at_members,
+    is_known,
     missing_keys,
     resolve_fk,
     resolve_sk,
     surrogate_key,
+    with_attributes,
     with_unknown,
 )
 
@@ -61,9 +64,9 @@ def test_missing_list_gives_what_the_direct_check_gives(spark, broadcast):
 
 def test_missing_keys_are_spread_over_partitions(spark):
     fact = spark.range(5000).select("id", F.lit(None).cast("string").alias("p"))
-    from roadledger.operators.conform import _probe
+    from roadledger.operators.conform import probe
 
-    spread = fact.select(_probe("p", ["id"]).alias("k")).distinct().count()
+    spread = fact.select(probe("p", ["id"]).alias("k")).distinct().count()
     assert spread > 900
 
 
@@ -98,3 +101,42 @@ def test_unknown_member_and_sk_resolution(spark):
         for r in resolve_sk(fact, full, "customer_id", "customer_sk").collect()
     }
     assert got == {"L1": 1, "L2": -1, "L3": -1, "L4": -1}
+
+
+@pytest.fixture(scope="module")
+def keyed(spark):
+    """Sums per natural route key, of which some have no member, and the members."""
+    sums = spark.createDataFrame(
+        [("R1", 2, 5), ("R2", 1, None), ("GONE", 3, 7), ("-1", 4, 8), (None, 5, 9)],
+        "route_sk string, loads long, gross long",
+    )
+    members = spark.createDataFrame(
+        [("R1", "R1", "A -> B"), ("R2", "R2", None)], "route_sk string, route_id string, corridor string"
+    )
+    return sums, members
+
+
+def test_groups_without_a_member_are_added_up_under_unknown(keyed):
+    got = {tuple(r) for r in at_members(*keyed, "route_sk").collect()}
+    assert got == {
+        ("R1", "R1", "A -> B", 2, 5), ("R2", "R2", None, 1, None), ("-1", "-1", None, 12, 24)
+    }
+
+
+def test_surrogates_are_joined_as_they_are(spark):
+    sums = spark.createDataFrame([(1, 2), (-1, 3)], "route_sk long, loads long")
+    dim = spark.createDataFrame([(1, "R1"), (-1, "-1"), (2, "R2")], "route_sk long, route_id string")
+    assert {tuple(r) for r in at_members(sums, dim, "route_sk").collect()} == {(1, 2, "R1"), (-1, 3, "-1")}
+    assert sums.where(is_known(sums, "route_sk")).count() == 1
+
+
+def test_rows_get_the_attributes_of_their_member_in_one_join(spark, keyed):
+    sums, _ = keyed
+    dim = spark.createDataFrame([("R1", "n1")], "customer_sk string, customer_name string")
+    fact = sums.withColumnRenamed("route_sk", "customer_sk")
+    named = with_attributes(fact, dim, "customer_sk", ["customer_name"], ["loads"])
+    assert {(r["customer_sk"], r["customer_name"]) for r in named.collect()} == {
+        ("R1", "n1"), *[(k, "Unknown Customer") for k in ("R2", "GONE", "-1", None)]
+    }
+    assert named.count() == 5 and fact.where(is_known(fact, "customer_sk")).count() == 3
+    assert named._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
