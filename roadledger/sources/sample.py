@@ -405,7 +405,11 @@ class SampleWarehouse:
         source = next(s for s in SOURCES.values() if s.target == target)
         keys = list(source.parents if only is None else only)
         parents = {source.parents[k]: self.rows(source.parents[k]) for k in keys}
-        return check_references(self.rows(source.name), source, parents, keys)
+        return self._once(
+            "silver",
+            " ".join([target, *keys]),
+            lambda: check_references(self.rows(source.name), source, parents, keys),
+        )
 
     def dimension(self, name: str) -> DataFrame:
         source = next(s for s in SOURCES.values() if s.target == name)
