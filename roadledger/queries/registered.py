@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadledger import functions as R
-from roadledger.model import DIMENSIONS, FACTS, SOURCES
+from roadledger.model import DIMENSIONS, FACTS, SOURCES, Source
 from roadledger.operators import history, quality, statistics
 from roadledger.operators.conform import apply_missing, missing_keys, surrogate_key
 from roadledger.operators.keymap import new_numbers
@@ -964,7 +964,10 @@ def _layer_counts(w: SampleWarehouse, name: str) -> DataFrame:
     """(layer, object_name, rows_loaded, rows_rejected) of bronze and silver, one scan."""
     source = SOURCES[name]
     staged = _staged(w, name).withColumn("_short", F.col(MALFORMED))
-    rows = type_source(staged, source)
+    return _counts_by_layer(type_source(staged, source), source)
+
+
+def _counts_by_layer(rows: DataFrame, source: Source) -> DataFrame:
     counts = rows.agg(
         F.count_if(~F.col("_short")).alias("a"),
         F.count_if("_short").alias("b"),
@@ -1121,22 +1124,35 @@ def _(w):
     )
 
 
-def _accepted(w: SampleWarehouse, name: str) -> DataFrame:
-    rows = silver_rows(_staged(w, name), SOURCES[name])
-    return rows.where(F.col(REJECT).isNull()).drop(REJECT)
+def _stored_silver(w: SampleWarehouse, kept: Warehouse, name: str) -> DataFrame:
+    """Silver rows of a source with their references, stored: its lines are parsed once.
+
+    Refused rows stay in the table with their reason, those of short lines with ``_short``.
+    """
+    source = SOURCES[name]
+    staged = _staged(w, name).withColumn("_short", F.col(MALFORMED))
+    rows = silver_rows(staged, source)
+    if source.target in FACTS:
+        used = dict.fromkeys([*source.key, *rows.columns[:2], *source.parents])
+        rows = rows.select(*used, "_short", REJECT)
+    kept.write(rows, "silver", source.target)
+    return kept.read_all("silver", source.target)
 
 
 @query("dq_conservation")
 def _(w):
     """Rows of each object as staged, accepted, and after keys and Unknown members."""
-    frames = [_layer_counts(w, name) for name in SOURCES]
+    kept = Warehouse(w.spark, scratch_folder(w.spark, "queries"))
+    silver = {name: _stored_silver(w, kept, name) for name in SOURCES}
+    accepted = {n: rows.where(F.col(REJECT).isNull()).drop(REJECT, "_short") for n, rows in silver.items()}
+    frames = []
     for name, source in SOURCES.items():
-        rows = _accepted(w, name)
+        frames.append(_counts_by_layer(silver[name], source))
         if source.target in FACTS:
-            parents = {p: _accepted(w, p) for p in source.parents.values()}
-            gold = check_references(rows, source, parents)
+            parents = {p: accepted[p] for p in source.parents.values()}
+            gold = check_references(accepted[name], source, parents)
         else:
-            gold = build_dimension(rows, source.target)
+            gold = build_dimension(accepted[name], source.target)
         frames.append(
             gold.agg(F.count(F.lit(1)).alias("rows_loaded")).select(
                 F.lit(source.target).alias("object_name"),

@@ -90,3 +90,11 @@ def test_orphans_need_no_join_of_rows(spark, threshold, tables):
     assert "SortMergeJoin" not in plan_of(frame)
     got = {(r["fact"], r["fk"]): r["orphans"] for r in frame.collect()}
     assert got["fact_fuel", "trip"] == 36
+
+
+def test_conservation_parses_each_line_once(spark, tables):
+    frame = entry.queries()["dq_conservation"](spark, tables)
+    assert "split(" not in plan_of(frame)
+    got = {r["object_name"]: r for r in frame.collect()}
+    assert len(got) == 14 and all(r["conserved"] for r in got.values())
+    assert got["fact_delivery"]["bronze"] == 18000 and got["fact_load"]["gold"] == 8100
