@@ -101,6 +101,7 @@ def test_conservation_parses_each_line_once(spark, tables):
 
 
 def test_delivery_fact_is_shuffled_for_its_totals_only(spark, threshold, tables):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10k")
     frame = entry.queries()["gold_fact_delivery"](spark, tables)
     assert "SortMergeJoin" not in plan_of(frame)
     assert frame.agg(F.sum("rows")).first()[0] == 18000
