@@ -84,6 +84,30 @@ def dangling_keys(
     )
 
 
+def dangling_by_column(
+    fact: DataFrame, name: str, dims: Mapping[str, tuple[DataFrame, str]]
+) -> DataFrame:
+    """``dangling_keys`` of a fact that is cheap to read again, such as a stored one.
+
+    Every key is counted from its own column, in the type it has, and is text only where
+    it meets its dimension, one row per key value. No row is multiplied by the number of
+    keys, and a dimension that is small enough to broadcast needs no shuffle at all.
+    """
+
+    def dangling(column: str, dim: DataFrame, dim_key: str) -> DataFrame:
+        used = fact.groupBy(F.col(column).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+        members = dim.select(F.col(dim_key).cast("string").alias("_member"))
+        known = F.col("_key").cast("string") == F.col("_member")
+        total = F.coalesce(F.sum("_n"), F.lit(0).cast("bigint"))
+        return (
+            used.join(members, known, "left_anti")
+            .agg(total.alias("dangling"))
+            .select(F.lit(name).alias("fact"), F.lit(column).alias("key"), "dangling")
+        )
+
+    return union_all([dangling(column, *parent) for column, parent in dims.items()])
+
+
 def duplicate_summary(frame: DataFrame, name: str, key: Sequence[str]) -> DataFrame:
     """DQ-6, DQ-9: keys that repeat and rows beyond the first of each."""
     per_key = frame.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))

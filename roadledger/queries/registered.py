@@ -1013,7 +1013,7 @@ def _(w):
         day = FACTS[s.target].date
         rows = w.rows(s.name).withColumn(day, F.to_date(F.col(day)))
         frames.append(
-            quality.dangling_keys(
+            quality.dangling_by_column(
                 rows, s.target, {**parents, day: (w.calendar(), "date_id")}
             )
         )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from roadledger.model import SOURCES
+from roadledger.operators import quality
 from roadledger.operators.conform import resolve_fk
 from roadledger.plans.silver import check_references
 from roadledger.sources.sample import SCHEMAS
@@ -108,3 +109,25 @@ def test_delivery_fact_is_shuffled_for_its_totals_only(spark, threshold, tables)
     # The 36 lines without an order, and those with neither key.
     unknown = (F.col("load_sk") == "-1") & (F.col("trip_sk") == "-1")
     assert frame.where(unknown).agg(F.sum("rows")).first()[0] >= 36
+
+
+def test_integrity_counts_each_key_from_its_own_column(spark, threshold, tables):
+    frame = entry.queries()["dq_integrity"](spark, tables)
+    assert "stack(" not in plan_of(frame)
+    got = {(r["fact"], r["key"]): r["dangling"] for r in frame.collect()}
+    assert len(got) == 26 and got["fact_fuel", "trip_id"] == 36
+    assert got["fact_trip", "load_id"] == 9000 // 103 and got["fact_delivery", "scheduled_datetime"] == 0
+
+
+def test_dangling_keys_with_missing_repeated_and_no_members(spark):
+    day = F.lit("1997-03-01").cast("date")
+    fact = spark.range(10).select(
+        F.when(F.col("id") < 7, F.col("id") % 3).alias("k"), day.alias("d"), F.lit(None).cast("string").alias("n")
+    )
+    members = spark.createDataFrame([("0",), ("0",), ("2",), (None,)], "m string")
+    days = spark.range(1).select(day.alias("m"))
+    dims = {"k": (members, "m"), "d": (days, "m"), "n": (members, "m")}
+    want = {("f", "k", 5), ("f", "d", 0), ("f", "n", 10)}
+    for count in (quality.dangling_keys, quality.dangling_by_column):
+        assert set(map(tuple, count(fact, "f", dims).collect())) == want
+        assert {r.dangling for r in count(fact.limit(0), "f", dims).collect()} == {0}
