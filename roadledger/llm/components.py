@@ -8,11 +8,26 @@ from pyspark.sql import functions as F
 from roadledger.llm.common import stored
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether no end of an edge (a < b) has another edge to a smaller node.
+
+    Then every component is a star around its smallest node, and a round moves nothing.
+    """
+    ends = edges.select(F.col("b").alias("node"), F.lit(1).alias("below")).union(
+        edges.select("a", F.lit(0))
+    )
+    nodes = ends.groupBy("node").agg(
+        F.sum("below").alias("below"), F.count("*").alias("edges")
+    )
+    moving = (F.col("below") > 0) & (F.col("edges") > 1)
+    return nodes.agg(F.count_if(moving)).first()[0] == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root: the smallest node of its component, for every node of ``edges`` (a, b).
 
     Alternating star contraction: every node points its larger neighbours, then its
-    smaller ones, at its least neighbour, until nothing moves. Rounds grow with the
+    smaller ones, at its least neighbour, until all edges form stars. Rounds grow with the
     logarithm of the nodes; a round moves at most two rows per edge, and the minimum of
     a node of many edges is combined before the shuffle.
     """
@@ -22,8 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
-    before = None
-    while True:
+    while not _stars(current):
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("x"), "m")
@@ -31,20 +45,12 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.distinct()
         root = low.groupBy("x").agg(F.min("m").alias("m"))
         small = low.join(root.withColumnRenamed("m", "r"), "x").select("x", "m", "r")
-        following = stored(
+        current = stored(
             small.select(F.col("r").alias("a"), F.col("x").alias("b"))
             .union(small.where("m <> r").select(F.col("r").alias("a"), F.col("m").alias("b")))
             .distinct(),
             "edges",
         )
-        state = following.agg(
-            F.count("*"),
-            F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")),
-        ).first()
-        current = following
-        if state == before:
-            break
-        before = state
     stars = current.select(F.col("b").alias("node"), F.col("a").alias("root"))
     tops = current.select(F.col("a").alias("node"), F.col("a").alias("root"))
     return stars.union(tops).distinct()

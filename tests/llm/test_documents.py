@@ -45,6 +45,19 @@ def test_components_of_paths_stars_and_loops(spark):
     assert components(frame.limit(0)).count() == 0
 
 
+def test_components_take_no_round_once_edges_are_stars(spark, monkeypatch):
+    from roadledger.llm import components as module
+
+    rounds, kept = [], module.stored
+    monkeypatch.setattr(module, "stored", lambda f, name: rounds.append(name) or kept(f, name))
+    frame = spark.createDataFrame([(1, 2), (3, 1), (1, 3), (5, 7), (6, 5)], "a int, b int")
+    got = {r.node: r.root for r in components(frame).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 5: 5, 6: 5, 7: 5} and len(rounds) == 1
+    got = {r.node: r.root for r in components(frame.where("a < 6 and b < 6 or a = 6")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 5: 5, 6: 5} and len(rounds) == 2
+    assert {r.root for r in components(frame.union(frame.select("b", F.col("a") + 4))).collect()} == {1}
+
+
 def test_parted_never_misses_a_wanted_key(spark):
     rows = spark.range(5000).select("id", F.xxhash64("id").alias("h"))
     wanted = rows.where("id % 50 = 3").select(F.col("h").alias("w"))
