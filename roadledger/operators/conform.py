@@ -125,10 +125,13 @@ def resolve_sk(
     key: str,
     sk: str,
     spread_by: Sequence[str] | None = None,
+    show_key: bool = False,
 ) -> DataFrame:
     """Replace natural ``key`` by the dimension's surrogate ``sk``.
 
-    A key without a member gets the Unknown surrogate; the row stays.
+    A key without a member gets the Unknown surrogate; the row stays. With ``show_key``
+    the member's natural key follows the surrogate under the name ``key``. Taken from the
+    same lookup it needs no join by ``sk``, where all Unknown rows would meet in one task.
     """
     lookup = dim.where(F.col(sk) != UNKNOWN_SK).select(
         F.col(key).alias("_member_key"), F.col(sk).alias("_member_sk")
@@ -136,12 +139,12 @@ def resolve_sk(
     joined = fact.withColumn(
         "_probe", probe(key, _row_identity(fact, spread_by))
     ).join(lookup, F.col("_probe") == F.col("_member_key"), "left")
-    columns = [
-        F.coalesce("_member_sk", F.lit(UNKNOWN_SK).cast("bigint")).alias(sk)
-        if name == key
-        else F.col(name)
-        for name in fact.columns
-    ]
+    found = [F.coalesce("_member_sk", F.lit(UNKNOWN_SK).cast("bigint")).alias(sk)]
+    if show_key:
+        found.append(F.coalesce("_member_key", F.lit(UNKNOWN_KEY)).alias(key))
+    columns = []
+    for name in fact.columns:
+        columns += found if name == key else [F.col(name)]
     return joined.select(*columns)
 
 

@@ -33,18 +33,22 @@ def build_fact(
     name: str,
     dims: Mapping[str, DataFrame],
     only: Iterable[str] | None = None,
+    show_keys: bool = False,
 ) -> DataFrame:
     """Resolve surrogates, name degenerate keys and the date key, narrow.
 
     ``only`` lists the dimensions a caller goes on to use; the natural keys of
-    the others are left out instead of being joined for nothing.
+    the others are left out instead of being joined for nothing. ``show_keys`` adds the
+    natural key of the member to each surrogate.
     """
     fact = FACTS[name]
     wanted = list(dims) if only is None else list(only)
     rows = silver.drop(*fact.drops)
     for key, dim_name in fact.dims.items():
         if dim_name in wanted:
-            rows = resolve_sk(rows, dims[dim_name], key, DIMENSIONS[dim_name].sk)
+            rows = resolve_sk(
+                rows, dims[dim_name], key, DIMENSIONS[dim_name].sk, show_key=show_keys
+            )
         else:
             rows = rows.drop(key)
     return _narrowed(rows, fact)

@@ -397,10 +397,10 @@ for _fact in FACTS:
     # Every star fact, its surrogates shown as the natural keys they stand for.
     def _star(w, name=_fact):
         spec = FACTS[name]
-        frame = w.star(name, spec.dims.values(), spec.degenerate)
-        for key, dim in spec.dims.items():
-            d = DIMENSIONS[dim]
-            frame = frame.join(w.dimension(dim).select(d.sk, d.key), d.sk).drop(d.sk)
+        frame = w.star(name, spec.dims.values(), spec.degenerate, show_keys=True)
+        surrogates = [DIMENSIONS[dim].sk for dim in spec.dims.values()]
+        own = [c for c in frame.columns if c not in (*surrogates, *spec.dims)]
+        frame = frame.select(*own, *spec.dims)
         if name in ("fact_delivery", "fact_fuel"):
             # These rows have no unique key in the samples: compare per member.
             keys = [c for c in ("trip_sk", "load_sk", *spec.dims, "date_sk") if c in frame.columns]

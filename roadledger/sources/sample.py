@@ -418,16 +418,20 @@ class SampleWarehouse:
         )
 
     def star(
-        self, name: str, dims: Iterable[str] = (), refs: Iterable[str] = ()
+        self,
+        name: str,
+        dims: Iterable[str] = (),
+        refs: Iterable[str] = (),
+        show_keys: bool = False,
     ) -> DataFrame:
-        """Star fact with the surrogates of ``dims``.
+        """Star fact with the surrogates of ``dims``, and their natural keys if shown.
 
         A surrogate lookup already sends keys without a member to Unknown, so
         only the degenerate keys in ``refs`` need their own reference check.
         """
         wanted = list(dims)
         built = {d: self.dimension(d) for d in wanted}
-        return build_fact(self.silver(name, refs), name, built, wanted)
+        return build_fact(self.silver(name, refs), name, built, wanted, show_keys)
 
     def keyed(self, name: str, refs: Iterable[str] = ()) -> DataFrame:
         """Star fact with natural keys under the surrogates' names; no dimension is met."""

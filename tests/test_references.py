@@ -1,5 +1,6 @@
 """References are checked without shuffling wide rows; what is parsed is parsed once."""
 
+import re
 from datetime import datetime
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from roadledger.model import SOURCES
 from roadledger.operators import quality
-from roadledger.operators.conform import resolve_fk
+from roadledger.operators.conform import resolve_fk, resolve_sk
 from roadledger.plans.silver import check_references
 from roadledger.sources.sample import SCHEMAS
 
@@ -111,6 +112,26 @@ def test_delivery_fact_is_shuffled_for_its_totals_only(spark, threshold, tables)
     assert frame.where(unknown).agg(F.sum("rows")).first()[0] >= 36
 
 
+def test_facts_meet_a_dimension_once(spark, threshold, tables):
+    """Also one too large to broadcast: no join by surrogate, where all Unknown rows are one key."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for name, facts in (("gold_fact_delivery", 18000), ("gold_fact_fuel", 18000)):
+        frame = entry.queries()[name](spark, tables)
+        joins = re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[([^\]]*)\]", plan_of(frame))
+        assert joins and not any(re.search("(facility|truck|driver)_sk", keys) for keys in joins)
+        assert frame.agg(F.sum("rows")).first()[0] == facts
+        assert frame.columns[-2:] == ["rows", "total"]
+
+
+def test_shown_keys_are_those_of_the_surrogates(spark):
+    fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "-1"), (5, "a")], "id int, k string")
+    dim = spark.createDataFrame([(-1, "-1"), (1, "a"), (2, "-1"), (3, None)], "sk bigint, k string")
+    shown = resolve_sk(fact, dim, "k", "sk", show_key=True)
+    assert shown.columns == ["id", "sk", "k"]
+    want = resolve_sk(fact, dim, "k", "sk").join(dim, "sk").select("id", "sk", "k")
+    assert sorted(map(tuple, shown.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_integrity_counts_each_key_from_its_own_column(spark, threshold, tables):
     frame = entry.queries()["dq_integrity"](spark, tables)
     assert "stack(" not in plan_of(frame)
