@@ -1,20 +1,33 @@
-"""Connected components by rounds of joins and grouped minima; every round is stored."""
+"""Connected components by rounds of joins and grouped minima; every round is stored.
+
+An edge is spread into its rows by ``inline``, not by a union: each branch of a union is
+planned, updated and run with stages of its own, all of which the driver holds.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadledger.llm.common import stored
 
 
+def _pair(a: str, b: str) -> Column:
+    return F.struct(F.col(a).alias("a"), F.col(b).alias("b"))
+
+
 def _stars(edges: DataFrame) -> bool:
     """Whether no end of an edge (a < b) has another edge to a smaller node.
 
     Then every component is a star around its smallest node, and a round moves nothing.
     """
-    ends = edges.select(F.col("b").alias("node"), F.lit(1).alias("below")).union(
-        edges.select("a", F.lit(0))
+    ends = edges.select(
+        F.inline(
+            F.array(
+                F.struct(F.col("b").alias("node"), F.lit(1).alias("below")),
+                F.struct(F.col("a").alias("node"), F.lit(0).alias("below")),
+            )
+        )
     )
     nodes = ends.groupBy("node").agg(
         F.sum("below").alias("below"), F.count("*").alias("edges")
@@ -38,19 +51,23 @@ def components(edges: DataFrame) -> DataFrame:
         "edges",
     )
     while not _stars(current):
-        both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = current.select(F.inline(F.array(_pair("a", "b"), _pair("b", "a"))))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("x"), "m")
-        # Rows are now (x, m) with m < x: each x has its smaller neighbours.
-        low = large.distinct()
-        root = low.groupBy("x").agg(F.min("m").alias("m"))
-        small = low.join(root.withColumnRenamed("m", "r"), "x").select("x", "m", "r")
+        # Each x gets its smaller neighbours: rows (x, m) with m < x.
+        low = current.join(least, "a").select(F.col("b").alias("x"), "m").distinct()
+        root = low.groupBy("x").agg(F.min("m").alias("r"))
         current = stored(
-            small.select(F.col("r").alias("a"), F.col("x").alias("b"))
-            .union(small.where("m <> r").select(F.col("r").alias("a"), F.col("m").alias("b")))
+            low.join(root, "x")
+            .select(F.inline(F.array(_pair("r", "x"), _pair("r", "m"))))
+            .where("a <> b")
             .distinct(),
             "edges",
         )
-    stars = current.select(F.col("b").alias("node"), F.col("a").alias("root"))
-    tops = current.select(F.col("a").alias("node"), F.col("a").alias("root"))
-    return stars.union(tops).distinct()
+    return current.select(
+        F.inline(
+            F.array(
+                F.struct(F.col("b").alias("node"), F.col("a").alias("root")),
+                F.struct(F.col("a").alias("node"), F.col("a").alias("root")),
+            )
+        )
+    ).distinct()

@@ -58,6 +58,19 @@ def test_components_take_no_round_once_edges_are_stars(spark, monkeypatch):
     assert {r.root for r in components(frame.union(frame.select("b", F.col("a") + 4))).collect()} == {1}
 
 
+def test_a_round_of_components_has_one_branch(spark, monkeypatch):
+    from roadledger.llm import components as module
+
+    plans, kept = [], module.stored
+    note = lambda f: plans.append(f._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(module, "stored", lambda f, name: note(f) or kept(f, name))
+    frame = spark.createDataFrame([(i, i + 1) for i in range(12)], "a int, b int")
+    out = components(frame)
+    note(out)
+    assert {r.root for r in out.collect()} == {0} and len(plans) > 3
+    assert not any("Union" in plan for plan in plans)
+
+
 def test_parted_never_misses_a_wanted_key(spark):
     rows = spark.range(5000).select("id", F.xxhash64("id").alias("h"))
     wanted = rows.where("id % 50 = 3").select(F.col("h").alias("w"))
